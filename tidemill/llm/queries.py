@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemill.llm.bpe_count import op10_bpe_token_counts
 from tidemill.llm.decontaminate import OP3_SQL, op3_decontamination
 from tidemill.llm.licenses import op6_licenses
+from tidemill.llm.ngram_join import op9_ngram_join
 from tidemill.llm.packing import op7_packing
 from tidemill.llm.quality import op8_quality
 from tidemill.llm.secrets import op2_secrets
@@ -16,7 +17,7 @@ from tidemill.llm.toxicity import op5_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_secrets, op3_decontamination, op5_toxicity, op6_licenses, op7_packing, op8_quality, op10_bpe_token_counts)}
+    return {f.__name__: f for f in (op2_secrets, op3_decontamination, op5_toxicity, op6_licenses, op7_packing, op8_quality, op9_ngram_join, op10_bpe_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
