@@ -14,11 +14,12 @@ from tidemill.llm.ngram_join import op9_ngram_join
 from tidemill.llm.packing import op7_packing
 from tidemill.llm.quality import op8_quality
 from tidemill.llm.secrets import op2_secrets
+from tidemill.llm.substring_dedup import op4_substring_dedup
 from tidemill.llm.toxicity import op5_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_edit_embedding, op2_secrets, op3_decontamination, op5_toxicity, op6_licenses, op7_packing, op8_quality, op9_ngram_join, op10_bpe_token_counts)}
+    return {f.__name__: f for f in (op1_edit_embedding, op2_secrets, op3_decontamination, op4_substring_dedup, op5_toxicity, op6_licenses, op7_packing, op8_quality, op9_ngram_join, op10_bpe_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
