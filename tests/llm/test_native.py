@@ -1,0 +1,112 @@
+"""The operators on built-in functions, against plain Python."""
+
+import hashlib
+import math
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from tidemill.llm import decontaminate, licenses, secrets
+from tidemill.llm.native import sum_before
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
+
+
+def words(text):
+    return WORD.findall(text.translate(LOWER))
+
+
+def test_sum_before(spark):
+    rows = [([],), ([5],), (list(range(1, 700)),)]
+    got = [r["s"] for r in spark.createDataFrame(rows, "a array<long>").select(sum_before(F.col("a")).alias("s")).collect()]
+    assert got == [[sum(a[:i]) for i in range(len(a))] for (a,) in rows]
+
+
+def base_spans(text):
+    out = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[1]) >= 6]
+    out += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return [f"{k}:{s}:{e}" for s, _, e, k in sorted(out)]
+
+
+CASES = ["token=token: abcdefgh", "é😀 token='abc.def=' AKIAAKIA" + "Z" * 12, "token==abc123", "api_KEY : x", "key dGhpc0lzQVNlY3JldEtleTEyMzQ1Njc4OTA= x", "550e8400-e29b-41d4-a716-446655440000", "0f" * 12 + " secret=" + "0f" * 12, "token=abcdef " * 600, "zzzzzzzzzzzzzzzzzzzzzzzz1"]
+
+
+def test_secrets(spark, docs, none, unnamed):
+    more = spark.createDataFrame([(1000 + i, t) for i, t in enumerate(CASES)], "doc_id long, text string")
+    both = docs.select("doc_id", "text").unionByName(more)
+    want = sorted((r["doc_id"], hashlib.sha256(",".join(base_spans(r["text"] or "")).encode()).hexdigest()) for r in both.collect())
+    got = secrets.secrets(both).collect()
+    assert sorted((r["doc_id"], r["base_sha256"]) for r in got) == want
+    spans = {r["doc_id"]: r["spans"] for r in got}
+    assert spans[1004] == "entropy:4:40" and spans[1005] == spans[1008] == "" and spans[1000] == ""
+    redacted = {r["doc_id"]: r["text"] for r in secrets.redacted(more).collect()}
+    assert all(not base_spans(t) for t in redacted.values()) and redacted[1004] == "key [SECRET] x" and redacted[1000] == CASES[0]
+    kept = secrets.redacted(docs)
+    assert kept.columns == docs.columns and kept.count() == docs.count()
+    assert secrets.secrets(none).count() == 0 and secrets.secrets(unnamed).count() == 2
+
+
+def entropy(s, width):
+    return max(-sum(n / width * math.log2(n / width) for n in Counter(s[i : i + width]).values()) for i in range(len(s) - width + 1))
+
+
+def test_window_entropy(spark):
+    strings = ["a" * 30, "abcdefghijklmnopqrstuvwxyz0123456789", "aaaaaaaaaaaaaaaaaaaabcdefghijk", "9" * 20]
+    got = [r["e"] for r in spark.createDataFrame([(s,) for s in strings], "s string").select(secrets.window_entropy(F.col("s")).alias("e")).collect()]
+    assert all(abs(a - entropy(s, 20)) < 1e-9 for a, s in zip(got, strings, strict=True))
+
+
+def test_decontamination(spark, docs, none, unnamed, texts):
+    items = [(1, texts[2][1][40:160]), (2, "one two three"), (3, texts[12][1].upper()), (3, None), (None, texts[4][1]), (5, ""), (1, texts[2][1][40:160]), (6, "x" * 500)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def expected(text):
+        w, hit, found = words(text), set(), set()
+        for item, t in items:
+            b = words(t or "") if item is not None else []
+            k = min(10, len(b))
+            for g in {tuple(b[i : i + k]) for i in range(len(b) - k + 1)} if b else ():
+                for i in range(len(w) - k + 1):
+                    if tuple(w[i : i + k]) == g:
+                        hit.update(range(i, i + k))
+                        found.add(str(item))
+        return len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)
+
+    got = decontaminate.contamination(docs, bench).collect()
+    assert sorted(tuple(r) for r in got) == sorted((i, *expected(t)) for i, t in texts)
+    assert any(r["contaminated"] for r in got) and not all(r["contaminated"] for r in got)
+    clean = decontaminate.clean_documents(docs, bench)
+    assert clean.columns == docs.columns
+    assert sorted(r["doc_id"] for r in clean.collect()) == sorted(i for i, t in texts if not expected(t)[4])
+    assert decontaminate.contamination(none, bench).count() == 0 and decontaminate.contamination(unnamed, bench.limit(0)).count() == 2
+
+
+def test_decontamination_by_shuffle_gives_the_same(spark, docs, texts, monkeypatch):
+    bench = spark.createDataFrame([(1, texts[2][1][40:160]), (2, "one two three")], "item_id long, text string")
+    want = sorted(tuple(r) for r in decontaminate.contamination(docs, bench).collect())
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    assert sorted(tuple(r) for r in decontaminate.contamination(docs, bench).collect()) == want
+
+
+PHRASES = {"mit": "under the mit license".split(), "apache-2": "apache license version 2".split(), "cc-by-nc": "cc by nc".split()}
+
+
+def test_licenses(spark, docs, none, unnamed):
+    more = ["Under the MIT License under the mit license", "cc by nc cc-by-nc 4.0 CC BY NC", "apache license version 20 apache license version 2", "Licensed under the GNU General Public License, version 3.", "SPDX-License-Identifier: BSD-3-Clause", "mit " * 50, "under the mit license " * 300]
+    both = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(1000 + i, t) for i, t in enumerate(more)], "doc_id long, text string"))
+
+    def base(text):
+        w = words(text)
+        at = [(i, label) for label, p in PHRASES.items() for i in range(len(w)) if w[i : i + len(p)] == p]
+        return len(w), len(at), min((i for i, _ in at), default=None), max((i for i, _ in at), default=None), ",".join(sorted({x for _, x in at}))
+
+    got = licenses.licenses(both).collect()
+    want = [(r["doc_id"], *base(r["text"] or "")) for r in both.collect()]
+    assert sorted(map(str, (tuple(r)[:6] for r in got))) == sorted(map(str, want))
+    labels = {r["doc_id"]: r["labels"] for r in got}
+    assert labels[1003] == "gpl-3" and labels[1004] == "bsd-3" and labels[1001] == "cc-by-nc" and labels[1005] == ""
+    assert licenses.licenses(none).count() == 0 and licenses.licenses(unnamed).count() == 2 and len(licenses.rules()) > 300

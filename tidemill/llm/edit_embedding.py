@@ -174,7 +174,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
-def near_pairs(prints: DataFrame, least: float = 0.75, bands: int = 24, band_bits: int = 20) -> DataFrame:
+def near_pairs(prints: DataFrame, least: float = 0.75, bands: int = 32, band_bits: int = 16) -> DataFrame:
     """``fingerprint`` and ``near`` (a smaller fingerprint at least so like it, 0 to 1) from the column ``fingerprint``.
 
     Equal fingerprints are one class. Each band is some bits of the fingerprint, sampled alike for all; in a band's bucket
