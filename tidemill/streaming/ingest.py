@@ -26,12 +26,16 @@ def take_batch(dataset: Dataset, target: Snapshots, pages: DataFrame, batch: str
     rows = rows_of(pages.sparkSession, dataset, pages.where(F.col("dataset") == dataset.name), context)
     if dataset.transform is not None:
         rows = dataset.transform(rows, context)
-    if rows.isEmpty():
-        return
-    report = run_checks(rows.select(*dataset.columns), gate(dataset))
-    if not report.passed:
-        raise CheckFailed("; ".join(report.failures))
-    promote(rows, target, list(dataset.primary_key), "upsert", dataset.contract, unique=dataset.unique, batch=batch)
+    # Staged once, over what an attempt before may have left, and read back in the target's own session.
+    staging = Snapshots(target.spark, f"{target.path}_staging/{batch.replace(':', '_')}")
+    rows.write.mode("overwrite").parquet(staging.path)
+    staged = target.spark.read.schema(rows.schema).parquet(staging.path)
+    if not staged.isEmpty():
+        report = run_checks(staged.select(*dataset.columns), gate(dataset))
+        if not report.passed:
+            raise CheckFailed("; ".join(report.failures))
+        promote(staged, target, list(dataset.primary_key), "upsert", dataset.contract, unique=dataset.unique, batch=batch)
+    staging.drop()
 
 
 def stream_dataset(spark: SparkSession, dataset: Dataset, pages_path: str, target: Snapshots, checkpoint: str, as_of: datetime, available_now: bool = True) -> StreamingQuery:
