@@ -32,15 +32,19 @@ def unsqueeze(data: bytes, dtype) -> np.ndarray:
 
 
 def groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, list[dict]]]:
-    """Runs of rows of equal keys in a partition sorted by them; a run may span batches."""
-    key, rows = None, []
+    """Runs of rows of equal keys in a partition sorted by them; a run may span batches. Only the rows of the run at hand
+    become Python objects; the others stay where Arrow has them."""
+    key, parts = None, []
     for batch in batches:
-        for row in batch.to_pylist():
-            now = tuple(row[k] for k in keys)
-            if rows and now != key:
-                yield key, rows
-                rows = []
-            key = now
-            rows.append(row)
-    if rows:
-        yield key, rows
+        names = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
+        first = 0
+        for i in range(1, len(names) + 1):
+            if i == len(names) or names[i] != names[first]:
+                if parts and names[first] != key:
+                    yield key, [row for part in parts for row in part.to_pylist()]
+                    parts = []
+                key = names[first]
+                parts.append(batch.slice(first, i - first))
+                first = i
+    if parts:
+        yield key, [row for part in parts for row in part.to_pylist()]
