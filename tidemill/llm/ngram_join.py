@@ -268,3 +268,19 @@ def one_of_each(docs: DataFrame, percent: int = LEAST_PERCENT) -> DataFrame:
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+OP9_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, CASE WHEN len(w) > 0 THEN 2 ELSE 1 END))) AS i FROM docs))),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT x, y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM shingles a JOIN shingles b ON b.g = a.g AND b.doc_id <> a.doc_id GROUP BY 1, 2)
+  JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * shared >= 75 * (p.n + q.n - shared)),
+reached AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN (SELECT x, min(y) AS component_id FROM reached GROUP BY x) c ON c.x = d.doc_id
+"""

@@ -10,7 +10,7 @@ from tidemill.llm.bpe_count import op10_bpe_token_counts
 from tidemill.llm.decontaminate import OP3_SQL, op3_decontamination
 from tidemill.llm.edit_embedding import op1_edit_embedding
 from tidemill.llm.licenses import op6_licenses
-from tidemill.llm.ngram_join import op9_ngram_join
+from tidemill.llm.ngram_join import OP9_SQL, op9_ngram_join
 from tidemill.llm.packing import op7_packing
 from tidemill.llm.quality import op8_quality
 from tidemill.llm.secrets import op2_secrets
@@ -23,4 +23,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": OP3_SQL}
+    return {"op3_decontamination": OP3_SQL, "op9_ngram_join": OP9_SQL}
