@@ -130,7 +130,7 @@ def near_components(rows):
 
 def variants():
     """A text and many edited forms of it, chains of them, and texts that share a passage only."""
-    from conftest import VOCABULARY
+    from samples import VOCABULARY
 
     r = random.Random(5)
     base = [r.choice(VOCABULARY) for _ in range(120)]
@@ -215,7 +215,7 @@ def cut(rows):
 
 @pytest.mark.parametrize("crowded", [5000, 1])
 def test_substring_dedup(spark, docs, none, texts, monkeypatch, crowded):
-    from conftest import prose
+    from samples import prose
 
     monkeypatch.setattr(substring_dedup, "CROWDED", crowded)
     monkeypatch.setattr(substring_dedup, "FLUSH", 400)
@@ -252,7 +252,7 @@ def test_edit_embedding(docs, none, unnamed, texts):
 
 
 def test_near_pairs(spark):
-    from conftest import prose
+    from samples import prose
 
     texts = [prose(i, 200) for i in range(30)]
     near = [t.replace(" ba ", " so ", 2) + " end" for t in texts]
