@@ -24,8 +24,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows that Spark hands to Python at once. Its own 10,000 suits narrow rows; texts and packed numbers are wide.
+ROWS_AT_ONCE, SETTING = 256, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def texts(docs: DataFrame, *more: str) -> DataFrame:
-    """``doc_id``, ``text`` (null: empty) and the columns ``more`` alone, whatever else ``docs`` has."""
+    """``doc_id``, ``text`` (null: empty) and the columns ``more`` alone, whatever else ``docs`` has. A session that has the
+    default number of rows in a batch gets a smaller one; one that was chosen stays."""
+    conf = docs.sparkSession.conf
+    if conf.get(SETTING) == "10000":
+        conf.set(SETTING, str(ROWS_AT_ONCE))
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
