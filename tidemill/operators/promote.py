@@ -86,9 +86,4 @@ def promote(staged: DataFrame, target: Snapshots, keys: list[str], strategy: str
         else:
             raise ValueError(f"unknown load strategy {strategy}")
         version = target.commit(without_empty(after, unique), batch)
-    return PromoteResult(staged_count(counted, rows), version, audit_unique(target.read(), unique))
-
-
-def staged_count(counted: Observation, rows: DataFrame) -> int:
-    """What the write has counted on its way. A plan that reads the rows twice counts them in each place; then they are counted."""
-    return int(counted.get["n"])
+    return PromoteResult(int(counted.get["n"]), version, audit_unique(target.read(), unique))
