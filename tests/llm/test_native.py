@@ -50,6 +50,23 @@ def test_secrets(spark, docs, none, unnamed):
     assert secrets.secrets(none).count() == 0 and secrets.secrets(unnamed).count() == 2
 
 
+def test_very_long_candidates(spark):
+    slug = "ab" + "-cd" * 100_000
+    cases = [slug + "-1", slug + "12345", slug + "-x9y-" + "dGhpc0lzQVNlY3JldEtleTEyMzQ1Njc4OTA"]
+    docs = spark.createDataFrame([(i, f"see {t} there") for i, t in enumerate(cases)], "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"] for r in secrets.secrets(docs).collect()}
+    assert spans == {0: "", 1: "", 2: f"entropy:4:{4 + len(cases[2])}"}
+    redacted = {r["doc_id"]: r["text"] for r in secrets.redacted(docs).collect()}
+    assert redacted[0] == f"see {cases[0]} there" and redacted[2] == "see [SECRET] there"
+
+
+def test_names_are_allowed(spark):
+    want = {"ab-cd-1": True, "ab/cd_ef12": True, "ab-cd": True, "ab-cd-12345": False, "ab1-cd": False, "ab--cd": False, "ab-": False, "ab": False, "ab12": False, "ab-cd_": False, "Ab-cd": False, "ab-cd-ef/1234": True}
+    rule = re.compile("^[a-z]+([/_-][a-z]+)+([/_-]?[0-9]{1,4})?$")
+    got = spark.createDataFrame([(s,) for s in want], "s string").select("s", F.col("s").rlike(secrets.ALLOWED[2]).alias("a")).collect()
+    assert {r["s"]: r["a"] for r in got} == want == {s: bool(rule.match(s)) for s in want}
+
+
 def entropy(s, width):
     return max(-sum(n / width * math.log2(n / width) for n in Counter(s[i : i + width]).values()) for i in range(len(s) - width + 1))
 

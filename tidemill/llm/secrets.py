@@ -31,7 +31,8 @@ LIMITS = {"hex": 3.1, "base64": 3.85}
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^[0-9/_+-]+$",
-    r"^[a-z]+([/_-][a-z]+)+([/_-]?[0-9]{1,4})?$",
+    # Possessive: Java repeats such a group in a loop, others by recursion, so that a long candidate would overflow the stack.
+    r"^[a-z]++(?:[/_-][a-z]++)++(?:[/_-]?[0-9]{1,4})?$",
     r"(?i)(example|sample|dummy|placeholder|changeme|xxxx|0000000|your[_-])",
     r"(?i)(abcdefgh|01234567|12345678|qwertyui)",
 )
