@@ -93,6 +93,20 @@ def test_packing(docs, none, texts):
     assert packing.packed(none, RANKS).count() == 0
 
 
+@pytest.mark.parametrize("text", ["a" + " " * 2_000_000 + "b", "\n" * 1_000_000, "<|endoftext|>x" + "\u00a0\t" * 600_000])
+def test_packing_of_long_whitespace(spark, text):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+    assert tokenizer.decode(want[:-1], skip_special_tokens=False) == text
+    got = packing.packed(spark.createDataFrame([(1, text), (2, "one two")], "doc_id long, text string"), RANKS).collect()
+    mine = sorted((r["start"], r["length"], r["ids_crc32"]) for r in got if r["doc_id"] == 1)
+    cut = [np.array(want[s : s + 2048], "<u4") for s in range(0, len(want), 2048)]
+    assert mine == [(2048 * k, len(p), zlib.crc32(p.tobytes())) for k, p in enumerate(cut)]
+    assert {r["doc_tokens"] for r in got if r["doc_id"] == 1} == {len(want)} and {r["doc_id"] for r in got} == {1, 2}
+
+
 def packing_rooms(lengths, window):
     rooms = []
     for n in sorted(lengths, reverse=True):

@@ -17,6 +17,7 @@ import base64
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -40,16 +41,31 @@ def _encoding(ranks_path: str):
     return tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={"<|endoftext|>": len(ranks)})
 
 
+@lru_cache(maxsize=2)
+def _whole(ranks_path: str):
+    """The tokenizer of the same vocabulary in the slower library, which sets no limit to what its pattern may go back over."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(str(Path(ranks_path).with_suffix(".json")))
+
+
+def token_ids(text: str, ranks_path: str) -> list[int]:
+    """The ids of a text. In a run of about a million whitespace characters the fast library's pattern gives up."""
+    try:
+        return _encoding(ranks_path).encode(text, allowed_special="all")
+    except ValueError:
+        return _whole(ranks_path).encode(text, add_special_tokens=False).ids
+
+
 def pieces(docs: DataFrame, ranks_path: str, window: int = WINDOW, end: int = END) -> DataFrame:
     """Each document's pieces: ``doc_id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``."""
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = _encoding(ranks_path)
         for batch in batches:
             rows: list[list] = [[] for _ in names]
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = np.array([*encoding.encode(text.as_py(), allowed_special="all"), end], "<u4")
+                ids = np.array([*token_ids(text.as_py(), ranks_path), end], "<u4")
                 for start in range(0, len(ids), window):
                     part = ids[start : start + window]
                     for values, x in zip(rows, (doc_id, start, len(part), zlib.crc32(part.tobytes()), len(ids)), strict=True):
