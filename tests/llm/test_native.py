@@ -127,3 +127,14 @@ def test_licenses(spark, docs, none, unnamed):
     labels = {r["doc_id"]: r["labels"] for r in got}
     assert labels[1003] == "gpl-3" and labels[1004] == "bsd-3" and labels[1001] == "cc-by-nc" and labels[1005] == ""
     assert licenses.licenses(none).count() == 0 and licenses.licenses(unnamed).count() == 2 and len(licenses.rules()) > 300
+
+
+def test_licenses_in_texts_with_section_signs(spark):
+    texts = ["§ 7 under the MIT License", "x § under the mit license", "see §1 and § 2 of the apache license version 2", "under the §mit license and more mit", "§apache license version 2 under mit", "§ § § cc by nc § cc by nc", "licensed under the § gnu general public license version 3", "§ 3 all rights reserved"]
+    got = {r["doc_id"]: r for r in licenses.licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, text in enumerate(texts):
+        w = words(text)
+        at = [(k, label) for label, p in PHRASES.items() for k in range(len(w)) if w[k : k + len(p)] == p]
+        want = (len(w), len(at), min((k for k, _ in at), default=None), max((k for k, _ in at), default=None), ",".join(sorted({x for _, x in at})))
+        assert tuple(got[i])[1:6] == want
+    assert [got[i]["labels"] for i in range(len(texts))] == ["mit", "mit", "apache-2", "", "", "cc-by-nc", "gpl-3", "proprietary"]

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from tidemill.llm.native import let, words
 from tidemill.llm.tables import read_table, texts
 
-MARK = "§"
+#: Stands before the keyword where rules and surroundings meet; no word of a text can hold it. In the lists below keywords are marked with "§".
+MARK = "\x01"
 #: Words on either side of a keyword that a rule can reach.
 REACH = 14
 BASE = (("under the §mit license", "mit"), ("§apache license version 2", "apache-2"), ("§cc by nc", "cc-by-nc"))
@@ -91,7 +92,9 @@ def rules() -> list[tuple[str, str, str, str, int, float]]:
         label = "cc-" + part.replace(" ", "-")
         names += [(label, f"§cc {part}(?: [1-4] [05])?"), (label, f"§creative commons {full}(?: [1-4] [05])?")]
     names += [("cc0", "§cc0(?: 1 0)?"), ("cc0", "§creative commons zero")]
-    out = [(p.split(MARK)[1].split(" ")[0], _literal(p), p, label, 1000, 0.9) for p, label in BASE]
+    names = [(label, name.replace("§", MARK)) for label, name in names]
+    base = [(p.replace("§", MARK), label) for p, label in BASE]
+    out = [(p.split(MARK)[1].split(" ")[0], _literal(p), p, label, 1000, 0.9) for p, label in base]
     for label, name in names:
         keyword = name.split(MARK)[1].split(" ")[0].split("(")[0].split("?")[0]
         for k, (phrase, confidence) in enumerate(PHRASES):
@@ -120,7 +123,7 @@ def findings(docs: DataFrame, *keys: str) -> DataFrame:
     near = split.select("_row", *keys, F.size("_words").cast("long").alias("n_words"), let(F.col("_words"), around).alias("_near"))
     rows = near.select("_row", *keys, "n_words", F.explode(F.concat(F.array(F.lit(None).cast("struct<at:int,keyword:string,said:string>")), "_near")).alias("_place"))
     met = rows.select("_row", *keys, "n_words", "_place.*").join(table.withColumnRenamed("keyword", "word"), (F.col("keyword") == F.col("word")) & F.contains("said", "plain"), "left")
-    # " rule " within " words §keyword words ": whole words only. Where it starts and how long it is, in words.
+    # " rule " within " words \x01keyword words ": whole words only. Where it starts and how long it is, in words.
     pattern = F.concat(F.lit(" "), F.col("rule"), F.lit("(?= )"))
     match = met.select("*", F.when(F.col("rule").isNotNull(), F.call_function("regexp_extract", F.col("said"), pattern, F.lit(0))).alias("match"))
     begin = F.size(F.split(F.substring_index("said", MARK, 1), " ")) - 2
