@@ -281,6 +281,32 @@ def test_near_pairs(spark):
     assert got <= {frozenset(p) for p in zip(prints[:30], prints[30:], strict=True)}
 
 
+@pytest.mark.parametrize("cell", [512, 16])
+def test_near_pairs_in_full_buckets(spark, monkeypatch, cell):
+    """Fingerprints that agree in all but 96 bits, so that buckets hold many unrelated ones."""
+    monkeypatch.setattr(edit_embedding, "CELL", cell)
+    r = np.random.default_rng(1)
+    bits = np.tile(r.integers(0, 2, 256, np.uint8), (1500, 1))
+    bits[:, r.choice(256, 96, replace=False)] = r.integers(0, 2, (1500, 96), np.uint8)
+    copies = bits[:500].copy()
+    for k, row in enumerate(copies):
+        row[r.choice(256, 1 + k % 32, replace=False)] ^= 1
+    bits = np.concatenate([bits, copies])
+    prints = [np.packbits(b).tobytes().hex() for b in bits]
+    apart = (bits[:, None, :] != bits[None, :, :]).sum(axis=2)
+    shared = np.zeros(apart.shape, bool)
+    for pick in edit_embedding._picks(32, 16):
+        shared |= (bits[:, None, pick] == bits[None, :, pick]).all(axis=2)
+    near = np.tril(1 - 2 * apart / 256 >= 0.75, -1)
+    want = {frozenset((prints[i], prints[j])) for i, j in zip(*np.nonzero(near & shared), strict=True)}
+    rows = edit_embedding.near_pairs(spark.createDataFrame([(p,) for p in prints], "fingerprint string")).collect()
+    got = {frozenset((x["fingerprint"], x["near"])) for x in rows}
+    assert len(rows) == len(got) and all(x["near"] < x["fingerprint"] for x in rows)
+    assert got == want and len(got) >= 0.95 * near.sum()
+    copied = {frozenset((prints[k], prints[1500 + k])) for k in range(500)}
+    assert len(got & copied) >= 0.95 * len(copied)
+
+
 @pytest.mark.parametrize(("module", "label", "folds", "held", "fit"), [(toxicity, "toxic", 5, 0, "toxicity"), (quality, "quality", 4, 2, "quality")])
 def test_classifiers(spark, none, unnamed, module, label, folds, held, fit):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id < 6000")

@@ -7,8 +7,8 @@ The fingerprint is a fixed number of bits, each a random bit of the character th
 sampled alike for all texts: by one rising series of candidates for each bit, of which the last one inside the walk counts,
 which makes it equally likely to be any step of the walk and the same one for walks of nearly the same length.
 
-``near_pairs`` finds near documents: bits sampled from the fingerprints make bands, documents that share a band meet the
-first of it, and the distance of whole fingerprints verifies them.
+``near_pairs`` finds near documents: bits sampled from the fingerprints make bands, documents that share a band meet
+each other, and the distance of whole fingerprints verifies them.
 
 Defined results: a null text counts as empty; the empty text's fingerprint is all zeros; equal texts have equal
 fingerprints; rows without an id come after all others, and rows of one id follow each other in the order of their texts;
@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.llm.blobs import groups
 from tidemill.llm.tables import partitions, read_table, texts
 from tidemill.llm.wordhash import mix
 
@@ -36,6 +37,8 @@ BITS = 256
 #: The random bits of the walk repeat after so many steps, and characters fall into so many kinds for them.
 STEPS, KINDS = 1 << 12, 64
 SEED = 20240611
+#: In ``near_pairs`` so many fingerprints of a bucket meet as many at once.
+CELL = 512
 
 
 @lru_cache(maxsize=1)
@@ -174,23 +177,55 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
+def _picks(bands: int, band_bits: int) -> list[list[int]]:
+    """The bits of each band, sampled alike for all."""
+    random = np.random.default_rng(SEED + 1)
+    return [sorted(random.choice(BITS, band_bits, replace=False).tolist()) for _ in range(bands)]
+
+
 def near_pairs(prints: DataFrame, least: float = 0.75, bands: int = 32, band_bits: int = 16) -> DataFrame:
-    """``fingerprint`` and ``near`` (a smaller fingerprint at least so like it, 0 to 1) from the column ``fingerprint``.
+    """``fingerprint``, ``near`` (a smaller fingerprint at least so like it, 0 to 1) and ``likeness``, once for each pair that
+    shares a band, from the column ``fingerprint``.
 
-    Equal fingerprints are one class. Each band is some bits of the fingerprint, sampled alike for all; in a band's bucket
-    every class is compared with the least one only, so a bucket of any size gives no more pairs than it has members."""
-    random = np.random.default_rng(SEED + 1)
-    picks = [sorted(random.choice(BITS, band_bits, replace=False).tolist()) for _ in range(bands)]
-    each = prints.select("fingerprint").distinct()
+    Equal fingerprints are one class. Each band is some bits of the fingerprint; in a band's bucket all classes are compared
+    with each other. A bucket is cut into parts of about ``CELL`` classes and two parts meet in a cell, so that a task holds
+    little at once, but a bucket's comparisons are the square of its size. A pair is told by the first band it shares."""
+    picks = _picks(bands, band_bits)
     digits = F.split(_binary(F.col("fingerprint")), "")
-    keyed = each.select("fingerprint", digits.alias("d"))
+    keyed = prints.select("fingerprint").distinct().select("fingerprint", digits.alias("d"))
     keys = F.array(*(F.concat_ws("", F.lit(f"{k}:"), *(F.get("d", i) for i in pick)) for k, pick in enumerate(picks)))
     banded = keyed.select("fingerprint", F.explode(keys).alias("band"))
-    first = banded.groupBy("band").agg(F.min("fingerprint").alias("near"), F.count("*").alias("n")).where("n > 1").drop("n")
-    pairs = banded.join(first, "band").where("fingerprint <> near").select("fingerprint", "near").distinct()
-    words = [(16 * k + 1, 16) for k in range(BITS // 64)]
-    apart = sum((F.bit_count(_number(F.col("fingerprint"), *w).bitwiseXOR(_number(F.col("near"), *w))) for w in words), F.lit(0))
-    return pairs.withColumn("likeness", 1 - 2 * apart / BITS).where(F.col("likeness") >= least)
+    parts = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band", F.ceil(F.col("n") / CELL).cast("int").alias("parts"))
+    placed = banded.join(parts, "band").withColumn("part", F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int"))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cell = ["band", "low", "high"]
+    cells = met.select("band", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "fingerprint")
+    masks = np.zeros((bands, BITS // 64), np.uint64)
+    for k, pick in enumerate(picks):
+        for i in pick:
+            masks[k, i // 64] |= np.uint64(1 << 63 - i % 64)
+
+    def numbers(hexed: list[str]) -> np.ndarray:
+        return np.frombuffer(bytes.fromhex("".join(hexed)), ">u8").astype(np.uint64).reshape(-1, BITS // 64)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (band, low, high), rows in groups(batches, cell):
+            sides = [[r["fingerprint"] for r in rows if r["part"] == p] for p in (low, high)]
+            a, b = (numbers(side) for side in sides)
+            apart = sum(np.bitwise_count(a[:, None, w] ^ b[None, :, w]).astype(np.int64) for w in range(BITS // 64))
+            alike = 1 - 2 * apart / BITS
+            found = alike >= least
+            i, j = np.nonzero(np.tril(found, -1) if low == high else found)
+            known = np.zeros(len(i), bool)
+            for mask in masks[: int(band.split(":")[0])]:
+                known |= ((a[i] ^ b[j]) & mask == 0).all(axis=1)
+            i, j = i[~known], j[~known]
+            pairs = [sorted((sides[0][x], sides[1][y])) for x, y in zip(i.tolist(), j.tolist(), strict=True)]
+            columns = [pa.array([p[1] for p in pairs], pa.string()), pa.array([p[0] for p in pairs], pa.string()), pa.array(alike[i, j], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, ["fingerprint", "near", "likeness"])
+
+    dealt = cells.repartition(partitions(prints.sparkSession), *cell).sortWithinPartitions(*cell)
+    return dealt.mapInArrow(compare, "fingerprint string, near string, likeness double")
 
 
 def _binary(hexed):
@@ -198,12 +233,5 @@ def _binary(hexed):
     return F.array_join(F.transform(F.filter(F.split(hexed, ""), lambda c: c != ""), lambda c: F.lpad(F.conv(c, 16, 2), 4, "0")), "")
 
 
-def _number(hexed, start: int, length: int):
-    """64 bits of a hexadecimal string as a number."""
-    half = length // 2
-    high, low = (F.conv(F.substring(hexed, start + k * half, half), 16, 10).cast("long") for k in (0, 1))
-    return F.shiftleft(high, 32).bitwiseOR(low)
-
-
 def op1_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(read_table(spark, sf_dir, "documents"))
