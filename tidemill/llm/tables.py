@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -15,28 +15,37 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read from there, so that its lineage ends.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only where neither that nor a folder of the
-    context is set, as in local tests, a temporary one is made."""
+    The folder is the session's ``spark.checkpoint.dir``. Only on a local master, as in tests, is a temporary one made where
+    none is set: executors elsewhere could not read it, so there it is an error. Spark removes the files of a checkpoint that
+    nothing refers to any more where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not configured and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="checkpoint-"))
     return df.checkpoint(eager=True)
 
 
-#: Rows that Spark hands to Python at once. Its own 10,000 suits narrow rows; texts and packed numbers are wide.
-ROWS_AT_ONCE, SETTING = 256, "spark.sql.execution.arrow.maxRecordsPerBatch"
-
-
 def texts(docs: DataFrame, *more: str) -> DataFrame:
-    """``doc_id``, ``text`` (null: empty) and the columns ``more`` alone, whatever else ``docs`` has. A session that has the
-    default number of rows in a batch gets a smaller one; one that was chosen stays."""
-    conf = docs.sparkSession.conf
-    if conf.get(SETTING) == "10000":
-        conf.set(SETTING, str(ROWS_AT_ONCE))
+    """``doc_id``, ``text`` (null: empty) and the columns ``more`` alone, whatever else ``docs`` has. How many rows Python gets at
+    once is Spark's affair: it closes a batch at ``spark.sql.execution.arrow.maxBytesPerBatch``, 64 MB by default."""
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it as often as needed for no column of ``df`` to have it, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, also those with dots or backticks in their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def partitions(spark: SparkSession) -> int:
     """How many partitions a shuffle of this session has; buckets made here follow it."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
