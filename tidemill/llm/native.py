@@ -45,3 +45,17 @@ def sum_before(values: Column, block: int = 256) -> Column:
         return F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / block).cast("int")), lambda k: F.slice(xs, k * block + 1, block))
 
     return F.when(F.size(values) == 0, F.array().cast("array<long>")).otherwise(let(values, lambda xs: let(cut(xs), within)))
+
+
+def blocks_of(text: Column, block: int = 1024) -> Column:
+    """A text cut into blocks of as many code points, the last one shorter."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{block}}}"), F.lit(0))
+
+
+def piece(blocks: Column, start: Column, end: Column, block: int = 1024) -> Column:
+    """The code points from ``start`` to before ``end`` of a text given as ``blocks_of`` cuts it. Only the blocks that hold them are
+    looked at, so that many pieces of a long text don't each count from its start."""
+    first = F.floor(start / block).cast("int")
+    last = F.floor((end - 1) / block).cast("int")
+    held = F.array_join(F.slice(blocks, first + 1, F.greatest(last - first + 1, F.lit(0))), "")
+    return F.when(end <= start, "").otherwise(F.substring(held, (start - first * block + 1).cast("int"), (end - start).cast("int")))

@@ -4,18 +4,20 @@ Three patterns give the base spans. Besides them, strings that may be keys are c
 hexadecimal characters that hold a digit and a letter. Over each candidate slides a window; the counts of its characters
 change by one character in and one out at each step, and with them the sum that makes the Shannon entropy. A candidate is
 a secret if its largest window entropy reaches the limit of its character class and no rule of the allow-list names it.
+Placeholder words cut a candidate: it is a secret if what is left on either side of them is one.
 
 Defined results: a null text counts as empty and has no span; repeated rows are scanned each; an empty table gives no
-rows; other columns are ignored; texts are scanned whole, and positions are code points with exclusive ends. Of
-overlapping spans all are told, but a candidate that touches a base span is not told again."""
+rows; other columns are ignored, whatever their names; texts are scanned whole, and positions are code points with exclusive
+ends. Of overlapping base spans all are told; of a candidate that touches base spans, the parts outside them are judged, each
+by itself, if they are at least a window long."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.native import let, sum_before
-from tidemill.llm.tables import read_table, texts
+from tidemill.llm.native import blocks_of, let, piece, sum_before
+from tidemill.llm.tables import columns_of, read_table, texts
 
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ASSIGNED = 6
@@ -27,15 +29,15 @@ KINDS = ("assign", "access", "hex", "entropy")
 WINDOW = 20
 #: Least entropy of a window, in bits a character, by the candidate's class.
 LIMITS = {"hex": 3.1, "base64": 3.85}
-#: Candidates of these forms are no secrets: UUIDs, dates and numbers, words joined by separators, placeholders, counted-up characters.
+#: Candidates of these forms are no secrets: UUIDs, dates and numbers, words joined by separators.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^[0-9/_+-]+$",
     # Possessive: Java repeats such a group in a loop, others by recursion, so that a long candidate would overflow the stack.
     r"^[a-z]++(?:[/_-][a-z]++)++(?:[/_-]?[0-9]{1,4})?$",
-    r"(?i)(example|sample|dummy|placeholder|changeme|xxxx|0000000|your[_-])",
-    r"(?i)(abcdefgh|01234567|12345678|qwertyui)",
 )
+#: Placeholders and counted-up characters: what holds them is no secret unless the rest is.
+PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|xxxx|0000000|your[_-]|abcdefgh|01234567|12345678|qwertyui"
 
 
 def _found(text: Column, pattern: str) -> Column:
@@ -98,19 +100,45 @@ def window_entropy(s: Column, width: int = WINDOW) -> Column:
 
 def is_secret(s: Column) -> Column:
     """Whether a candidate string is a secret by its entropy and the allow-list."""
-    core = F.rtrim(s, F.lit("="))
-    limit = F.when(core.rlike("^([0-9a-f]+|[0-9A-F]+)$"), LIMITS["hex"]).otherwise(LIMITS["base64"])
-    mixed = core.rlike("[0-9]") & core.rlike("[A-Za-z]")
+
+    def random(part: Column) -> Column:
+        core = F.rtrim(part, F.lit("="))
+        limit = F.when(core.rlike("^([0-9a-f]+|[0-9A-F]+)$"), LIMITS["hex"]).otherwise(LIMITS["base64"])
+        worth = (F.length(core) >= WINDOW) & core.rlike("[0-9]") & core.rlike("[A-Za-z]")
+        return F.when(worth, window_entropy(core) >= limit).otherwise(False)
+
     allowed = F.lit(False)
     for rule in ALLOWED:
         allowed = allowed | s.rlike(rule)
-    return mixed & ~allowed & F.when(mixed & ~allowed, window_entropy(core) >= limit).otherwise(False)
+    return F.when(~s.rlike("[0-9]") | allowed, False).otherwise(F.exists(F.split(s, PLACEHOLDER), random))
+
+
+def _outside(candidate: Column, base: Column) -> Column:
+    """The parts of a candidate (start, rank, end, kind, match) that no base span holds, where they are at least a window long."""
+    touching = F.array_sort(F.filter(base, lambda b: (b["start"] < candidate["end"]) & (candidate["start"] < b["end"])))
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+
+    def after(state: Column, span: Column) -> Column:
+        free = F.array(F.struct(state["at"].alias("start"), span["start"].alias("end")))
+        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), F.concat(state["free"], F.when(span["start"] >= state["at"] + WINDOW, free).otherwise(none)).alias("free"))
+
+    def rest(state: Column) -> Column:
+        last = F.array(F.struct(state["at"].alias("start"), candidate["end"].alias("end")))
+        return F.concat(state["free"], F.when(candidate["end"] >= state["at"] + WINDOW, last).otherwise(none))
 
+    def cut(part: Column) -> Column:
+        said = F.substring(candidate["match"], (part["start"] - candidate["start"] + 1).cast("int"), (part["end"] - part["start"]).cast("int"))
+        return F.struct(part["start"].alias("start"), candidate["rank"].alias("rank"), part["end"].alias("end"), candidate["kind"].alias("kind"), said.alias("match"))
 
-def with_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` (with ``doc_id``, ``text``) and an array ``spans`` of (start, rank, end, kind, match), in order. A projection: nothing moves."""
-    text = F.col("text")
-    found = docs.select("*", *(_found(text, p).alias(f"_{k}") for k, p in zip(KINDS, (ASSIGN, ACCESS, HEX, CANDIDATE), strict=True)))
+    parts = F.aggregate(touching, F.struct(candidate["start"].alias("at"), none.alias("free")), after, rest)
+    return F.when(F.size(touching) == 0, F.array(candidate)).otherwise(F.transform(parts, cut))
+
+
+def with_spans(docs: DataFrame, *keep: str) -> DataFrame:
+    """``text`` and the columns ``keep`` of ``docs``, and an array ``spans`` of (start, rank, end, kind, match), in order. A
+    projection: nothing moves. ``keep`` may not have the names used here."""
+    text, held = F.col("text"), [*keep, "text"]
+    found = docs.select(*held, *(_found(text, p).alias(f"_{k}") for k, p in zip(KINDS, (ASSIGN, ACCESS, HEX, CANDIDATE), strict=True)))
     values = F.when(F.size("_assign") > 0, F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))).otherwise(F.array().cast("array<string>"))
     none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string,match:string>>")
 
@@ -120,14 +148,14 @@ def with_spans(docs: DataFrame) -> DataFrame:
 
     possible = F.exists("_entropy", lambda m: m.rlike("[0-9]"))
     spans = found.select(
-        "*",
+        *held,
         F.when(F.size("_assign") > 0, F.filter(F.zip_with(where_any("assign", ASSIGN), values, lambda s, v: F.when(F.length(v) >= ASSIGNED, s)), lambda s: s.isNotNull())).otherwise(none).alias("_s0"),
         where_any("access", ACCESS).alias("_s1"),
         where_any("hex", HEX).alias("_s2"),
         F.when(possible, where_any("entropy", CANDIDATE)).otherwise(none).alias("_s3"),
-    ).select("*", F.concat("_s0", "_s1", "_s2").alias("_base"))
-    added = F.filter("_s3", lambda s: F.when(F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])), False).otherwise(is_secret(s["match"])))
-    return spans.select(*docs.columns, F.array_sort(F.concat("_base", added)).alias("spans"))
+    ).select(*held, F.concat("_s0", "_s1", "_s2").alias("_base"), "_s3")
+    added = F.filter(F.flatten(F.transform("_s3", lambda c: _outside(c, F.col("_base")))), lambda s: is_secret(s["match"]))
+    return spans.select(*held, F.array_sort(F.concat("_base", F.when(F.size("_s3") > 0, added).otherwise(none))).alias("spans"))
 
 
 def _told(spans: Column) -> Column:
@@ -136,7 +164,7 @@ def _told(spans: Column) -> Column:
 
 def secrets(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_assign``, ``n_access``, ``n_hex``, ``base_sha256``, ``spans`` of every row."""
-    found = with_spans(texts(docs))
+    found = with_spans(texts(docs), "doc_id")
 
     def many(kind: str) -> Column:
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -146,22 +174,38 @@ def secrets(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_told(base), 256).alias("base_sha256"), _told(F.col("spans")).alias("spans"))
 
 
+def _apart(spans: Column) -> Column:
+    """Spans (start, end) in order, those that overlap made one."""
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+
+    def widened(state: Column, s: Column) -> Column:
+        last = F.try_element_at(state, F.lit(-1))
+        both = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+        return F.when(s["start"] < last["end"], F.concat(F.slice(state, 1, F.size(state) - 1), F.array(both))).otherwise(F.array_append(state, s))
+
+    bare = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    overlap = F.exists(F.zip_with(F.slice(bare, 2, F.size(bare)), F.slice(bare, 1, F.size(bare) - 1), lambda b, a: b["start"] < a["end"]), lambda x: x)
+    return F.when(F.size(bare) < 2, bare).when(~overlap, bare).otherwise(F.aggregate(bare, none, widened))
+
+
 def redacted(docs: DataFrame, marker: str = "[SECRET]") -> DataFrame:
-    """``docs`` with the same columns, each secret in ``text`` replaced by ``marker`` and ``n_chars`` set to the new length
-    where it changed. One kind after the other; texts without a match are left as they are, nulls too."""
-    out, text = docs, F.col("text")
-    for kind, pattern in zip(KINDS, (ASSIGN, ACCESS, HEX, CANDIDATE), strict=True):
-        matches = out.select("*", _found(text, pattern).alias("_matches"))
-        if kind == "assign":
-            said = F.zip_with("_matches", F.regexp_extract_all(text, F.lit(pattern), F.lit(2)), lambda m, v: F.when(F.length(v) >= ASSIGNED, marker).otherwise(m))
-        elif kind == "entropy":
-            said = F.transform("_matches", lambda m: F.when(is_secret(m), marker).otherwise(m))
-        else:
-            said = F.transform("_matches", lambda m: F.lit(marker))
-        rebuilt = F.array_join(F.flatten(F.zip_with(F.split(text, pattern, -1), said, lambda g, m: F.array(g, F.coalesce(m, F.lit(""))))), "")
-        some = F.exists("_matches", lambda m: m.rlike("[0-9]")) if kind == "entropy" else F.size("_matches") > 0
-        out = matches.withColumn("text", F.when(some, rebuilt).otherwise(text)).drop("_matches")
-    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
+    """``docs`` with the same columns, the spans of each text replaced by ``marker`` (those that overlap by one) and ``n_chars`` set to
+    the new length where it is there. The spans are those that ``secrets`` tells; texts without any stay as they are, nulls too."""
+    rows = docs.select(F.struct(*columns_of(docs)).alias("row"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    found = with_spans(rows, "row")
+
+    def rebuilt(spans: Column, blocks: Column) -> Column:
+        ends = F.concat(F.array(F.lit(0).cast("long")), F.transform(spans, lambda s: s["end"]))
+        starts = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.length("text").cast("long")))
+        return F.array_join(F.zip_with(ends, starts, lambda a, b: piece(blocks, a, b)), marker)
+
+    some = F.size("spans") > 0
+    text = let(_apart(F.col("spans")), lambda spans: let(blocks_of(F.col("text")), lambda blocks: rebuilt(spans, blocks)))
+    told = found.select("row", some.alias("some"), F.when(some, text).alias("text"))
+    new = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return told.select(*(F.when(F.col("some"), new[c]).otherwise(F.col("row").getField(c)).alias(c) if c in new else F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
