@@ -3,7 +3,12 @@
 Benchmark items are cut into windows of ten words (an item of fewer words is one window). Their hashes fill a bit table of
 bounded size that goes with the plan; each window of each document is hashed and looked up in it, and only what passes is
 written out as text and joined with the windows' text itself, so a hash alone never makes a hit. The windows are broadcast
-while there are at most ``BROADCAST_WINDOWS`` of them; beyond that the same join is shuffled.
+while they have at most ``BROADCAST_BYTES``; beyond that the same join is shuffled, and Spark splits what a common passage
+brings to one task, as rows of documents are its left side.
+
+The bit table has 64 bits for each window up to a million windows, and then 2^26 bits in all: with m million windows about
+(1 - exp(-3m/67))^3 of a document's windows pass it, 0.2 % at three million and 5 % at ten. What passes costs its text in the
+join; results stay the same.
 
 Defined results: a null text has no words and no hits; benchmark rows without an id, text or words are passed over, and
 repeated ones count once; repeated documents are judged each; empty tables give no rows or no hits; other columns are
@@ -15,14 +20,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.native import let, words
-from tidemill.llm.tables import checkpointed, read_table, texts
+from tidemill.llm.tables import checkpointed, free_name, read_table, texts
 
 WINDOW = 10
 #: The bit table has about 64 bits for each window of the benchmark, between these powers of two. A fuller table lets more pass.
-LEAST_BITS, MOST_BITS = 16, 23
+LEAST_BITS, MOST_BITS = 16, 26
 PROBES = 3
-#: Bound of the broadcast: so many windows of ten words are some hundred MB at most.
-BROADCAST_WINDOWS = 500_000
+#: Bound of the windows' text and item ids that are broadcast, and of the rows (an id and a hash) of contaminated documents.
+BROADCAST_BYTES, BROADCAST_ROWS = 64 << 20, 1_000_000
 
 
 def _window_hash(hashes: Column, start: Column, size: int) -> Column:
@@ -32,7 +37,7 @@ def _window_hash(hashes: Column, start: Column, size: int) -> Column:
 
 def _places(h: Column, bits: int) -> list[Column]:
     """The places of a hash in the bit table."""
-    return [F.shiftrightunsigned(h, k * 20).bitwiseAND(F.lit((1 << bits) - 1)) for k in range(PROBES)]
+    return [F.shiftrightunsigned(h, k * 19).bitwiseAND(F.lit((1 << bits) - 1)) for k in range(PROBES)]
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -46,16 +51,17 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def _bit_table(windows: DataFrame) -> tuple[int, str, list[int], int]:
-    """Bits (as a power of two), the table's 64-bit numbers as text, the windows' sizes, and how many windows there are.
+    """Bits (as a power of two), the table's 64-bit numbers as text, the windows' sizes, and how many bytes the windows have.
     What reaches the driver is bounded: the table itself and at most as many sizes as a window has words."""
-    n = windows.count()
+    held = F.octet_length("window").cast("long") + F.octet_length(F.array_join("item_ids", ","))
+    n, size = windows.agg(F.count("*"), F.coalesce(F.sum(held), F.lit(0))).first()
     bits = min(MOST_BITS, max(LEAST_BITS, (64 * n).bit_length()))
     placed = windows.select(F.explode(F.array(*_places(F.col("hash"), bits))).alias("at"))
     slots = placed.groupBy(F.shiftright("at", 6).alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, int(at & 63))")).alias("bits"))
     table = [0] * (1 << (bits - 6))
     for row in slots.collect():
         table[row["slot"]] = row["bits"]
-    return bits, ",".join(map(str, table)), sorted(r["size"] for r in windows.select("size").distinct().collect()), n
+    return bits, ",".join(map(str, table)), sorted(r["size"] for r in windows.select("size").distinct().collect()), size
 
 
 def _passing(hashes: Column, plain: Column, size: int, bits: int, table: Column) -> Column:
@@ -92,10 +98,10 @@ def _covered(spans: Column) -> Column:
 def hits(docs: DataFrame, benchmark: DataFrame, *keys: str) -> DataFrame:
     """For each row of ``docs``: ``keys``, ``n_words``, ``spans`` (start, end in words, of every hit window) and ``item_ids``."""
     windows = checkpointed(benchmark_windows(benchmark))
-    bits, text, sizes, n = _bit_table(windows)
+    bits, text, sizes, size_in_bytes = _bit_table(windows)
     table = F.split(F.lit(text), ",").cast("array<bigint>")
     plain = docs.select(F.monotonically_increasing_id().alias("_row"), *keys, words(F.col("text")).alias("_words"))
-    hashed = plain.select("*", F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
+    hashed = plain.select("_row", *keys, "_words", F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
     found = [_passing(F.col("_hashes"), F.col("_words"), size, bits, table) for size in sizes]
     none = F.array().cast("array<struct<start:bigint,size:int,window:string>>")
     passed = hashed.select("_row", *keys, F.size("_words").cast("long").alias("n_words"), F.concat(none, *found).alias("_found"))
@@ -103,7 +109,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, *keys: str) -> DataFrame:
     # Rows without a window keep their place in the join under a key of their own, so that they meet nobody, wherever they go.
     one = one.select("_row", *keys, "n_words", F.col("_hit.start").alias("start"), (F.col("_hit.start") + F.col("_hit.size")).alias("end"), F.coalesce("_hit.window", F.concat(F.lit(" "), F.col("_row"))).alias("window"))
     known = windows.select("window", "item_ids")
-    matched = one.join(F.broadcast(known) if n <= BROADCAST_WINDOWS else known, "window", "left")
+    matched = one.join(F.broadcast(known) if size_in_bytes <= BROADCAST_BYTES else known, "window", "left")
     span = F.when(F.col("item_ids").isNotNull(), F.struct("start", "end"))
     return matched.groupBy("_row", *keys, "n_words").agg(F.collect_list(span).alias("spans"), F.array_distinct(F.flatten(F.collect_set("item_ids"))).alias("item_ids")).drop("_row")
 
@@ -122,12 +128,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without a hit, with all their columns. A row is known by its id and its text's hash; the ids of
-    hit rows are few, and Spark broadcasts them or not by their measured size."""
-    keyed = docs.withColumn("_text", F.xxhash64("text"))
-    hit = hits(keyed.select(F.col("doc_id").alias("_id"), "_text", "text"), benchmark, "_id", "_text").where(F.size("spans") > 0)
-    hit = checkpointed(hit.select("_id", F.col("_text").alias("_hash")).distinct())
-    return keyed.join(hit, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_anti").drop("_text")
+    """The rows of ``docs`` without a hit, with all their columns, whatever their names. A row is known by its id, its text's
+    length and hash. Rows with a hit are counted first: while they are few they are broadcast and no text is moved."""
+    row, key = free_name(docs, "_judged"), ["_key"]
+    named = F.struct(F.col("doc_id"), F.octet_length("text").alias("size"), F.xxhash64("text").alias("hash"))
+    hit = hits(docs.select(named.alias("_key"), "text"), benchmark, *key).where(F.size("spans") > 0)
+    hit = checkpointed(hit.select("_key.doc_id", "_key.size", "_key.hash").distinct().toDF(*(f"{row}_{k}" for k in range(3))))
+    same = F.col("doc_id").eqNullSafe(F.col(f"{row}_0")) & (F.octet_length("text") == F.col(f"{row}_1")) & (F.xxhash64("text") == F.col(f"{row}_2"))
+    return docs.join(F.broadcast(hit) if hit.count() <= BROADCAST_ROWS else hit, same, "left_anti")
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
