@@ -13,7 +13,8 @@ gives no rows; other columns are ignored; documents of any length are tokenised
 
 from __future__ import annotations
 
-import base64
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,37 +28,49 @@ from pyspark.sql import functions as F
 from tidemill.llm.tables import checkpointed, read_table, texts
 
 WINDOW, END = 2048, 1
-#: Pieces of one length are ranked in so many parts, so that a length that many documents share is no single task.
-PARTS = 64
+#: Pieces of one length are ranked in parts of about so many rows, so that a length that many documents share (a full window is
+#: one) is no single task, whatever the corpus.
+ROWS_A_PART = 100_000
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+LONG_RUN = re.compile(r"\s{100000}")
 
 
 @lru_cache(maxsize=2)
-def _encoding(ranks_path: str):
-    import tiktoken
+def _whole(path: str):
+    """The tokenizer that the file describes."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
 
-    with open(ranks_path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines)}
-    return tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={"<|endoftext|>": len(ranks)})
+
+def _bytes_of_letters() -> dict[str, int]:
+    """The letters that byte-level vocabularies write for bytes: visible ones stand for themselves, others for the letters from 256 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in visible]
+    return {chr(b): b for b in visible} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
 @lru_cache(maxsize=2)
-def _whole(ranks_path: str):
-    """The tokenizer of the same vocabulary in the slower library, which sets no limit to what its pattern may go back over."""
-    from tokenizers import Tokenizer
+def _encoding(path: str):
+    """The vocabulary of the file in a library that merges faster. A piece's id is its rank there, which is what this asks for."""
+    import tiktoken
 
-    return Tokenizer.from_file(str(Path(ranks_path).with_suffix(".json")))
+    told = json.loads(Path(path).read_text(encoding="utf-8"))
+    special = {t["content"]: t["id"] for t in told["added_tokens"]}
+    letters = _bytes_of_letters()
+    ranks = {bytes(letters[c] for c in piece): i for piece, i in told["model"]["vocab"].items() if piece not in special}
+    return tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
-def token_ids(text: str, ranks_path: str) -> list[int]:
-    """The ids of a text. In a run of about a million whitespace characters the fast library's pattern gives up."""
-    try:
-        return _encoding(ranks_path).encode(text, allowed_special="all")
-    except ValueError:
-        return _whole(ranks_path).encode(text, add_special_tokens=False).ids
+def token_ids(text: str, path: str) -> list[int]:
+    """The ids of a text. In a run of about a million whitespace characters the fast library's pattern gives up, so texts with
+    runs of a tenth of that go to the other one."""
+    if LONG_RUN.search(text):
+        return _whole(path).encode(text, add_special_tokens=False).ids
+    return _encoding(path).encode(text, allowed_special="all")
 
 
-def pieces(docs: DataFrame, ranks_path: str, window: int = WINDOW, end: int = END) -> DataFrame:
+def pieces(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) -> DataFrame:
     """Each document's pieces: ``doc_id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``."""
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
@@ -65,7 +78,7 @@ def pieces(docs: DataFrame, ranks_path: str, window: int = WINDOW, end: int = EN
         for batch in batches:
             rows: list[list] = [[] for _ in names]
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = np.array([*token_ids(text.as_py(), ranks_path), end], "<u4")
+                ids = np.array([*token_ids(text.as_py(), path), end], "<u4")
                 for start in range(0, len(ids), window):
                     part = ids[start : start + window]
                     for values, x in zip(rows, (doc_id, start, len(part), zlib.crc32(part.tobytes()), len(ids)), strict=True):
@@ -136,27 +149,30 @@ def best_fit_plan(histogram: dict[int, int], window: int) -> list[tuple[int, int
     return plan
 
 
-def pack(cut: DataFrame, window: int = WINDOW, parts: int = PARTS) -> DataFrame:
-    """The rows of ``cut`` (see ``pieces``) with ``sequence_id`` and ``offset``. ``cut`` is read twice, so give it checkpointed.
+def pack(cut: DataFrame, window: int = WINDOW, rows_a_part: int = ROWS_A_PART) -> DataFrame:
+    """The rows of ``cut`` (see ``pieces``) with ``sequence_id`` and ``offset``. ``cut`` is read three times, so give it checkpointed.
 
-    Only the counts by length and part reach the driver, at most ``window * parts`` numbers."""
-    dealt = cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(parts)).cast("int"))
-    counts = np.zeros((window + 1, parts), np.int64)
-    for row in dealt.groupBy("length", "part").count().toLocalIterator():
-        counts[row["length"], row["part"]] = row["count"]
-    base = np.cumsum(counts, axis=1) - counts
-    plan = best_fit_plan({length: int(n) for length, n in enumerate(counts.sum(axis=1)) if n}, window)
+    Only counts reach the driver: one for each length, then one for each part of a length, a row for every ``rows_a_part``
+    pieces and ``window`` more at most."""
+    many = {row["length"]: row["count"] for row in cut.groupBy("length").count().collect()}
+    parts = F.split(F.lit(",".join(str(-(-many.get(n, 1) // rows_a_part)) for n in range(window + 1))), ",").cast("array<int>")
+    dealt = cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.get(parts, F.col("length").cast("int"))).cast("int"))
+    counts = np.array(sorted(tuple(row) for row in dealt.groupBy("length", "part").count().collect()), np.int64).reshape(-1, 3)
+    part_keys = counts[:, 0] << 32 | counts[:, 1]
+    before = np.cumsum(counts[:, 2]) - counts[:, 2]
+    base = before - before[np.searchsorted(counts[:, 0], counts[:, 0])]
+    plan = best_fit_plan(many, window)
     plan.sort()
     lengths, first_ranks, each, sequences, offsets = np.array(plan, np.int64).reshape(-1, 5).T
-    shared = cut.sparkSession.sparkContext.broadcast((base, lengths << 40 | first_ranks, first_ranks, each, sequences, offsets))
+    shared = cut.sparkSession.sparkContext.broadcast((part_keys, base, lengths << 40 | first_ranks, first_ranks, each, sequences, offsets))
     by_part = Window.partitionBy("length", "part").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
     ranked = dealt.withColumn("rank", F.row_number().over(by_part) - 1)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, keys, first_ranks, each, sequences, offsets = shared.value
+        part_keys, base, keys, first_ranks, each, sequences, offsets = shared.value
         for batch in batches:
             length, part, rank = (batch.column(n).to_numpy() for n in ("length", "part", "rank"))
-            rank = rank + base[length, part]
+            rank = rank + base[np.searchsorted(part_keys, length << 32 | part)]
             at = np.searchsorted(keys, length << 40 | rank, "right") - 1
             sequence = sequences[at] + (rank - first_ranks[at]) // each[at]
             offset = offsets[at] + (rank - first_ranks[at]) % each[at] * length
@@ -167,11 +183,11 @@ def pack(cut: DataFrame, window: int = WINDOW, parts: int = PARTS) -> DataFrame:
     return ranked.select(*cut_names, "part", "rank").mapInArrow(place, ", ".join(f"{n} long" for n in [*cut_names, "sequence_id", "offset"]))
 
 
-def packed(docs: DataFrame, ranks_path: str, window: int = WINDOW, end: int = END) -> DataFrame:
-    return pack(checkpointed(pieces(docs, ranks_path, window, end)), window)
+def packed(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) -> DataFrame:
+    return pack(checkpointed(pieces(docs, path, window, end)), window)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return packed(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return packed(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
