@@ -18,7 +18,8 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # Written out, so that Spark can split the join where a node has very many neighbours.
+        least = checkpointed(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         hung = large.join(small, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")

@@ -6,7 +6,7 @@ counted apart, by fragment, and added per pair.
 
 1. Documents of equal sets are one class, known by a hash of its set, and compared once.
 2. Each shingle goes, packed with many others, to the bucket of its hash, where its classes are counted. Only shingles of
-   two classes or more can ever match and go back to their class.
+   two classes or more can ever match and go back to their class. Those that are frequent in a pack already go there at once.
 3. Two classes can only be linked if they share one of the first shingles of either, as many as may differ and one more.
    A class whose shingles are nearly all its own drops out here.
 4. Classes that share such a shingle are compared with the first of them; what links makes components. Where a shingle
@@ -16,7 +16,7 @@ counted apart, by fragment, and added per pair.
 
 Defined results: null, empty and blank texts have an empty set and are linked with nothing; of fewer than five words the
 whole sequence is the one shingle; equal rows are each told; a null id has no part in the smallest id of a component; an
-empty table gives no rows; other columns are ignored; texts are taken whole."""
+empty table gives no rows; other columns are ignored; texts are taken whole. Shingles and sets are known by 64-bit hashes."""
 
 from __future__ import annotations
 
@@ -24,12 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.blobs import groups, pack_sorted, squeeze, unpack_sorted, unsqueeze
 from tidemill.llm.graph import components
-from tidemill.llm.tables import checkpointed, partitions, read_table, texts
+from tidemill.llm.tables import checkpointed, free_name, partitions, read_table, texts
 from tidemill.llm.wordhash import LOWER, blocks, joined, mix, word_hashes, words
 
 SHINGLE, LEAST_PERCENT = 5, 75
@@ -37,6 +37,11 @@ SHINGLE, LEAST_PERCENT = 5, 75
 CUTS = (3, 6, 40)
 #: Shingles packed together before they are dealt to buckets, and documents on a side of a cell of comparisons.
 FLUSH, CELL = 2_000_000, 256
+#: A shingle that so many classes of one pack have is frequent: its entries don't meet in the bucket of its hash, which would grow
+#: with the corpus. All frequent shingles are the last in the global order, so that nobody need know how frequent they are.
+FREQUENT_IN_PACK, FREQUENT_LEVEL = 256, 60_000
+#: Rows that go are broadcast up to this number of ids and hashes.
+BROADCAST_ROWS = 1_000_000
 
 _WORD = np.ones(256, bool)
 _WORD[[0x20, *range(0x09, 0x0E)]] = False
@@ -61,20 +66,34 @@ def set_id(hashes: np.ndarray) -> int:
     return int(mix(np.array([mix(hashes).sum(dtype=np.uint64) + np.uint64(len(hashes))], np.uint64))[0].astype(np.int64)) if len(hashes) else 0
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n`` (size of the set) and ``cid`` (name of the set) of every row."""
+#: What a row of the first pass holds: shingles to be counted, shingles known to be frequent, or a document's class.
+PACK, FREQUENT, RECORD = 0, 1, 2
+_FIRST = "kind int, bucket int, many long, shingles binary, owners binary, cids binary, sizes binary, levels binary, doc_id long, mark long, n long, cid long"
+_FIRST_TYPES = (pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 5, *[pa.int64()] * 4)
+_FIRST_NAMES = [c.split()[0] for c in _FIRST.split(", ")]
+
+
+def _mark(text: Column) -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [(len(s), set_id(s)) for s in shingle_sets(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x for x, _ in sets], pa.int64()), pa.array([x for _, x in sets], pa.int64())], ["doc_id", "n", "cid"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, n long, cid long")
+def _rows(rows: list[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in rows], t) for c, t in zip(_FIRST_NAMES, _FIRST_TYPES, strict=True)], _FIRST_NAMES)
+
+
+def _by_class(kind: int, cids: np.ndarray, sizes: np.ndarray, tokens: np.ndarray, levels: np.ndarray, buckets: int) -> list[dict]:
+    """Entries packed by bucket of their class."""
+    to = mix(cids.view(np.uint64)) % np.uint64(buckets)
+    order = np.lexsort((cids, to))
+    edges = np.searchsorted(to[order], np.arange(buckets + 1, dtype=np.uint64))
+    picked = ((k, order[edges[k] : edges[k + 1]]) for k in range(buckets))
+    return [{"kind": kind, "bucket": k, "cids": squeeze(cids[at]), "sizes": squeeze(sizes[at]), "shingles": tokens[at].tobytes(), "levels": squeeze(levels[at])} for k, at in picked if len(at)]
 
 
 def _dealt(docs: DataFrame, buckets: int) -> DataFrame:
-    """The shingles of all classes, packed by bucket of their hash: rows of (bucket, how many, shingles, owners, classes, sizes)."""
-    names = ["bucket", "many", "shingles", "owners", "cids", "sizes"]
+    """The only pass over the texts. For each document a record of its class; the shingles of all classes, packed by bucket of
+    their hash, with those that many classes of one pack have left out and only named (``levels``); these go on by class."""
 
     def flush(sets: dict[int, np.ndarray]) -> pa.RecordBatch:
         cids, sizes = np.fromiter(sets, np.int64, len(sets)), np.array([len(s) for s in sets.values()], np.uint32)
@@ -82,46 +101,61 @@ def _dealt(docs: DataFrame, buckets: int) -> DataFrame:
         owners = np.repeat(np.arange(len(sets), dtype=np.uint32), sizes)
         order = np.argsort(tokens, kind="stable")
         tokens, owners = tokens[order], owners[order]
-        cuts = np.searchsorted(tokens, np.array([(k << 64) // buckets for k in range(1, buckets)], np.uint64))
-        rows = []
-        for k, (first, last) in enumerate(zip([0, *cuts], [*cuts, len(tokens)], strict=True)):
-            if last > first:
-                here, owner = np.unique(owners[first:last], return_inverse=True)
+        begin = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
+        runs = np.diff(np.r_[begin, len(tokens)])
+        hot = np.repeat(runs >= FREQUENT_IN_PACK, runs)
+        frequent = tokens[begin[runs >= FREQUENT_IN_PACK]]
+        rows = _by_class(FREQUENT, cids[owners[hot]], sizes[owners[hot]], tokens[hot], np.full(int(hot.sum()), FREQUENT_LEVEL, np.uint16), buckets)
+        tokens, owners = tokens[~hot], owners[~hot]
+        bounds = np.array([(k << 64) // buckets for k in range(1, buckets)], np.uint64)
+        packs = zip(np.split(tokens, np.searchsorted(tokens, bounds)), np.split(owners, np.searchsorted(tokens, bounds)), np.split(frequent, np.searchsorted(frequent, bounds)), strict=True)
+        for k, (some, own, named) in enumerate(packs):
+            if len(some) or len(named):
+                here, owner = np.unique(own, return_inverse=True)
                 owner = owner.astype(np.uint16 if len(here) < 1 << 16 else np.uint32)
-                rows.append((k, int(last - first), pack_sorted(tokens[first:last]), owner.tobytes(), cids[here].tobytes(), sizes[here].tobytes()))
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int64(), *[pa.binary()] * 4))], names)
+                rows.append({"kind": PACK, "bucket": k, "many": len(some), "shingles": pack_sorted(some), "owners": owner.tobytes(), "cids": cids[here].tobytes(), "sizes": sizes[here].tobytes(), "levels": named.tobytes()})
+        return _rows(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, held = {}, 0
         for batch in batches:
+            records = []
             for s in shingle_sets(batch.column("text")):
-                if len(s) and (cid := set_id(s)) not in sets:
+                cid = set_id(s)
+                records.append((len(s), cid))
+                if len(s) and cid not in sets:
                     sets[cid] = s
                     held += len(s)
                     if held >= FLUSH:
                         yield flush(sets)
                         sets, held = {}, 0
+            many, none = len(records), [pa.nulls(len(records), t) for t in _FIRST_TYPES[2:8]]
+            n, cids = pa.array([r[0] for r in records], pa.int64()), pa.array([r[1] for r in records], pa.int64())
+            at = pa.array(np.arange(many) % buckets, pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(many, RECORD), pa.int32()), at, *none, batch.column("doc_id"), batch.column("mark"), n, cids], _FIRST_NAMES)
         if sets:
             yield flush(sets)
 
-    return texts(docs).select("text").mapInArrow(run, "bucket int, many long, shingles binary, owners binary, cids binary, sizes binary")
+    return texts(docs).withColumn("mark", _mark(F.col("text"))).mapInArrow(run, _FIRST)
 
 
 def _shared(dealt: DataFrame, buckets: int) -> DataFrame:
-    """The shingles of two classes or more, packed by bucket of the class: rows of (bucket, cids, sizes, shingles, levels).
-    A shingle's level is its number of classes, coarsely: eight steps to each doubling."""
-    names = ["bucket", "cids", "sizes", "shingles", "levels"]
+    """The shingles of two classes or more, packed by bucket of the class (``cids``, ``sizes``, ``shingles``, ``levels``), and what else came, as
+    it is. A shingle's level is its number of classes, coarsely: eight steps to each doubling; frequent ones come last."""
 
-    def count(rows: list[dict]) -> Iterator[tuple]:
+    def count(rows: list[dict]) -> list[dict]:
         tokens = np.concatenate([unpack_sorted(r["shingles"], r["many"]) for r in rows])
         owners = [np.frombuffer(r["owners"], np.uint16 if len(r["cids"]) < 8 << 16 else np.uint32) for r in rows]
         cids = np.concatenate([np.frombuffer(r["cids"], np.int64)[o] for r, o in zip(rows, owners, strict=True)])
         sizes = np.concatenate([np.frombuffer(r["sizes"], np.uint32)[o] for r, o in zip(rows, owners, strict=True)])
+        frequent = np.unique(np.concatenate([np.frombuffer(r["levels"], np.uint64) for r in rows]))
         order = np.argsort(tokens, kind="stable")
         tokens, cids, sizes = tokens[order], cids[order], sizes[order]
         twice = np.zeros(len(tokens) + 1, bool)
         twice[1:-1] = tokens[1:] == tokens[:-1]
         keep = twice[1:] | twice[:-1]
+        if len(frequent):
+            keep |= np.isin(tokens, frequent)
         tokens, cids, sizes = tokens[keep], cids[keep], sizes[keep]
         order = np.lexsort((cids, tokens))
         tokens, cids, sizes = tokens[order], cids[order], sizes[order]
@@ -129,23 +163,28 @@ def _shared(dealt: DataFrame, buckets: int) -> DataFrame:
         new[1:] = (tokens[1:] != tokens[:-1]) | (cids[1:] != cids[:-1])
         tokens, cids, sizes = tokens[new], cids[new], sizes[new]
         _, at, df = np.unique(tokens, return_inverse=True, return_counts=True)
-        df = df[at]
-        tokens, cids, sizes, df = (x[df > 1] for x in (tokens, cids, sizes, df))
-        levels = np.floor(8 * np.log2(df)).astype(np.uint16)
-        to = mix(cids.view(np.uint64)) % np.uint64(buckets)
-        order = np.lexsort((cids, to))
-        edges = np.searchsorted(to[order], np.arange(buckets + 1, dtype=np.uint64))
-        for k in range(buckets):
-            at = order[edges[k] : edges[k + 1]]
-            if len(at):
-                yield k, squeeze(cids[at]), squeeze(sizes[at]), tokens[at].tobytes(), squeeze(levels[at])
+        df = np.where(np.isin(tokens, frequent), 0, df[at])
+        levels = np.where(df > 0, np.floor(8 * np.log2(np.maximum(df, 1))), FREQUENT_LEVEL).astype(np.uint16)
+        keep = df != 1
+        return _by_class(PACK, cids[keep], sizes[keep], tokens[keep], levels[keep], buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in groups(batches, ["bucket"]):
-            out = list(count(rows))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), *[pa.binary()] * 4))], names)
+        def packs() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                kind = batch.column("kind").to_numpy()
+                if (kind != PACK).any():
+                    passed.append(batch.filter(pa.array(kind != PACK)))
+                if (kind == PACK).any():
+                    yield batch.filter(pa.array(kind == PACK))
+
+        passed: list[pa.RecordBatch] = []
+        for _, rows in groups(packs(), ["bucket"]):
+            yield from passed
+            passed.clear()
+            yield _rows(count(rows))
+        yield from passed
 
-    return dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "bucket int, cids binary, sizes binary, shingles binary, levels binary")
+    return dealt.repartitionById(buckets, "bucket").sortWithinPartitions(F.desc("kind"), "bucket").mapInArrow(run, _FIRST)
 
 
 def _possible(shared: DataFrame, buckets: int, percent: int) -> DataFrame:
@@ -161,6 +200,7 @@ def _possible(shared: DataFrame, buckets: int, percent: int) -> DataFrame:
             tokens = np.concatenate([np.frombuffer(r["shingles"], np.uint64) for r in rows])
             levels = np.concatenate([unsqueeze(r["levels"], np.uint16) for r in rows])
             order = np.lexsort((tokens, levels, cids))
+            order = order[np.r_[True, (cids[order][1:] != cids[order][:-1]) | (tokens[order][1:] != tokens[order][:-1])]]  # equal sets of several packs
             cids, sizes, tokens, levels = cids[order], sizes[order], tokens[order], levels[order]
             edges = np.flatnonzero(np.r_[True, cids[1:] != cids[:-1], True])
             out = []
@@ -172,7 +212,7 @@ def _possible(shared: DataFrame, buckets: int, percent: int) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32()))], names)
 
-    return shared.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "cid long, n long, shingles array<long>, cuts array<int>, first int")
+    return shared.repartitionById(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "cid long, n long, shingles array<long>, cuts array<int>, first int")
 
 
 def _linked(queries: DataFrame, members: DataFrame, possible: DataFrame, percent: int, buckets: int) -> DataFrame:
@@ -181,7 +221,8 @@ def _linked(queries: DataFrame, members: DataFrame, possible: DataFrame, percent
     A group is cut into cells of some hundred queries by as many members. Overlaps are counted by cell and fragment, a small
     table of numbers each, and these tables are added by cell. So a pair is never a row unless it is a link."""
     sizes = queries.groupBy("g").agg(F.count("*").alias("q")).join(members.groupBy("g").agg(F.count("*").alias("m")), "g")
-    sizes = sizes.select("g", F.ceil(F.col("q") / CELL).cast("int").alias("q"), F.ceil(F.col("m") / CELL).cast("int").alias("m"))
+    # Written out, as Spark splits a skewed join only where both sides come right from a shuffle.
+    sizes = checkpointed(sizes.select("g", F.ceil(F.col("q") / CELL).cast("int").alias("q"), F.ceil(F.col("m") / CELL).cast("int").alias("m")))
 
     def cells(side: DataFrame, own: str, other: str) -> DataFrame:
         rows = side.join(sizes, "g").withColumn(f"{own}_part", F.pmod(F.xxhash64("cid"), F.col(own)).cast("int"))
@@ -220,50 +261,74 @@ def _linked(queries: DataFrame, members: DataFrame, possible: DataFrame, percent
     return counted.repartition(buckets, *cell).sortWithinPartitions(*cell).mapInArrow(add, "a long, b long")
 
 
-def class_components(docs: DataFrame, percent: int = LEAST_PERCENT) -> DataFrame:
-    """``cid`` and ``component`` (a class of it) of each class that is linked with another one."""
-    buckets = partitions(docs.sparkSession)
-    possible = checkpointed(_possible(_shared(_dealt(docs, buckets), buckets), buckets, percent))
+def class_components(shared: DataFrame, percent: int, buckets: int) -> DataFrame:
+    """``cid`` and ``component`` (a class of it) of each class that is linked with another one, from the packs of ``_shared``.
+
+    Small sides of joins by shingle and by component are written out first, so that Spark can split what a frequent shingle or
+    a large component brings to one task."""
+    possible = checkpointed(_possible(shared, buckets, percent))
     entries = possible.select("cid", F.explode(F.slice("shingles", F.lit(1), F.col("first"))).alias("shingle"))
 
-    first = entries.groupBy("shingle").agg(F.min("cid").alias("g"), F.count("*").alias("many")).where("many > 1").select("shingle", "g")
+    first = checkpointed(entries.groupBy("shingle").agg(F.min("cid").alias("g"), F.count("*").alias("many")).where("many > 1").select("shingle", "g"))
     queries = checkpointed(entries.join(first, "shingle").where("cid <> g").select("g", "cid").distinct())
     links = _linked(queries, queries.select("g", F.col("g").alias("cid")).distinct(), possible, percent, buckets)
     found = checkpointed(components(links.distinct()))
 
-    sizes = found.groupBy("component").agg(F.count("*").alias("size"))
+    sizes = checkpointed(found.groupBy("component").agg(F.count("*").alias("size")))
     placed = possible.select("cid").join(found, F.col("cid") == F.col("node"), "left").join(sizes, "component", "left")
     placed = checkpointed(placed.select("cid", F.coalesce("component", "cid").alias("component"), F.coalesce("size", F.lit(1)).alias("size")))
     entries = entries.join(placed, "cid")
     largest = entries.groupBy("shingle").agg(F.max(F.struct("size", "component")).alias("l"), F.min("component").alias("x"), F.max("component").alias("y"))
-    open_ = largest.where("x <> y").select("shingle", F.col("l.component").alias("g"))
+    open_ = checkpointed(largest.where("x <> y").select("shingle", F.col("l.component").alias("g")))
     outside = checkpointed(entries.join(open_, "shingle").where("component <> g").select("g", "cid").distinct())
-    inside = placed.select(F.col("component").alias("g"), "cid").join(outside.select("g").distinct(), "g", "left_semi")
+    asked = checkpointed(outside.select("g").distinct())
+    inside = placed.select(F.col("component").alias("g"), "cid").join(asked, "g", "left_semi")
     more = _linked(outside, inside.unionByName(outside), possible, percent, buckets)
     owner = placed.select("cid", "component")
     between = more.join(owner.toDF("a", "ca"), "a").join(owner.toDF("b", "cb"), "b").where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-    merged = components(between).toDF("component", "merged")
+    merged = checkpointed(components(between)).toDF("component", "merged")
     return owner.join(merged, "component", "left").select("cid", F.coalesce("merged", "component").alias("component"))
 
 
+def _judged(docs: DataFrame, percent: int) -> DataFrame:
+    """``doc_id``, ``mark`` (of the text), ``n`` (size of the set), ``component_id`` and ``owner`` (the component's name) of every row."""
+    buckets = partitions(docs.sparkSession)
+    first = checkpointed(_shared(_dealt(docs, buckets), buckets))
+    rows = first.where(F.col("kind") == RECORD).select("doc_id", "mark", "n", "cid")
+    linked = class_components(first.where(F.col("kind") != RECORD), percent, buckets)
+    named = rows.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("least")).join(linked, "cid", "left")
+    named = checkpointed(named.select("cid", "least", F.coalesce("component", "cid").alias("owner")))
+    least = checkpointed(named.groupBy("owner").agg(F.min("least").alias("component_id")))
+    by_class = named.join(least, "owner").select("cid", "owner", "component_id")
+    out = rows.where("n > 0").join(by_class, "cid").select("doc_id", "mark", "n", "component_id", "owner")
+    return out.unionByName(rows.where("n = 0").select("doc_id", "mark", "n", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("owner")))
+
+
 def near_duplicates(docs: DataFrame, percent: int = LEAST_PERCENT) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` of every row."""
-    rows = checkpointed(classes(docs))
-    linked = class_components(docs, percent)
-    named = rows.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("least")).join(linked, "cid", "left")
-    named = named.select("cid", "least", F.coalesce("component", "cid").alias("component"))
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_class = named.join(least, "component").select("cid", "component_id")
-    out = rows.where("n > 0").join(by_class, "cid").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return out.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    return _judged(docs, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def one_of_each(docs: DataFrame, percent: int = LEAST_PERCENT) -> DataFrame:
-    """``docs`` with one row of each component, that of the smallest id, with all columns. Rows without an id stay."""
-    judged = near_duplicates(docs, percent)
-    stay = checkpointed(judged.where("doc_id = component_id").select("doc_id").distinct())
-    with_id = docs.where("doc_id IS NOT NULL").join(stay, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return with_id.unionByName(docs.where("doc_id IS NULL"))
+    """``docs`` with one row of each component, that of the smallest id (of several rows of that id, that of the smallest hash of
+    its text; of equal ones, any), with all columns, whatever their names. Rows without an id or without words stay.
+
+    Rows are known by id and hash of the text. While the rows that go are few, they are broadcast and no text is moved."""
+    row = free_name(docs, "_judged")
+    judged = checkpointed(_judged(docs, percent).where("doc_id IS NOT NULL AND n > 0"))
+    keys = judged.groupBy("component_id", "owner", "doc_id", "mark").agg(F.count("*").alias("many"))
+    first = keys.groupBy("component_id", "owner").agg(F.min(F.struct("doc_id", "mark", "many")).alias("f")).select("f.*")
+    stay = checkpointed(first.toDF(f"{row}_id", f"{row}_mark", f"{row}_many"))
+    known = F.col("doc_id").isNotNull() & (_mark(F.col("text")) == F.col(f"{row}_mark")) & (F.col("doc_id") == F.col(f"{row}_id"))
+    gone = keys.select("doc_id", "mark", F.lit(1).alias("any")).distinct().join(stay, (F.col("doc_id") == F.col(f"{row}_id")) & (F.col("mark") == F.col(f"{row}_mark")), "left_anti")
+    gone = checkpointed(gone.select(F.col("doc_id").alias(f"{row}_id"), F.col("mark").alias(f"{row}_mark")))
+    twice = checkpointed(stay.where(f"{row}_many > 1"))
+    out = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, known, "left_anti")
+    if twice.isEmpty():
+        return out
+    once = out.join(twice, known, "left_anti")
+    held = out.join(twice, known, "left_semi").withColumn(row, _mark(F.col("text"))).dropDuplicates(["doc_id", row])
+    return once.unionByName(held.drop(row))
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
