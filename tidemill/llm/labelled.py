@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.tables import texts
@@ -22,11 +22,14 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     """``text`` and ``label`` (0 or 1) of labelled rows outside the held-out fold, at most ``per_label`` rows of each label.
 
     The rows are those of the smallest hash of the id, whatever the partitioning. They are chosen from the labels alone, so
-    that only they are looked for in the texts; their number is bounded and so is the broadcast."""
+    that only they are looked for in the texts; their number is bounded and so is the broadcast. Of several documents of one
+    id that with the smallest hash of its text is taken, before anything is collected. Contradicting labels of one id are
+    two rows."""
     usable = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (fold("doc_id", folds) != held_out)).select("doc_id", F.col(label).cast("int").alias("label"))
     order = (F.xxhash64("doc_id"), "doc_id")
     chosen = usable.where("label = 0").orderBy(*order).limit(per_label).unionByName(usable.where("label = 1").orderBy(*order).limit(per_label))
-    return texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    found = texts(docs).join(F.broadcast(chosen.distinct()), "doc_id")
+    return found.groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("doc_id", "text", "label")
 
 
 def collected(sample: DataFrame) -> tuple[pa.Array, np.ndarray]:
@@ -63,6 +66,6 @@ def mean_by_text(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return (total[firsts[1:]] - total[firsts[:-1]]) / np.maximum(1, np.diff(firsts))
 
 
-def fitted(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, per_label: int, fit: Callable):
+def fitted(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, per_label: int, fit: Callable):
     """``fit(texts, labels)`` of the bounded training sample."""
     return fit(*collected(training_sample(docs, labels, label, folds, held_out, per_label)))

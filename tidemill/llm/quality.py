@@ -105,13 +105,16 @@ def fit(texts: pa.Array, labels: np.ndarray, bits: int = BITS, passes: int = 4,
 
 def quality(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_ROWS_PER_LABEL) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted``. The model is a table of bounded size, broadcast to the tasks."""
-    model = fitted(docs.sparkSession, docs, labels, "quality", FOLDS, HELD_OUT, per_label, fit)
+    model = fitted(docs, labels, "quality", FOLDS, HELD_OUT, per_label, fit)
     return scored(docs, model, FOLDS, HELD_OUT, THRESHOLD)
 
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, with all their columns. One pass: texts are scored where they lie."""
-    model = fitted(docs.sparkSession, docs, labels, "quality", FOLDS, HELD_OUT, TRAIN_ROWS_PER_LABEL, fit)
+    """The rows of ``docs`` that the classifier accepts, with all their columns. One pass: texts are scored where they lie. Without
+    labelled rows of both labels there is no classifier, and all rows stay."""
+    model = fitted(docs, labels, "quality", FOLDS, HELD_OUT, TRAIN_ROWS_PER_LABEL, fit)
+    if not model.weights.any():
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

@@ -112,7 +112,7 @@ def calibrated(logits: np.ndarray, labels: np.ndarray, weight_of: np.ndarray, ro
 
 def toxicity(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_ROWS_PER_LABEL) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted``. The model is a table of bounded size, broadcast to the tasks."""
-    model = fitted(docs.sparkSession, docs, labels, "toxic", FOLDS, HELD_OUT, per_label, fit)
+    model = fitted(docs, labels, "toxic", FOLDS, HELD_OUT, per_label, fit)
     return scored(docs, model, FOLDS, HELD_OUT, 0.5)
 
 
