@@ -2,11 +2,11 @@
 
 import hashlib
 import random
-import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import plain
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -18,7 +18,7 @@ from tidemill.llm.graph import components
 from tidemill.llm.run_index import RunIndex
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
-RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+RANKS = public_tokenizers.path("byte_bpe_50k.json")
 
 
 @pytest.fixture(scope="module")
@@ -89,11 +89,11 @@ def test_packing(docs, none, texts):
             assert offset == at
             at += length
         assert at <= 256
-    assert len(sequences) == len(packing_rooms([w[2] for w in want], 256))
+    assert len(sequences) == len(plain.rooms([w[2] for w in want], 256))
     assert packing.packed(none, RANKS).count() == 0
 
 
-@pytest.mark.parametrize("text", ["a" + " " * 2_000_000 + "b", "\n" * 1_000_000, "<|endoftext|>x" + "\u00a0\t" * 600_000])
+@pytest.mark.parametrize("text", ["-" * 2_000_000, "a" * 2_000_000, "a" + " " * 2_000_000 + "b", "\n" * 1_000_000, "<|endoftext|>x" + "\u00a0\t" * 600_000])
 def test_packing_of_long_whitespace(spark, text):
     from tokenizers import Tokenizer
 
@@ -107,39 +107,13 @@ def test_packing_of_long_whitespace(spark, text):
     assert {r["doc_tokens"] for r in got if r["doc_id"] == 1} == {len(want)} and {r["doc_id"] for r in got} == {1, 2}
 
 
-def packing_rooms(lengths, window):
-    rooms = []
-    for n in sorted(lengths, reverse=True):
-        fits = [(r, i) for i, r in enumerate(rooms) if r >= n]
-        if fits:
-            rooms[min(fits)[1]] -= n
-        else:
-            rooms.append(window - n)
-    return rooms
-
-
-WORD = re.compile(r"[^\x20\x09-\x0d]+")
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
-def shingles(text):
-    w = WORD.findall(text.translate(LOWER))
-    return frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
-
-
 def near_components(rows):
-    sets = [(i, shingles(t)) for i, t in rows]
-    label = list(range(len(sets)))
-    for a in range(len(sets)):
-        for b in range(a):
-            x, y = sets[a][1], sets[b][1]
-            if x and y and 100 * len(x & y) >= 75 * len(x | y):
-                label = [min(label[a], label[b]) if k in (label[a], label[b]) else k for k in label]
+    label, sets = plain.components([t for _, t in rows]), [plain.shingles(t) for _, t in rows]
     least = {}
-    for k, (i, s) in zip(label, sets, strict=True):
+    for k, (i, _) in zip(label, rows, strict=True):
         if i is not None:
             least[k] = min(i, least.get(k, i))
-    return Counter((i, len(s), least.get(k) if s else i) for k, (i, s) in zip(label, sets, strict=True))
+    return Counter((i, len(s), least.get(k) if s else i) for k, (i, _), s in zip(label, rows, sets, strict=True))
 
 
 def variants():
@@ -174,9 +148,11 @@ def test_ngram_join(spark, docs, none, unnamed, texts):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({i for i, _, c in near_components(texts) if i == c})
 
 
-def test_ngram_join_in_small_cells(spark, monkeypatch):
+@pytest.mark.parametrize("frequent", [1, 2, 256])
+def test_ngram_join_in_small_cells(spark, monkeypatch, frequent):
     monkeypatch.setattr(ngram_join, "CELL", 4)
     monkeypatch.setattr(ngram_join, "FLUSH", 500)
+    monkeypatch.setattr(ngram_join, "FREQUENT_IN_PACK", frequent)
     rows = variants()
     got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert Counter(tuple(r) for r in got.collect()) == near_components(rows)
