@@ -2,8 +2,10 @@
 
 Each stage takes the session, the documents that the stage before kept and the folder of the other tables, and returns a
 frame; all but the last return the columns of documents. What a stage decides takes effect: rejected and repeated documents
-and those with benchmark passages are gone, secrets are replaced by a marker. Rows with null or empty text are rejected by
-the first stage, as nothing speaks for them; empty tables give empty frames."""
+and those with benchmark passages are gone, secrets are replaced by a marker. Defined results: null and empty texts have the
+classifier's score of no words, and where they pass it they stay to the end, a piece of one token each; without labels of
+both kinds there is no classifier and every document passes; rows of one id are judged each by its text; empty tables of
+documents give empty frames."""
 
 from __future__ import annotations
 
@@ -40,7 +42,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
-    return packed(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return packed(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("secrets", secrets), ("packing", packing)]
