@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidemill.operators.dedup import duplicate_groups, last_landed
 from tidemill.operators.quality import without_empty
-from tidemill.sources.snapshots import Snapshots
+from tidemill.sources.snapshots import PART, Snapshots, tenant_part
 
 
 class ContractBroken(ValueError):
@@ -55,6 +55,11 @@ def replaced(target: DataFrame, rows: DataFrame, tenant_column: str | None, tena
     return target.where(~F.col(tenant_column).eqNullSafe(F.lit(tenant))).unionByName(rows.select(*target.columns))
 
 
+def appended(target: DataFrame, rows: DataFrame) -> DataFrame:
+    """The target and ``rows``, without any look at keys."""
+    return target.unionByName(rows.select(*target.columns))
+
+
 def audit_unique(df: DataFrame, unique: tuple[tuple[str, ...], ...]) -> tuple[str, ...]:
     """A warning for each unique set with duplicates, with the largest three groups."""
     out = []
@@ -65,25 +70,51 @@ def audit_unique(df: DataFrame, unique: tuple[tuple[str, ...], ...]) -> tuple[st
     return tuple(out)
 
 
-def promote(staged: DataFrame, target: Snapshots, keys: list[str], strategy: str, contract: str = "evolve", tenant_column: str | None = None, tenant: str | None = None, unique: tuple[tuple[str, ...], ...] = (), batch: str | None = None) -> PromoteResult:
-    """Staged rows (with the columns ``_seq`` and ``_pos`` of their landing, if they have them) into the target."""
+def _met_by(target: Snapshots, base: dict, rows: DataFrame, keys: list[str], own: str) -> tuple[list[str | None], DataFrame]:
+    """The parts besides ``own`` that have keys of ``rows``, and what stays of their rows, as a key is in the table once. What is
+    collected is a name for each tenant at most."""
+    others = [p["part"] for p in base["parts"] if p["part"] != own]
+    folder = F.element_at(F.split("_metadata.file_path", "/"), -2)
+    held = target.read(base, others)
+    if not others or not keys:
+        return [], held.limit(0).withColumn(PART, F.lit(own))
+    named = held.select("*", F.when(folder.startswith(f"{PART}="), F.substring_index(folder, "=", -1)).otherwise("none").alias(PART))
+    met = [r[0] for r in named.join(rows.select(*keys), keys, "left_semi").select(PART).distinct().collect()]
+    return [None if m == "none" else m for m in met], named.where(F.col(PART).isin(met)).join(rows.select(*keys), keys, "left_anti")
+
+
+def promote(staged: DataFrame, target: Snapshots, keys: list[str], strategy: str, contract: str = "evolve", tenant: str = "", unique: tuple[tuple[str, ...], ...] = (), batch: str | None = None) -> PromoteResult:
+    """Staged rows (with the columns ``_seq`` and ``_pos`` of their landing, if they have them) into the target.
+
+    An upsert rewrites the buckets that its keys fall into and no others. A replacement for a tenant puts the tenant's part in
+    the old one's place; others lose only rows whose keys come again. Empty text in columns of unique sets becomes null in
+    all rows that are written; what stays unwritten went through this when it came."""
     landed = [c for c in ("_seq", "_pos") if c in staged.columns]
     columns = [c for c in staged.columns if not c.startswith("_")]
     target.create_if_missing(staged.select(*columns).schema)
-    old = target.read()
+    base = target.current()
     rows = last_landed(staged, keys) if keys and len(landed) == 2 and strategy != "append" else staged
-    rows, schema = under_contract(rows.select(*columns), old.schema, contract)
-    old = _as(old, schema)
-    counted = Observation()
-    rows = without_empty(rows, unique).observe(counted, F.count(F.lit(1)).alias("n"))
+    rows, schema = under_contract(rows.select(*columns), target.schema_of(base), contract)
+    rows, counted = without_empty(rows, unique), Observation()
+    observed = rows.observe(counted, F.count(F.lit(1)).alias("n"))
     if strategy == "append":
-        version = target.commit(rows, batch, append=True) if schema == old.schema and old.columns == target.read().columns else target.commit(old.unionByName(rows), batch)
-    else:
-        if strategy == "replace":
-            after = replaced(old, rows, tenant_column, tenant)
-        elif strategy == "upsert":
-            after = inserted_if_absent(old, rows, keys) if set(keys) == set(columns) else upserted(old, rows, keys)
+        version = target.commit(observed, batch, append=True, base=base)
+    elif strategy == "replace" and not tenant:
+        version = target.commit(observed, batch, base=base)
+    elif strategy == "replace":
+        own = tenant_part(tenant)
+        met, others = _met_by(target, base, rows, keys, own)
+        others = _as(others, T.StructType([*schema, T.StructField(PART, T.StringType())]))
+        version = target.commit(observed.withColumn(PART, F.lit(own)).unionByName(others), batch, base=base, part=F.col(PART), instead_of=[own, *met], schema=schema)
+    elif strategy == "upsert":
+        bucket = target.bucket(keys, base)
+        touched = [r[0] for r in rows.select(bucket.alias("b")).distinct().collect()]  # at most as many as there are buckets
+        old = _as(target.read(base, [*touched, None]), schema)
+        if set(keys) == set(columns):
+            after = old.unionByName(observed.join(old.select(*keys), keys, "left_anti").select(*old.columns))
         else:
-            raise ValueError(f"unknown load strategy {strategy}")
-        version = target.commit(without_empty(after, unique), batch)
+            after = old.join(rows.select(*keys), keys, "left_anti").select(*old.columns).unionByName(observed)
+        version = target.commit(without_empty(after, unique), batch, base=base, part=bucket, instead_of=[*touched, None])
+    else:
+        raise ValueError(f"unknown load strategy {strategy}")
     return PromoteResult(int(counted.get["n"]), version, audit_unique(target.read(), unique))

@@ -1,82 +1,190 @@
-"""Tables as numbered snapshot folders with a pointer to the current one.
+"""Tables as folders of Parquet files under a log of numbered versions.
 
-A writer makes a new folder and then moves the pointer by renaming a small file over it, which file systems do at once; on
-object stores, where they don't, a table format is the place for this. Readers resolve the pointer once, and a folder that is
-read is never written."""
+A version is a small file that names the folders which make up the table. A writer makes new folders first and then publishes
+the next version by renaming a finished file to its number, which fails if another writer has taken that number: nobody's
+rows are lost silently. HDFS and local file systems rename at once; on object stores, which don't, a table format is the place
+for this. Readers resolve the newest version once, and a folder that is read is never written.
+
+Tables that are upserted are cut into buckets by a hash of the key, and those that are replaced tenant by tenant into the
+tenants' parts, so that a change rewrites only what it touches. Old versions, and folders that none of the kept ones names,
+are removed by ``vacuum``; many small folders are made one by ``compact``."""
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+PART = "_part"
+#: Folders smaller than this are merged once there are more than so many of them.
+SMALL_BYTES, MANY = 64 << 20, 32
+
+
+class ConcurrentCommit(RuntimeError):
+    """Another writer has published the version that this one was to become."""
+
+
+def tenant_part(tenant: str) -> str:
+    """The name of a tenant's part."""
+    return "t" + hashlib.sha256(tenant.encode()).hexdigest()[:16]
+
 
 @dataclass(frozen=True)
 class Snapshots:
     spark: SparkSession
     path: str
+    buckets: int = 8
 
     def _fs(self):
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.path)
         return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), jvm.org.apache.hadoop.fs.Path
 
-    def _read_text(self, name: str) -> str | None:
+    def _listed(self, folder: str) -> list[tuple[str, int]]:
+        """Names under a folder of the table and when they were last changed, in milliseconds."""
         fs, path = self._fs()
-        at = path(f"{self.path}/{name}")
-        if not fs.exists(at):
-            return None
-        stream = fs.open(at)
+        at = path(f"{self.path}/{folder}" if folder else self.path)
+        return [(s.getPath().getName(), s.getModificationTime()) for s in fs.listStatus(at)] if fs.exists(at) else []
+
+    def versions(self) -> list[int]:
+        return sorted(int(name[:-5]) for name, _ in self._listed("_log") if name.endswith(".json"))
+
+    def current(self) -> dict | None:
+        """The newest version: ``version``, ``parts`` (folder, part), ``schema``, ``batch``."""
+        known = self.versions()
+        return self._version(known[-1]) if known else None
+
+    def _version(self, number: int) -> dict:
+        fs, path = self._fs()
+        stream = fs.open(path(f"{self.path}/_log/{number:012d}.json"))
         try:
-            return bytes(stream.readAllBytes()).decode()
+            return json.loads(bytes(stream.readAllBytes()).decode())
         finally:
             stream.close()
 
-    def current(self) -> dict | None:
-        """What the pointer says: ``version``, ``folder``, ``batch``."""
-        text = self._read_text("_current")
-        return json.loads(text) if text else None
-
     def exists(self) -> bool:
-        return self.current() is not None
+        return bool(self.versions())
 
-    def read(self) -> DataFrame:
-        now = self.current()
+    def schema_of(self, version: dict) -> T.StructType:
+        return T.StructType.fromJson(version["schema"])
+
+    def read(self, version: dict | None = None, parts: Iterable[str | None] | None = None) -> DataFrame:
+        """The table, or those of its parts, as of a version (default: the newest)."""
+        now = version or self.current()
         if now is None:
             raise FileNotFoundError(f"no table at {self.path}")
-        return self.spark.read.schema(T.StructType.fromJson(now["schema"])).parquet(*(f"{self.path}/{folder}" for folder in now["folders"]))
+        wanted = None if parts is None else set(parts)
+        folders = [f"{self.path}/{p['folder']}" for p in now["parts"] if wanted is None or p["part"] in wanted]
+        schema = self.schema_of(now)
+        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
 
     def read_or_empty(self, schema: T.StructType) -> DataFrame:
         return self.read() if self.exists() else self.spark.createDataFrame([], schema)
 
     def create_if_missing(self, schema: T.StructType) -> None:
         if not self.exists():
-            self.commit(self.spark.createDataFrame([], schema))
-
-    def commit(self, rows: DataFrame, batch: str | None = None, append: bool = False) -> int:
-        """Writes ``rows`` as the next version, or as one more folder of the current one, and moves the pointer."""
-        now = self.current()
-        version = (now["version"] if now else 0) + 1
-        folder = f"v={version}-{uuid.uuid4().hex[:8]}"
-        rows.write.parquet(f"{self.path}/{folder}")
-        schema = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in rows.schema])
-        folders = [*now["folders"], folder] if append and now else [folder]
-        self._point({"version": version, "folders": folders, "schema": json.loads(schema.json()), "batch": batch})
-        return version
-
-    def _point(self, to: dict) -> None:
+            self._publish(None, [], schema, None)
+
+    def bucket(self, keys: list[str], version: dict) -> Column:
+        """The name of the bucket of a row's key; how many there are was settled when the table was made."""
+        return F.concat(F.lit("b"), F.pmod(F.xxhash64(*keys), F.lit(version["buckets"])).cast("string"))
+
+    def commit(self, rows: DataFrame, batch: str | None = None, append: bool = False, base: dict | None = None, part: Column | None = None, instead_of: Iterable[str | None] | None = None, schema: T.StructType | None = None) -> int:
+        """Writes ``rows`` and publishes the next version.
+
+        ``append``: beside what is there. ``instead_of``: in place of these parts; what else is there stays. Neither: in place of
+        all. ``part``: the part of each row, if the table has parts. ``base``: the version that ``rows`` were made from; if it is
+        no longer the newest, ``ConcurrentCommit``. Appends without a base are tried again on a newer version."""
+        folder = f"v={uuid.uuid4().hex[:16]}"
+        schema = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema or rows.schema])
+        if part is None:
+            rows.write.parquet(f"{self.path}/{folder}")
+            new = [{"folder": folder, "part": None}]
+        else:
+            # Rebalanced by part: a small part is one file, a large one is split, whatever the number of tasks.
+            rows.withColumn(PART, part).hint("rebalance", PART).write.partitionBy(PART).parquet(f"{self.path}/{folder}")
+            names = [name for name, _ in self._listed(folder) if name.startswith(f"{PART}=")]
+            new = [{"folder": f"{folder}/{name}", "part": name[len(PART) + 1 :]} for name in sorted(names)]
+        gone = None if instead_of is None else set(instead_of)
+        for left in (2, 1, 0):
+            now = base or self.current()
+            old = now["parts"] if now else []
+            kept = old if append else [] if gone is None else [p for p in old if p["part"] not in gone]
+            try:
+                return self._publish(now, [*kept, *new], schema, batch)
+            except ConcurrentCommit:
+                if base is not None or not append or not left:
+                    raise
+        raise AssertionError
+
+    def _publish(self, base: dict | None, parts: list[dict], schema: T.StructType, batch: str | None) -> int:
+        version = (base["version"] if base else 0) + 1
         fs, path = self._fs()
-        new = path(f"{self.path}/_next-{uuid.uuid4().hex}")
+        new = path(f"{self.path}/_log/_next-{uuid.uuid4().hex}")
         stream = fs.create(new, True)
-        stream.write(bytearray(json.dumps(to).encode()))
+        stream.write(bytearray(json.dumps({"version": version, "buckets": base["buckets"] if base else self.buckets, "parts": parts, "schema": json.loads(schema.json()), "batch": batch}).encode()))
         stream.close()
-        context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri() if fs.getScheme() != "file" else fs.getUri(), self.spark._jsparkSession.sessionState().newHadoopConf())
-        overwrite = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        overwrite[0] = self.spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        context.rename(new, path(f"{self.path}/_current"), overwrite)
+        jvm = self.spark._jvm
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark._jsparkSession.sessionState().newHadoopConf())
+        never = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        never[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+        to = path(f"{self.path}/_log/{version:012d}.json")
+        try:
+            context.rename(new, to, never)
+        except Exception as error:
+            fs.delete(new, False)
+            if fs.exists(to):
+                raise ConcurrentCommit(f"{self.path}: version {version} is another writer's") from error
+            raise
+        return version
+
+    def compact(self) -> bool:
+        """Makes the small folders of each part one, where a part has many of them; large ones stay. Bounded by ``MANY`` and ``SMALL_BYTES``
+        or what has piled up since; a concurrent commit wins."""
+        now = self.current()
+        if now is None or len(now["parts"]) <= MANY:
+            return False
+        fs, path = self._fs()
+        by_part: dict[str | None, list[dict]] = {}
+        for p in now["parts"]:
+            if fs.getContentSummary(path(f"{self.path}/{p['folder']}")).getLength() < SMALL_BYTES:
+                by_part.setdefault(p["part"], []).append(p)
+        many = {part: held for part, held in by_part.items() if len(held) > MANY}
+        if not many:
+            return False
+        schema, merged, gone = self.schema_of(now), [], []
+        for part, held in many.items():
+            folder = f"v={uuid.uuid4().hex[:16]}"
+            self.spark.read.schema(schema).parquet(*(f"{self.path}/{p['folder']}" for p in held)).hint("rebalance").write.parquet(f"{self.path}/{folder}")
+            merged.append({"folder": folder, "part": part})
+            gone += [p["folder"] for p in held]
+        try:
+            self._publish(now, [p for p in now["parts"] if p["folder"] not in set(gone)] + merged, schema, now["batch"])
+        except ConcurrentCommit:
+            return False
+        return True
+
+    def vacuum(self, keep: int = 20, older_than_hours: float = 24) -> int:
+        """Removes versions beyond the newest ``keep`` and folders that no kept version names, if they haven't changed for
+        ``older_than_hours``, so that readers and writers at work lose nothing. Returns how many folders went."""
+        known = self.versions()
+        kept, (fs, path) = known[-keep:], self._fs()
+        limit = self.spark._jvm.java.lang.System.currentTimeMillis() - int(older_than_hours * 3_600_000)
+        young = {int(name[:-5]) for name, at in self._listed("_log") if name.endswith(".json") and at > limit}
+        stay = [v for v in known if v in kept or v in young]
+        named = {p["folder"].split("/")[0] for v in stay for p in self._version(v)["parts"]}
+        gone = [name for name, at in self._listed("") if name.startswith("v=") and at <= limit and name not in named]
+        for name in gone:
+            fs.delete(path(f"{self.path}/{name}"), True)
+        for v in set(known) - set(stay):
+            fs.delete(path(f"{self.path}/_log/{v:012d}.json"), False)
+        return len(gone)
 
     def drop(self) -> None:
         fs, path = self._fs()
