@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -11,14 +12,18 @@ from pyspark.sql import types as T
 
 
 def token(x: Column, key: str, length: int = 18) -> Column:
-    """A keyed hash of a text, in hexadecimal digits; null stays null. Equal values have equal tokens under one key, so that
-    joins and upserts on tokens work. Eighteen digits are 72 bits."""
-    return F.substring(F.sha2(F.concat(F.lit(key), x), 256), 1, length)
+    """A keyed hash (HMAC with SHA-256) of a text, in hexadecimal digits; null stays null. Equal values have equal tokens under one
+    key, so that joins and upserts on tokens work. Eighteen digits are 72 bits."""
+    if not key:
+        raise ValueError("tokens need a key that isn't empty")
+    block = key.encode() if len(key.encode()) <= 64 else hashlib.sha256(key.encode()).digest()
+    inner, outer = (F.lit(bytearray(b ^ pad for b in block.ljust(64, b"\0"))) for pad in (0x36, 0x5C))
+    return F.substring(F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, x.cast("binary")), 256))), 256), 1, length)
 
 
 def tokenize(df: DataFrame, columns: list[str], key: str, length: int = 18) -> DataFrame:
     """``df`` with these columns as tokens; columns that it hasn't are passed over. No shuffle. Floating-point columns are
-    refused, as their text form is no stable name."""
+    refused, as their text form is no stable name, and so is an empty key."""
     for f in df.schema:
         if f.name in columns and isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             raise TypeError(f"column {f.name}: floating-point numbers can't be tokenized")
