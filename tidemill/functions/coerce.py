@@ -26,20 +26,6 @@ def date_prefix(x: Column) -> Column:
     return F.substring(x, 1, 10).try_cast("date").cast("timestamp")
 
 
-def coerce(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """``df`` with the columns of ``schema`` cast from text to their types, in that order."""
-
-    def one(f: T.StructField) -> Column:
-        x = F.col(f.name)
-        if isinstance(f.dataType, T.BooleanType):
-            return to_bool(x)
-        if isinstance(f.dataType, T.TimestampType):
-            return to_timestamp(x)
-        return x if isinstance(f.dataType, T.StringType) else x.try_cast(f.dataType)
-
-    return df.select(*(one(f).alias(f.name) for f in schema))
-
-
 def sniff_timestamps(df: DataFrame, order_by: str) -> DataFrame:
     """Text columns whose first non-empty value, in the order of ``order_by``, looks like a date with a time of day become
     timestamps; values that aren't become null. One aggregate row reaches the driver."""

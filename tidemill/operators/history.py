@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,10 +11,13 @@ from pyspark.sql import functions as F
 from tidemill.functions.coerce import empty_to_null
 from tidemill.operators.incremental import merge_coverage
 from tidemill.operators.promote import upserted
-from tidemill.sources.snapshots import Snapshots
+from tidemill.operators.quality import anomalies
+from tidemill.sources.snapshots import ConcurrentCommit, Snapshots
+from tidemill.spec import Dataset
 
 HISTORY = "run_id string, dataset string, tenant string, mode string, status string, at timestamp, rows_loaded bigint, seconds double, warnings string, metadata string"
-REGISTRY = "dataset string, load_strategy string, target string, registered_at timestamp, last_success_at timestamp"
+REGISTRY = "dataset string, load_strategy string, target string, source string, registered_at timestamp, last_success_at timestamp"
+LEDGER = "run_id string, entity_key string, page int, seq bigint"
 COVERAGE = "dataset string, tenant string, forward_watermark timestamp, backward_watermark timestamp"
 
 
@@ -28,8 +32,24 @@ def last_success(history: DataFrame) -> DataFrame:
     return history.where("status = 'success'").groupBy("dataset").agg(F.max("at").alias("last_success_at"))
 
 
+def registered(old: DataFrame, datasets: DataFrame) -> DataFrame:
+    """Registry rows with those of ``datasets`` (``dataset``, ``load_strategy``, ``target``, ``source``, ``registered_at``), upserted; empty text is
+    null, and what was registered and succeeded before keeps its dates."""
+    known = old.select("dataset", F.col("registered_at").alias("_since"), F.col("last_success_at").alias("_last"))
+    rows = datasets.join(known, "dataset", "left").select(
+        "dataset", *(empty_to_null(F.col(c)).alias(c) for c in ("load_strategy", "target", "source")), F.coalesce("_since", "registered_at").alias("registered_at"), F.col("_last").alias("last_success_at")
+    )
+    return upserted(old, rows, ["dataset"])
+
+
+def with_success(registry: DataFrame, successes: DataFrame) -> DataFrame:
+    """The registry with the last success of the ``dataset``s of ``successes`` moved on to ``at``, never back."""
+    new = successes.groupBy("dataset").agg(F.max("at").alias("_at"))
+    return registry.join(new, "dataset", "left").withColumn("last_success_at", F.greatest("last_success_at", "_at")).select(*registry.columns)
+
+
 class Ops:
-    """The three tables under a folder."""
+    """The tables of what ran, under a folder. They are small; each write is compacted when many have piled up."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -38,27 +58,56 @@ class Ops:
     def _frame(self, rows: list[tuple], schema: str) -> DataFrame:
         return self.spark.createDataFrame(rows, schema)
 
+    def _changed(self, table: Snapshots, schema: str, change: Callable[[DataFrame], DataFrame]) -> None:
+        """A small table rewritten; where another run was faster, from what that run left."""
+        table.create_if_missing(self._frame([], schema).schema)
+        for left in range(5, -1, -1):
+            base = table.current()
+            try:
+                table.commit(change(table.read(base)).coalesce(1), base=base)
+                return
+            except ConcurrentCommit:
+                if not left:
+                    raise
+
     def record(self, run_id: str, dataset: str, tenant: str, mode: str, status: str, at: datetime, rows: int | None = None, seconds: float | None = None, warnings: str | None = None, metadata: str | None = None) -> None:
         event = self._frame([(run_id, dataset, tenant, mode, status, at, rows, seconds, warnings, metadata)], HISTORY)
-        self.history.commit(event, append=True)
+        self.history.create_if_missing(event.schema)
+        self.history.commit(event.coalesce(1), append=True)
+        self.history.compact()
 
-    def register(self, datasets: DataFrame) -> None:
-        """Registry rows, upserted; empty text is null, and what was registered and succeeded before keeps its dates."""
-        old = self.registry.read_or_empty(self._frame([], REGISTRY).schema)
-        known = old.select("dataset", F.col("registered_at").alias("_since"), F.col("last_success_at").alias("_last"))
-        rows = datasets.join(known, "dataset", "left").select(
-            "dataset", *(empty_to_null(F.col(c)).alias(c) for c in ("load_strategy", "target")), F.coalesce("_since", "registered_at").alias("registered_at"), F.col("_last").alias("last_success_at")
-        )
-        self.registry.commit(upserted(old, rows, ["dataset"]))
+    def register(self, datasets: Iterable[Dataset], at: datetime) -> None:
+        rows = [(d.name, d.load, d.name, d.name.split("_")[0] if not d.build else "", at) for d in datasets]
+        new = self._frame(rows, "dataset string, load_strategy string, target string, source string, registered_at timestamp")
+        self._changed(self.registry, REGISTRY, lambda old: registered(old, new))
 
     def succeeded(self, dataset: str, at: datetime) -> None:
-        old = self.registry.read_or_empty(self._frame([], REGISTRY).schema)
-        now = F.when(F.col("dataset") == dataset, F.lit(at)).otherwise(F.col("last_success_at"))
-        self.registry.commit(old.withColumn("last_success_at", now.cast("timestamp")))
+        done = self._frame([(dataset, at)], "dataset string, at timestamp")
+        self._changed(self.registry, REGISTRY, lambda old: with_success(old, done))
+
+    def known(self) -> DataFrame:
+        return self.registry.read_or_empty(self._frame([], REGISTRY).schema)
 
     def marks(self, dataset: str, tenant: str) -> dict | None:
         row = self.coverage.read_or_empty(self._frame([], COVERAGE).schema).where((F.col("dataset") == dataset) & (F.col("tenant") == tenant)).first()
         return row.asDict() if row else None
 
     def cover(self, update: DataFrame) -> None:
-        self.coverage.commit(merge_coverage(self.coverage.read_or_empty(self._frame([], COVERAGE).schema), update))
+        self._changed(self.coverage, COVERAGE, lambda old: merge_coverage(old, update))
+
+    def runs(self) -> DataFrame:
+        """The last event of each run."""
+        return latest_runs(self.history.read_or_empty(self._frame([], HISTORY).schema))
+
+    def crashed(self, dataset: str, tenant: str, mode: str) -> str | None:
+        """The last run of a dataset that began and neither succeeded nor failed."""
+        at = self.runs().where((F.col("dataset") == dataset) & (F.col("tenant") == tenant) & (F.col("mode") == mode))
+        row = at.orderBy(F.desc("at")).first()
+        return row["run_id"] if row and row["status"] == "running" else None
+
+    def usual(self, run_id: str, dataset: str, tenant: str, rows: int, at: datetime) -> DataFrame:
+        """The run at hand among the successful ones of its dataset and tenant, judged by ``anomalies``."""
+        before = self.runs().where((F.col("status") == "success") & (F.col("dataset") == dataset) & (F.col("tenant") == tenant) & (F.col("run_id") != run_id))
+        now = self._frame([(run_id, dataset, tenant, at, rows)], "run_id string, dataset string, tenant string, started_at timestamp, rows_loaded bigint")
+        past = before.where("rows_loaded IS NOT NULL AND coalesce(metadata, '') NOT LIKE '%dry_run%'").select("run_id", "dataset", "tenant", F.col("at").alias("started_at"), "rows_loaded")
+        return anomalies(past.where(F.col("started_at") <= F.lit(at)).unionByName(now)).where(F.col("run_id") == run_id)

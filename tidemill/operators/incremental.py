@@ -27,15 +27,18 @@ def date_window(mode: str, coverage: dict | None, as_of: datetime, start: dateti
     return None, None
 
 
-def in_window(df: DataFrame, column: str, start: datetime | None, end: datetime | None = None, as_of: datetime | None = None, lookback_days: int | None = None) -> DataFrame:
-    """Rows from ``start`` (taken in) to ``end``; with a lookback, none older than that many days. Plain comparisons with
-    literals, so that they reach the scan."""
+def in_window(df: DataFrame, column: str, start: datetime | None, end: datetime | None = None, as_of: datetime | None = None, lookback_days: int | None = None, besides: Column | None = None) -> DataFrame:
+    """Rows from ``start`` (taken in) to ``end``; with a lookback, none older than that many days; and those of the condition
+    ``besides``, wherever they are. Plain comparisons with literals of the column's own type, so that they reach the scan."""
     if lookback_days is not None and as_of is not None:
         cap = as_of - timedelta(days=lookback_days)
         start = cap if start is None else max(start, cap)
-    if start is not None:
-        df = df.where(F.col(column) >= F.lit(start))
-    return df if end is None else df.where(F.col(column) <= F.lit(end))
+    kind = df.schema[column].dataType
+    bounds = [F.col(column) >= F.lit(start).cast(kind)] if start is not None else []
+    bounds += [F.col(column) <= F.lit(end).cast(kind)] if end is not None else []
+    for bound in bounds:
+        df = df.where(bound if besides is None else bound | besides)
+    return df
 
 
 def watermarks(df: DataFrame, column: str, *by: str) -> DataFrame:
@@ -68,12 +71,12 @@ def tenant_prefix(column: str, tenant: str) -> Column:
 
 def entity_keys(parent: DataFrame, key: list[str], tenant: str = "", limit: int | None = None) -> DataFrame:
     """The different keys of a parent table, of a tenant if one is named. ``limit`` is for trials."""
-    keys = parent.select(*key).where(tenant_prefix(key[0], tenant)).distinct()
-    return keys if limit is None else keys.orderBy(*key).limit(limit)
+    keys = parent.select(*(F.col(f"`{k}`") for k in key)).where(tenant_prefix(f"`{key[0]}`", tenant)).distinct()
+    return keys if limit is None else keys.orderBy(*(f"`{k}`" for k in key)).limit(limit)
 
 
 def of_parents(children: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """Rows whose key a parent has; Spark broadcasts the keys or not by their size."""
+    """Rows whose key a parent has (null keys: no parent has them); Spark broadcasts the keys or not by their size."""
     return children.join(keys, on, "left_semi")
 
 

@@ -52,11 +52,19 @@ def key_at(entity_key: Column, field: Field) -> Column:
     return at(key, "" if field.key == "*" else field.key, "string")
 
 
-def normalize(records: DataFrame, fields: tuple[Field, ...], keep: tuple[str, ...] = ("tenant", "fetched_at", "page", "seq", "pos")) -> DataFrame:
-    """``fields`` of each record, typed, and the columns ``keep`` of its page. Fields that aren't declared are dropped."""
+def normalize(records: DataFrame, fields: tuple[Field, ...], keep: tuple[str, ...] = ("tenant", "fetched_at", "page", "seq", "pos"), watch: str | None = None) -> DataFrame:
+    """``fields`` of each record, typed, and the columns ``keep`` of its page. Fields that aren't declared are dropped. Besides,
+    ``_absent``: the names of the fields that the record lacks altogether; and, of the field ``watch``, ``_unread``: whether it
+    holds what can't be read as its type."""
     record = F.col("record")
-    made = [cast(key_at(F.col("entity_key"), f) if f.key else value_at(record, f), f.type).alias(f.name) for f in fields]
-    return records.select(*made, *(F.col(c).alias(f"_{c}") for c in keep))
+    raw = {f.name: key_at(F.col("entity_key"), f) if f.key else value_at(record, f) for f in fields}
+    made = [cast(raw[f.name], f.type).alias(f.name) for f in fields]
+    watched = [f for f in fields if f.name == watch]
+    unread = F.coalesce(raw[watch], F.lit("")) != "" if watched else F.lit(False)
+    if watched:
+        unread = unread & cast(raw[watch], watched[0].type).isNull()
+    absent = absent_names(record, asked(fields))
+    return records.select(*made, *(F.col(c).alias(f"_{c}") for c in keep), absent.alias("_absent"), unread.alias("_unread"))
 
 
 def inject_keys(df: DataFrame, mapping: dict[str, str], key: str = "entity_key", kind: str = "string") -> DataFrame:
@@ -69,32 +77,43 @@ def ingest_time(df: DataFrame, column: str, run_time) -> DataFrame:
     return df.withColumn(column, F.lit(run_time).cast("timestamp"))
 
 
-def missing_keys(records: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
-    """``column``, ``path``, ``n_missing``, ``first_seq`` of the fields that some record lacks altogether, in the order of the fields.
+def asked(fields: tuple[Field, ...]) -> list[Field]:
+    """The fields whose paths every record must have."""
+    return [f for f in fields if not (f.optional or f.key or f.fallback or f.only)]
+
+
+def is_absent(record: Column, path: str) -> Column:
+    """Whether a path is missing. It is there, with a null, if an object on the way is null; it is missing where a key is absent or
+    what should hold it is no object."""
+    steps = path.split(".")
+    out = F.lit(False)
+    for k in reversed(range(len(steps))):
+        here = at(record, ".".join(steps[: k + 1]))
+        out = F.when(here.isNull(), True).when(F.is_variant_null(here), False).otherwise(out)
+    return out
 
-    A path is there, with a null, if an object on the way is null; it is missing where a key is absent or what should hold it
-    is no object. All fields are counted in one pass."""
-    asked = [f for f in fields if not (f.optional or f.key or f.fallback or f.only)]
-    record = F.col("record")
 
-    def missing(path: str) -> Column:
-        steps = path.split(".")
-        out = F.lit(False)
-        for k in reversed(range(len(steps))):
-            here = at(record, ".".join(steps[: k + 1]))
-            out = F.when(here.isNull(), True).when(F.is_variant_null(here), False).otherwise(out)
-        return out
+def absent_names(record: Column, fields: list[Field]) -> Column:
+    """The names of the fields that a record lacks."""
+    named = [F.when(is_absent(record, f.source), F.lit(f.name)) for f in fields]
+    return F.array_compact(F.array(*named)) if named else F.array().cast("array<string>")
 
-    seen = records.agg(*(x for i, f in enumerate(asked) for x in (F.count_if(missing(f.source)).alias(f"n{i}"), F.min(F.when(missing(f.source), F.col("seq"))).alias(f"s{i}"))))
-    rows = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(f.name).alias("column"), F.lit(f.source).alias("path"), F.col(f"n{i}").alias("n_missing"), F.col(f"s{i}").alias("first_seq")) for i, f in enumerate(asked)))
+
+def missing_keys(records: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
+    """``column``, ``path``, ``n_missing``, ``first_seq`` of the fields that some record lacks altogether (see ``is_absent``), in the order of
+    the fields. All fields are counted in one pass."""
+    needed = asked(fields)
+    record = F.col("record")
+    seen = records.agg(*(x for i, f in enumerate(needed) for x in (F.count_if(is_absent(record, f.source)).alias(f"n{i}"), F.min(F.when(is_absent(record, f.source), F.col("seq"))).alias(f"s{i}"))))
+    rows = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(f.name).alias("column"), F.lit(f.source).alias("path"), F.col(f"n{i}").alias("n_missing"), F.col(f"s{i}").alias("first_seq")) for i, f in enumerate(needed)))
     return seen.select(F.explode(rows).alias("r")).select("r.*").where("n_missing > 0").orderBy("i").drop("i")
 
 
 def require_columns(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``df`` with the declared columns alone; all that are missing are named at once. Only the schema is looked at."""
+    """``df`` with the declared columns and those of its landing; all that are missing are named at once. Only the schema is looked at."""
     if lacking := [c for c in columns if c not in df.columns]:
         raise ValueError(f"columns missing: {', '.join(lacking)}")
-    return df.select(*columns)
+    return df.select(*columns, *(c for c in df.columns if c.startswith("_")))
 
 
-__all__ = ["cast", "date_prefix", "ingest_time", "inject_keys", "missing_keys", "normalize", "require_columns", "value_at"]
+__all__ = ["absent_names", "asked", "cast", "date_prefix", "ingest_time", "inject_keys", "is_absent", "missing_keys", "normalize", "require_columns", "value_at"]

@@ -154,12 +154,19 @@ def duplicate_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     return groups.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_rows"))
 
 
-def run_checks(df: DataFrame, checks: list[Check]) -> CheckReport:
-    """All checks, in order; one job for those that aggregate, and one more for each ``Unique``."""
+def measured(df: DataFrame, checks: list[Check], *by: str) -> DataFrame:
+    """What the checks count, as a row (for each ``by``): ``rows`` and a column for each aggregate, by its name. One pass."""
     wanted: dict[str, Column] = {"rows": F.count("*")}
     for check in checks:
         wanted |= check.aggregates(df)
-    got = dict(zip(wanted, df.agg(*(x.alias(f"a{i}") for i, x in enumerate(wanted.values()))).first(), strict=True))
+    named = [x.alias(n) for n, x in wanted.items()]
+    return df.groupBy(*by).agg(*named) if by else df.agg(*named)
+
+
+def run_checks(df: DataFrame, checks: list[Check]) -> CheckReport:
+    """All checks, in order; one job for those that aggregate, and one more for each ``Unique``."""
+    counts = measured(df, checks)
+    got = dict(zip(counts.columns, counts.first(), strict=True))
     failures, warnings = [], []
     for check in checks:
         (failures if check.blocking else warnings).extend(check.messages(df, got))

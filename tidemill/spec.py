@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 #: Declared types, as Spark has them. Identifiers and JSON are kept as text.
@@ -73,13 +73,19 @@ class Dataset:
     load: str = "upsert"
     mode: str = "full"
     incremental: str | None = None
-    tenant_column: str | None = None
     parent: str | None = None
+    parent_key: dict[str, str] = field(default_factory=dict)  # part of a page's entity key ("*": the whole): column of the parent's rows
+    parent_rows: Callable[[DataFrame], DataFrame] | None = None  # which rows of the parent have pages, and their key's columns
+    by_tenant: str | None = None  # column of the parent's rows that begins with the tenant's name and a slash
     unique: tuple[tuple[str, ...], ...] = ()
     null_limit: float = 0.02
     null_limits: dict[str, float] = field(default_factory=dict)
     max_lengths: dict[str, int] = field(default_factory=dict)
     min_rows: int = 1
+    guarded: bool = False  # error envelopes among the pages fail the run
+    announced: str | None = None  # where a page says how many there are in all; a larger shortfall fails the run
+    required: tuple[str, ...] = ()  # what ``parse`` names in its column ``_absent``
+    noted: dict[str, Callable[[DataFrame], Column]] = field(default_factory=dict)  # before ``transform``: rows to be counted in a warning
     contract: str = "evolve"
     lookback_days: int | None = None
     where: Callable[[DataFrame], DataFrame] | None = None  # on records, before columns are made
