@@ -1,24 +1,26 @@
-"""A run of a dataset from landed pages, or from other tables, to its target."""
+"""A run of a dataset from landed pages, or from other tables, to its target. A stream's batches take the same steps."""
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.operators.history import Ops
-from tidemill.operators.incremental import coverage_update, date_window, entity_keys, in_window, of_parents, watermarks
-from tidemill.operators.normalize import missing_keys, normalize
+from tidemill.operators.history import LEDGER, Ops
+from tidemill.operators.incremental import coverage_update, date_window, entity_keys, in_window, of_parents, remaining, tenant_prefix, watermarks
+from tidemill.operators.normalize import asked, key_at, normalize, require_columns
 from tidemill.operators.promote import promote
-from tidemill.operators.quality import Check, CheckReport, MaxLength, NotNull, NullRate, Oversized, RowCount, Unique, run_checks
+from tidemill.operators.quality import Check, CheckReport, MaxLength, NotNull, NullRate, Oversized, RowCount, Unique, completeness, run_checks, stale_sources
 from tidemill.operators.tokens import tokenize
-from tidemill.sources.pages import explode_records, read_pages
+from tidemill.sources.pages import announced_total, explode_records, guard_envelopes, read_pages
 from tidemill.sources.snapshots import Snapshots, stage, staging_path
-from tidemill.spec import Context, Dataset
+from tidemill.spec import Context, Dataset, Field
 
 
 class CheckFailed(ValueError):
@@ -27,23 +29,31 @@ class CheckFailed(ValueError):
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Where things are: landed pages, target tables, staging and the ops tables."""
+    """Where things are: landed pages, target tables, staging and the ops tables. ``buckets``: into how many parts tables that are
+    upserted are cut when they are made; an upsert rewrites the parts that it touches."""
 
     spark: SparkSession
     root: str
     token_key: str = ""
+    buckets: int = 8
 
     @property
     def pages(self) -> str:
         return f"{self.root}/pages"
 
     def table(self, name: str) -> Snapshots:
-        return Snapshots(self.spark, f"{self.root}/tables/{name}")
+        return Snapshots(self.spark, f"{self.root}/tables/{name}", self.buckets)
+
+    def staging(self, dataset: str, run_id: str) -> Snapshots:
+        return Snapshots(self.spark, staging_path(f"{self.root}/staging", dataset, run_id))
 
     @property
     def ops(self) -> Ops:
         return Ops(self.spark, f"{self.root}/ops")
 
+    def register(self, datasets: Iterable[Dataset], at: datetime) -> None:
+        self.ops.register(datasets, at)
+
 
 @dataclass(frozen=True)
 class RunResult:
@@ -53,25 +63,40 @@ class RunResult:
     promoted: bool
 
 
-def rows_of(spark: SparkSession, dataset: Dataset, pages: DataFrame, context: Context, parents: DataFrame | None = None) -> DataFrame:
-    """A dataset's typed rows from its pages, in the run's window, of its parents alone; ``_seq`` and ``_pos`` tell the landing."""
+def rows_of(dataset: Dataset, pages: DataFrame, context: Context) -> DataFrame:
+    """A dataset's typed rows from its pages, in the run's window. ``_seq`` and ``_pos`` tell the landing, ``_absent`` the keys that a
+    record lacks and ``_unread`` whether its incremental column can't be read."""
     if dataset.parse is not None:
         rows = dataset.parse(pages)
     else:
         records = explode_records(pages, dataset.records)
         if dataset.where is not None:
             records = dataset.where(records)
-        lacking = missing_keys(records, dataset.fields).collect()  # a row for each declared column at most
-        if lacking:
-            raise CheckFailed("keys missing in records: " + "; ".join(f"{r['column']} ({r['path']}) in {r['n_missing']}, first at {r['first_seq']}" for r in lacking))
-        rows = normalize(records, dataset.fields)
-    if parents is not None:
-        rows = of_parents(rows, parents, [c for c in parents.columns if c in rows.columns])
+        rows = normalize(records, dataset.fields, watch=dataset.incremental)
     if dataset.incremental and context.mode in ("forward", "backfill"):
-        rows = in_window(rows, dataset.incremental, context.start, context.end, context.as_of, dataset.lookback_days)
+        # Rows that will fail the run, or be counted, must not go before they are seen.
+        odd = [c for n, c in (("_absent", F.size("_absent") > 0), ("_unread", F.col("_unread"))) if n in rows.columns]
+        besides = F.greatest(*odd, F.lit(False)) if odd else None
+        rows = in_window(rows, dataset.incremental, context.start, context.end, context.as_of, dataset.lookback_days, besides)
     return rows
 
 
+def parent_keys(dataset: Dataset, parents: DataFrame, context: Context, max_entities: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The keys of the pages that the rows of the parent table call for, each part in a column of its name; and the parent's rows
+    (of the run's tenant) that they come from."""
+    rows = parents.where(tenant_prefix(dataset.by_tenant, context.tenant)) if dataset.by_tenant else parents
+    usable = dataset.parent_rows(rows) if dataset.parent_rows is not None else rows
+    named = usable.select(*(F.col(column).cast("string").alias(part) for part, column in dataset.parent_key.items()))
+    return entity_keys(named, [*dataset.parent_key], limit=max_entities), rows
+
+
+def pages_of_parents(dataset: Dataset, pages: DataFrame, keys: DataFrame) -> DataFrame:
+    """The pages whose entity key a parent has. Keys are a few numbers each; Spark broadcasts them or not by their size."""
+    parts = {part: f"_key{i}" for i, part in enumerate(dataset.parent_key)}
+    named = pages.withColumns({name: key_at(F.col("entity_key"), Field(name, key=part)) for part, name in parts.items()})
+    return of_parents(named, keys.toDF(*parts.values()), [*parts.values()]).select(*pages.columns)
+
+
 def gate(dataset: Dataset) -> list[Check]:
     """The checks that a dataset's rows must pass, and those that only warn, in order."""
     key = dataset.primary_key
@@ -80,49 +105,162 @@ def gate(dataset: Dataset) -> list[Check]:
     return [RowCount(dataset.min_rows), NotNull(tuple(dict.fromkeys((*key, *needed)))), *lengths, *dataset.checks, NullRate(dataset.null_limit, dataset.null_limits, tuple(key)), Oversized()]
 
 
+class Watched:
+    """What is counted while rows are staged, in the same pass: absent keys, unread dates, rows that a dataset wants noted."""
+
+    def __init__(self, dataset: Dataset, rows: DataFrame):
+        self.dataset, self.seen = dataset, Observation()
+        self.names = [f.name for f in asked(dataset.fields)] if dataset.parse is None else list(dataset.required)
+        self.noted = {n: F.coalesce(make(rows), F.lit(False)) for n, make in dataset.noted.items()}
+        self.before = rows
+        lacks = {n: F.array_contains("_absent", n) for n in self.names} if "_absent" in rows.columns else {}
+        sums: list[Column] = [F.count(F.lit(1)).alias("rows")]
+        sums += [x for i, c in enumerate(lacks.values()) for x in (F.count_if(c).alias(f"n{i}"), F.min(F.when(c, F.col("_seq"))).alias(f"s{i}"))]
+        sums += [F.count_if(c).alias(f"note{i}") for i, c in enumerate(self.noted.values())]
+        sums += [F.count_if("_unread").alias("unread")] if "_unread" in rows.columns else []
+        self.rows = rows.observe(self.seen, *sums).drop("_absent", "_unread")
+
+    def refuse_absent(self) -> None:
+        got, paths = self.seen.get, {f.name: f.source for f in self.dataset.fields}
+        lacking = [(n, got[f"n{i}"], got[f"s{i}"]) for i, n in enumerate(self.names) if got.get(f"n{i}")]
+        if lacking:
+            raise CheckFailed("keys missing in records: " + "; ".join(f"{n} ({paths.get(n, n)}) in {many}, first at {seq}" for n, many, seq in lacking))
+
+    def warnings(self) -> tuple[str, ...]:
+        got, out = self.seen.get, []
+        for i, (name, condition) in enumerate(self.noted.items()):
+            if n := got.get(f"note{i}"):
+                keys = [k for k in self.dataset.primary_key if k in self.before.columns]
+                samples = self.before.where(condition).select(*keys).limit(3).collect()  # only where there are some, and three at most
+                out.append(f"{n} rows: {name}; such as " + ", ".join(str(tuple(r)) for r in samples))
+        if n := got.get("unread"):
+            out.append(f"column {self.dataset.incremental}: {n} values are no dates")
+        return tuple(out)
+
+
+def staged_rows(warehouse: Warehouse, dataset: Dataset, rows: DataFrame, context: Context, folder: str) -> tuple[DataFrame, Watched]:
+    """Rows noted, transformed, with sensitive columns as tokens, written to a staging folder and read back."""
+    watched = Watched(dataset, rows)
+    rows = dataset.transform(watched.rows, context) if dataset.transform is not None else watched.rows
+    sensitive = [f.name for f in dataset.fields if f.sensitive]
+    if sensitive:
+        rows = tokenize(rows, sensitive, warehouse.token_key)
+    staged = stage(require_columns(rows, dataset.columns), folder)
+    watched.refuse_absent()
+    return staged, watched
+
+
+def judged(dataset: Dataset, staged: DataFrame) -> tuple[str, ...]:
+    """Raises what fails the run; returns warnings."""
+    declared = staged.select(*dataset.columns)
+    report = run_checks(declared, gate(dataset))
+    if not dataset.build and dataset.load == "append":
+        report = CheckReport((*report.failures, *run_checks(declared, [Unique(dataset.primary_key)]).failures), report.warnings)
+    if not report.passed:
+        raise CheckFailed("; ".join(report.failures))
+    return report.warnings
+
+
+def complete_enough(dataset: Dataset, staged: DataFrame, pages: DataFrame) -> tuple[str, ...]:
+    """Raises if much fewer keys came than the pages announce; a small shortfall is a warning."""
+    row = completeness(staged, list(dataset.primary_key), announced_total(pages, dataset.announced)).first()
+    if row["announced"] is None or row["verdict"] == "ok":
+        return ()
+    said = f"{row['collected']} of {row['announced']} announced rows came ({row['shortfall']:.1%} short)"
+    if row["verdict"] == "fail":
+        raise CheckFailed(said)
+    return (said,)
+
+
+def finish(warehouse: Warehouse, dataset: Dataset, staged: DataFrame, context: Context, strategy: str, tenants: str | None, batch: str | None = None):
+    """Promotion, then watermarks (``tenants``: the column of the tenant, or none: the run's) and last success."""
+    ops, target = warehouse.ops, warehouse.table(dataset.name)
+    done = promote(staged, target, list(dataset.primary_key), strategy, dataset.contract, context.tenant, dataset.unique, batch)
+    if dataset.incremental and context.mode != "transform":
+        tenant = F.col(tenants) if tenants else F.lit(context.tenant)
+        marks = watermarks(staged.select(F.lit(dataset.name).alias("dataset"), tenant.alias("tenant"), dataset.incremental), dataset.incremental, "dataset", "tenant")
+        ops.cover(coverage_update(marks, context.mode))
+    ops.succeeded(dataset.name, context.as_of)
+    target.vacuum()
+    return done
+
+
 def run_dataset(
-    warehouse: Warehouse, dataset: Dataset, mode: str | None = None, tenant: str = "", as_of: datetime | None = None, start: datetime | None = None, end: datetime | None = None, dry_run: bool = False, max_pages: int | None = None, max_entities: int | None = None
+    warehouse: Warehouse, dataset: Dataset, mode: str | None = None, tenant: str = "", as_of: datetime | None = None, start: datetime | None = None, end: datetime | None = None, dry_run: bool = False, max_pages: int | None = None,
+    max_entities: int | None = None, slices: int = 1, resume: bool = False,
 ) -> RunResult:
     """Window, rows, staging, checks, promotion, watermarks, history. Staged rows are written once; checks and promotion read
-    them. What fails is recorded, and the target stays as it was."""
+    them. What fails is recorded, its staging dropped, and the target stays as it was.
+
+    ``slices``: pages are staged in so many jobs by hash of their entity key, each noted in a ledger. ``resume``: the last run of
+    this dataset, tenant and mode that crashed, if there is one, is carried on: its staged slices stay and only pages that
+    its ledger doesn't have are taken; what came twice goes when rows are made one for each key."""
     spark, ops = warehouse.spark, warehouse.ops
-    mode, as_of, run_id, began = mode or dataset.mode, as_of or datetime.now(UTC).replace(tzinfo=None), uuid.uuid4().hex, time.monotonic()
-    low, high = date_window("transform" if dataset.build else mode, ops.marks(dataset.name, tenant), as_of, start, end)
+    mode, as_of, began = mode or dataset.mode, as_of or datetime.now(UTC).replace(tzinfo=None), time.monotonic()
+    shown = "transform" if dataset.build else mode
+    crashed = ops.crashed(dataset.name, tenant, mode) if resume else None
+    run_id = crashed or uuid.uuid4().hex
+    low, high = date_window(shown, ops.marks(dataset.name, tenant), as_of, start, end)
     context = Context(run_id, mode, as_of, tenant, low, high)
-    ops.record(run_id, dataset.name, tenant, mode, "running", as_of)
-    staging = Snapshots(spark, staging_path(f"{warehouse.root}/staging", dataset.name, run_id))
+    ops.register([dataset], as_of)
+    if not crashed:
+        ops.record(run_id, dataset.name, tenant, mode, "running", as_of)
+    staging = warehouse.staging(dataset.name, run_id)
     try:
+        warnings: tuple[str, ...] = ()
         if dataset.build is not None:
+            sources = spark.createDataFrame([(s,) for s in dataset.sources], "source string")
+            stale = stale_sources(ops.known(), sources, as_of).orderBy("source").collect()  # a row for each source at most
+            warnings = tuple(f"source {r['source']} " + (f"was last loaded at {r['last_success_at']}" if r["last_success_at"] else "has never been loaded") for r in stale)
             rows = dataset.build(spark, context, {s: warehouse.table(s).read() for s in dataset.sources})
+            staged, _ = staged_rows(warehouse, dataset, rows, context, staging.path + "/rows")
         else:
-            pages = read_pages(spark, warehouse.pages, dataset.name, tenant or None, max_pages)
-            parents = None
-            if dataset.parent and max_entities is not None:
-                parents = entity_keys(warehouse.table(dataset.parent).read(), list(dataset.primary_key[:1]), tenant, max_entities)
-            rows = rows_of(spark, dataset, pages, context, parents)
-        if dataset.transform is not None:
-            rows = dataset.transform(rows, context)
-        rows = tokenize(rows, [f.name for f in dataset.fields if f.sensitive], warehouse.token_key)
-        staged = stage(rows, staging.path)
-        declared = staged.select(*dataset.columns)
-        report = run_checks(declared, gate(dataset))
-        if not dataset.build and dataset.load == "append":
-            report = CheckReport((*report.failures, *run_checks(declared, [Unique(dataset.primary_key)]).failures), report.warnings)
-        if not report.passed:
-            raise CheckFailed("; ".join(report.failures))
+            staged, more = _staged_pages(warehouse, dataset, context, staging.path, max_pages, max_entities, slices)
+            warnings += more
+        warnings += judged(dataset, staged)
+        if not dataset.build:
+            count = staged.count()
+            odd = ops.usual(run_id, dataset.name, tenant, count, as_of).where("anomalous").first()
+            warnings += (f"{count} rows, where the last runs had {odd['usual']:.0f} on average",) if odd else ()
         if dry_run:
-            ops.record(run_id, dataset.name, tenant, mode, "success", as_of, 0, time.monotonic() - began, "; ".join(report.warnings) or None, '{"dry_run":true}')
-            return RunResult(run_id, 0, report.warnings, False)
-        done = promote(staged, warehouse.table(dataset.name), list(dataset.primary_key), dataset.load, dataset.contract, dataset.tenant_column, tenant, dataset.unique)
-        if dataset.incremental and mode != "transform":
-            marks = watermarks(declared, dataset.incremental).select(F.lit(dataset.name).alias("dataset"), F.lit(tenant).alias("tenant"), "low", "high")
-            ops.cover(coverage_update(marks, mode))
-        ops.succeeded(dataset.name, as_of)
-        warnings = (*report.warnings, *done.warnings)
-        ops.record(run_id, dataset.name, tenant, mode, "success", as_of, done.rows_loaded, time.monotonic() - began, "; ".join(warnings) or None)
+            ops.record(run_id, dataset.name, tenant, mode, "success", as_of, 0, time.monotonic() - began, "; ".join(warnings) or None, '{"dry_run":true}')
+            staging.drop()
+            return RunResult(run_id, 0, warnings, False)
+        done = finish(warehouse, dataset, staged, context, dataset.load, None)
+        warnings = (*warnings, *done.warnings)
+        ops.record(run_id, dataset.name, tenant, mode, "success", as_of, done.rows_loaded, time.monotonic() - began, "; ".join(warnings) or None, json.dumps({"version": done.version}))
+        staging.drop()
         return RunResult(run_id, done.rows_loaded, warnings, True)
     except Exception as error:
         ops.record(run_id, dataset.name, tenant, mode, "failed", as_of, None, time.monotonic() - began, None, str(error)[:2000])
-        raise
-    finally:
         staging.drop()
+        raise
+
+
+def _staged_pages(warehouse: Warehouse, dataset: Dataset, context: Context, folder: str, max_pages: int | None, max_entities: int | None, slices: int) -> tuple[DataFrame, tuple[str, ...]]:
+    """The rows of a dataset's landed pages, staged slice by slice, and warnings."""
+    spark = warehouse.spark
+    warnings: tuple[str, ...] = ()
+    pages = read_pages(spark, warehouse.pages, dataset.name, context.tenant or None, max_pages)
+    if dataset.parent:
+        if not warehouse.table(dataset.parent).exists():
+            raise CheckFailed(f"the parent {dataset.parent} was never loaded")
+        keys, rows = parent_keys(dataset, warehouse.table(dataset.parent).read(), context, max_entities)
+        pages = pages_of_parents(dataset, pages, keys)
+        if dataset.parent_rows is not None and (lost := rows.count() - dataset.parent_rows(rows).count()):
+            warnings += (f"{lost} rows of {dataset.parent} name no entity",)
+    if dataset.guarded:
+        guard_envelopes(pages)
+    ledger = Snapshots(spark, f"{folder}/ledger")
+    ledger.create_if_missing(spark.createDataFrame([], LEDGER).schema)
+    done = ledger.read()
+    unit = F.struct("entity_key", "page", "seq").cast("string")
+    left = remaining(pages.withColumn("_unit", unit), done.select(F.struct("entity_key", "page", "seq").cast("string").alias("_unit")), ["_unit"]).select(*pages.columns)
+    for k in range(slices):
+        some = left if slices == 1 else left.where(F.pmod(F.xxhash64("entity_key"), F.lit(slices)) == k)
+        staged, watched = staged_rows(warehouse, dataset, rows_of(dataset, some, context), context, f"{folder}/rows")
+        warnings += watched.warnings()
+        ledger.commit(some.select(F.lit(context.run_id).alias("run_id"), "entity_key", "page", "seq"), append=True)
+    if dataset.announced and max_pages is None and max_entities is None:
+        warnings += complete_enough(dataset, staged, pages)
+    return staged, warnings

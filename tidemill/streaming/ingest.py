@@ -1,45 +1,58 @@
-"""Landed pages as a stream: each micro-batch is normalized, checked and upserted; a batch that comes again changes nothing."""
+"""Landed pages as a stream: each micro-batch takes the steps of a run; a batch that comes again changes nothing."""
 
 from __future__ import annotations
 
+import hashlib
+import time
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemill.operators.promote import promote
-from tidemill.operators.quality import run_checks
-from tidemill.plans.run import CheckFailed, gate, rows_of
-from tidemill.sources.pages import SCHEMA
-from tidemill.sources.snapshots import Snapshots
+from tidemill.plans.run import Warehouse, finish, judged, pages_of_parents, parent_keys, rows_of, staged_rows
+from tidemill.sources.pages import SCHEMA, guard_envelopes
 from tidemill.spec import Context, Dataset
 
 
-def take_batch(dataset: Dataset, target: Snapshots, pages: DataFrame, batch: str, as_of: datetime) -> None:
-    """One micro-batch into the target. The pointer file keeps the last batch's name, and upserts are by key, so that a batch
-    that is replayed, whole or in part, leaves the target as it was."""
+def take_batch(warehouse: Warehouse, dataset: Dataset, pages: DataFrame, batch: str, as_of: datetime, tenant: str = "") -> None:
+    """One micro-batch into the target: guard, rows, tokens, staging, checks, upsert, watermarks by tenant, history. The newest
+    version keeps the last batch's name, and upserts are by key, so that a batch that is replayed, whole or in part, leaves
+    the target as it was. Rows join in the order of their landing: an older page that comes late in another batch overwrites."""
+    ops, target = warehouse.ops, warehouse.table(dataset.name)
     now = target.current()
     if now and now.get("batch") == batch:
         return
-    context = Context(batch, "full", as_of)
-    rows = rows_of(pages.sparkSession, dataset, pages.where(F.col("dataset") == dataset.name), context)
-    if dataset.transform is not None:
-        rows = dataset.transform(rows, context)
-    # Staged once, over what an attempt before may have left, and read back in the target's own session.
-    staging = Snapshots(target.spark, f"{target.path}_staging/{batch.replace(':', '_')}")
-    rows.write.mode("overwrite").parquet(staging.path)
-    staged = target.spark.read.schema(rows.schema).parquet(staging.path)
-    if not staged.isEmpty():
-        report = run_checks(staged.select(*dataset.columns), gate(dataset))
-        if not report.passed:
-            raise CheckFailed("; ".join(report.failures))
-        promote(staged, target, list(dataset.primary_key), "upsert", dataset.contract, unique=dataset.unique, batch=batch)
-    staging.drop()
-
-
-def stream_dataset(spark: SparkSession, dataset: Dataset, pages_path: str, target: Snapshots, checkpoint: str, as_of: datetime, available_now: bool = True) -> StreamingQuery:
-    """A query over pages as they land under ``pages_path``; with ``available_now`` it ends when all are taken."""
-    pages = spark.readStream.schema(SCHEMA).parquet(pages_path)
-    writer = pages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda batch, k: take_batch(dataset, target, batch, f"{dataset.name}:{k}", as_of))
+    began, run_id = time.monotonic(), batch
+    context = Context(run_id, "full", as_of)
+    own = pages.where(F.col("dataset") == dataset.name)
+    own = own.where(F.col("tenant") == tenant) if tenant else own
+    staging = warehouse.staging(f"{dataset.name}_stream", hashlib.sha256(batch.encode()).hexdigest())
+    staging.drop()  # what an attempt before may have left
+    ops.register([dataset], as_of)
+    ops.record(run_id, dataset.name, tenant, "forward", "running", as_of)
+    try:
+        if dataset.parent and warehouse.table(dataset.parent).exists():
+            own = pages_of_parents(dataset, own, parent_keys(dataset, warehouse.table(dataset.parent).read(), context)[0])
+        if dataset.guarded:
+            guard_envelopes(own)
+        staged, watched = staged_rows(warehouse, dataset, rows_of(dataset, own, context), context, staging.path + "/rows")
+        staged = warehouse.spark.read.schema(staged.schema).parquet(staging.path + "/rows")  # in the target's own session
+        loaded, warnings = 0, watched.warnings()
+        if not staged.isEmpty():
+            warnings += judged(dataset, staged)
+            done = finish(warehouse, dataset, staged, context, "upsert", "_tenant", batch)
+            loaded, warnings = done.rows_loaded, (*warnings, *done.warnings)
+        ops.record(run_id, dataset.name, tenant, "forward", "success", as_of, loaded, time.monotonic() - began, "; ".join(warnings) or None)
+    except Exception as error:
+        ops.record(run_id, dataset.name, tenant, "forward", "failed", as_of, None, time.monotonic() - began, None, str(error)[:2000])
+        raise
+    finally:
+        staging.drop()
+
+
+def stream_dataset(warehouse: Warehouse, dataset: Dataset, checkpoint: str, as_of: datetime, tenant: str = "", available_now: bool = True) -> StreamingQuery:
+    """A query over the warehouse's pages as they land; with ``available_now`` it ends when all are taken."""
+    pages = warehouse.spark.readStream.schema(SCHEMA).parquet(warehouse.pages)
+    writer = pages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda batch, k: take_batch(warehouse, dataset, batch, f"{dataset.name}:{k}", as_of, tenant))
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")).start()
