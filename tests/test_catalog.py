@@ -6,7 +6,7 @@ from datetime import datetime
 import pytest
 
 from tidemill.catalog import DATASETS
-from tidemill.plans.run import CheckFailed, rows_of
+from tidemill.plans.run import CheckFailed, Watched, rows_of
 from tidemill.sources.pages import SCHEMA, BadPages, announced_total, guard_envelopes
 from tidemill.spec import Context
 
@@ -21,10 +21,11 @@ def landed(spark, name, *bodies, key=None, tenant="acme"):
 def rows(spark, name, *bodies, key=None, mode="full"):
     dataset = DATASETS[name]
     context = Context("run", mode, AS_OF)
-    df = rows_of(spark, dataset, landed(spark, name, *bodies, key=key), context)
-    if dataset.transform is not None:
-        df = dataset.transform(df, context)
-    return [r.asDict() for r in df.select(*dataset.columns).collect()]
+    watched = Watched(dataset, rows_of(dataset, landed(spark, name, *bodies, key=key), context))
+    df = dataset.transform(watched.rows, context) if dataset.transform is not None else watched.rows
+    out = [r.asDict() for r in df.collect()]
+    watched.refuse_absent()
+    return [{c: r[c] for c in dataset.columns} for r in out]
 
 
 def test_there_are_all_datasets():
@@ -103,9 +104,9 @@ def test_sonarqube_details_branches_issues(spark):
 
 
 def test_sonarqube_events_measures_history(spark):
-    analyses = {"analyses": [{"key": "A", "date": "2024-01-01T00:00:00+0000", "events": [{"key": "E1", "category": "QUALITY_GATE", "name": "Red", "qualityGate": {"status": "ERROR", "stillFailing": False, "other": 1}}, {"key": "E2", "category": "VERSION", "name": "1.0", "description": "d"}]}, {"key": "B", "date": "x", "events": []}]}
+    analyses = {"analyses": [{"key": "A", "date": "2024-01-01T00:00:00+0000", "events": [{"key": "E1", "category": "QUALITY_GATE", "name": "Red", "description": None, "qualityGate": {"status": "ERROR", "stillFailing": False, "other": 1}}, {"key": "E2", "category": "VERSION", "name": "1.0", "description": "d"}]}, {"key": "B", "date": "x", "events": []}]}
     got = {r["key"]: r for r in rows(spark, "sonarqube_analysis_events", analyses, key="p")}
-    assert set(got) == {"E1", "E2"} and got["E1"]["analysis_key"] == "A" and json.loads(got["E1"]["details"]) == {"status": "ERROR", "stillFailing": False} and got["E2"]["details"] is None and got["E1"]["project_key"] == "p"
+    assert set(got) == {"E1", "E2"} and got["E1"]["analysis_key"] == "A" and json.loads(got["E1"]["details"]) == {"qualityGate": {"status": "ERROR", "stillFailing": False, "other": 1}} and got["E2"]["details"] is None and got["E1"]["project_key"] == "p"
     measures = {"component": {"measures": [{"metric": "bugs", "value": "3"}, {"metric": "new_coverage", "period": {"value": "80.0"}}, {"metric": "unknown", "value": "1"}]}}
     got = {r["metric_key"]: r["metric_value"] for r in rows(spark, "sonarqube_measures", measures, key={"project_key": "p", "branch": "main"})}
     assert got == {"bugs": "3", "new_coverage": "80.0"}
@@ -115,6 +116,24 @@ def test_sonarqube_events_measures_history(spark):
     assert rows(spark, "sonarqube_measures_history", history, key={"project_key": "p"}) == []
 
 
+@pytest.mark.parametrize(("name", "body", "said"), [
+    ("sonarqube_analysis_events", {"analyses": [{"key": "A", "events": [{"key": "E", "category": "c", "name": "n"}]}]}, "description"),
+    ("sonarqube_analysis_events", {"analyses": [{"events": [{"key": "E", "category": "c", "name": "n", "description": None}]}]}, "analysis_key"),
+    ("sonarqube_measures_history", {"measures": [{"metric": "bugs", "history": [{"value": "1"}]}]}, "analysis_date"),
+    ("sonarqube_measures_history", {"measures": [{"history": [{"date": "2024-05-01T00:00:00+0000", "value": "1"}]}]}, "metric_key"),
+    ("sonarqube_measures", {"component": {"measures": [{"value": "1"}]}}, "metric_key"),
+])
+def test_missing_keys_of_nested_lists(spark, name, body, said):
+    with pytest.raises(CheckFailed, match=said):
+        rows(spark, name, body, key={"project_key": "p", "branch": "main"})
+
+
+def test_many_children_of_one_parent_keep_their_order(spark):
+    values = [{"date": f"2024-05-01T{k // 60 % 24:02d}:{k % 60:02d}:00+0000", "value": str(k)} for k in range(1440)] * 10
+    got = rows(spark, "sonarqube_measures_history", {"measures": [{"metric": "bugs", "history": values}] * 3}, key={"project_key": "p", "branch": "main"})
+    assert [r["value"] for r in got] == ["1439"]
+
+
 def test_jira(spark):
     fields = {"summary": "s", "status": {"name": "Open"}, "priority": None, "issuetype": {"name": "Bug"}, "project": {"key": "P"}, "assignee": None, "reporter": {"displayName": "R"}, "created": "2024-01-01T00:00:00.000+0000", "updated": "2024-01-02T00:00:00.000+0000", "resolutiondate": None, "labels": ["a", "b"]}
     (row,) = rows(spark, "jira_issues", {"issues": [{"id": "1", "key": "P-1", "fields": fields}]})
@@ -131,4 +150,4 @@ def test_announced_total(spark):
 @pytest.mark.parametrize("name", ["github_repos", "sonarqube_analysis_events", "sonarqube_measures_history", "servicenow_choices"])
 def test_no_pages_no_rows(spark, name):
     context = Context("run", "full", AS_OF)
-    assert rows_of(spark, DATASETS[name], spark.createDataFrame([], SCHEMA), context).count() == 0
+    assert rows_of(DATASETS[name], spark.createDataFrame([], SCHEMA), context).count() == 0

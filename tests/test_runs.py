@@ -1,6 +1,7 @@
 """Runs from landed pages to targets, their state and their failures."""
 
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -12,7 +13,7 @@ from tidemill.operators.quality import HasColumns, MaxLength, NotAllNull, NotNul
 from tidemill.operators.tokens import tokenize, tokenize_with
 from tidemill.plans.run import CheckFailed, Warehouse, run_dataset
 from tidemill.sources.pages import SCHEMA
-from tidemill.sources.snapshots import Snapshots
+from tidemill.sources.snapshots import ConcurrentCommit, Snapshots
 from tidemill.spec import Dataset, Field
 from tidemill.streaming.ingest import stream_dataset
 
@@ -44,6 +45,8 @@ def test_full_forward_and_mart(spark, tmp_path):
     rows = {(str(r["report_date"]), r["priority"]): r["incident_count"] for r in w.table("incident_summary").read().collect()}
     assert rows == {("2024-01-01", "1"): 1, ("2024-01-03", "Unknown"): 2}
     assert {r["status"] for r in latest_runs(w.ops.history.read()).collect()} == {"success"}
+    known = {r["dataset"]: (r["load_strategy"], r["source"], r["last_success_at"]) for r in w.ops.known().collect()}
+    assert known == {incidents.name: ("upsert", "servicenow", AS_OF), "incident_summary": ("replace", None, AS_OF)}
 
 
 def test_failed_run_leaves_the_target(spark, tmp_path):
@@ -72,6 +75,8 @@ def test_sensitive_columns_are_tokens_before_anything_is_written(spark, tmp_path
     d = Dataset("people", (Field("id", "bigint", nullable=False), Field("email", sensitive=True)), ("id",))
     w = Warehouse(spark, str(tmp_path), token_key="pepper")
     land(spark, w, "people", [[{"id": 1, "email": "a@b"}, {"id": 2, "email": None}, {"id": 3, "email": "a@b"}]])
+    with pytest.raises(ValueError, match="a key that isn't empty"):
+        run_dataset(Warehouse(spark, str(tmp_path)), d, as_of=AS_OF, mode="full", tenant="acme")
     run_dataset(w, d, as_of=AS_OF, mode="full", dry_run=False, tenant="acme")
     got = {r["id"]: r["email"] for r in w.table("people").read().collect()}
     assert got[2] is None and got[1] == got[3] and len(got[1]) == 18 and got[1] != "a@b"
@@ -131,22 +136,211 @@ def test_tokens(spark):
         tokenize_with(df, ["s"], lambda values: []).collect()
 
 
-def test_stream_takes_each_page_once(spark, tmp_path):
-    w, d = Warehouse(spark, str(tmp_path)), DATASETS["github_members"]
-    target = w.table("streamed")
+def member(login, i):
+    return {"login": login, "id": i, "avatar_url": "u", "type": "User"}
 
-    def member(login, i):
-        return {"login": login, "id": i, "avatar_url": "u", "type": "User"}
+
+def test_stream_takes_each_page_once(spark, tmp_path):
+    w, d = Warehouse(spark, str(tmp_path), token_key="pepper"), DATASETS["github_members"]
 
     def take(checkpoint):
-        query = stream_dataset(spark, d, w.pages, target, str(tmp_path / checkpoint), AS_OF)
-        query.awaitTermination()
+        stream_dataset(w, d, str(tmp_path / checkpoint), AS_OF).awaitTermination()
+
+    def got():
+        return {(r["login"], r["id"]) for r in w.table(d.name).read().collect()}
 
     land(spark, w, d.name, [[member("a", 1), member("b", 2)]])
     take("c1")
     land(spark, w, d.name, [[member("b", 3), member("c", 4)]], seq=9)
     take("c1")
     take("c1")
-    assert {(r["login"], r["id"]) for r in target.read().collect()} == {("a", 1), ("b", 3), ("c", 4)}
+    assert got() == {("a", 1), ("b", 3), ("c", 4)}
     take("c2")  # all pages again, as after a lost checkpoint
-    assert {(r["login"], r["id"]) for r in target.read().collect()} == {("a", 1), ("b", 3), ("c", 4)}
+    assert got() == {("a", 1), ("b", 3), ("c", 4)}
+    assert w.ops.known().first()["last_success_at"] == AS_OF
+    assert {r["status"] for r in w.ops.runs().collect()} == {"success"}
+
+
+def test_stream_tokenizes_guards_and_keeps_watermarks(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path), token_key="pepper")
+    d = Dataset("people", (Field("email", sensitive=True, nullable=False), Field("seen", "timestamptz")), ("email",), records="rows", incremental="seen", guarded=True)
+    land(spark, w, d.name, [{"rows": [{"email": "a@b.example", "seen": "2024-01-02 00:00:00"}]}], tenant="acme")
+    land(spark, w, d.name, [{"rows": [{"email": "a@b.example", "seen": "2024-01-03 00:00:00"}, {"email": "c", "seen": "2024-01-01 00:00:00"}]}], seq=9, tenant="other")
+    stream_dataset(w, d, str(tmp_path / "c1"), AS_OF).awaitTermination()
+    rows = w.table(d.name).read().collect()
+    assert len(rows) == 2 and all(len(r["email"]) == 18 and "@" not in r["email"] for r in rows)
+    for folder, _, names in os.walk(tmp_path / "tables"):
+        assert all(b"a@b.example" not in open(os.path.join(folder, n), "rb").read() for n in names)
+    assert w.ops.marks(d.name, "acme")["forward_watermark"] == datetime(2024, 1, 2) and w.ops.marks(d.name, "other")["backward_watermark"] == datetime(2024, 1, 1)
+    land(spark, w, d.name, [{"errors": [{"message": "slow down"}]}], seq=20)
+    query = stream_dataset(w, d, str(tmp_path / "c1"), AS_OF)
+    with pytest.raises(Exception, match="slow down"):
+        query.awaitTermination()
+    assert "failed" in {r["status"] for r in w.ops.runs().collect()} and w.table(d.name).read().count() == 2
+
+
+def test_upserts_on_tokens_meet_their_rows(spark, tmp_path):
+    d = Dataset("people", (Field("email", sensitive=True, nullable=False), Field("n", "bigint")), ("email",))
+    w = Warehouse(spark, str(tmp_path), token_key="pepper")
+    land(spark, w, "people", [[{"email": "a", "n": 1}, {"email": "b", "n": 2}]])
+    run_dataset(w, d, as_of=AS_OF)
+    land(spark, w, "people", [[{"email": "a", "n": 5}]], seq=7)
+    run_dataset(w, d, as_of=AS_OF)
+    run_dataset(w, d, as_of=AS_OF)
+    assert sorted(r["n"] for r in w.table("people").read().collect()) == [2, 5]
+
+
+def test_a_tenants_run_leaves_other_tenants_rows(spark, tmp_path):
+    d = Dataset("flows", (Field("id", "bigint", nullable=False), Field("name")), ("id",), load="replace")
+    w = Warehouse(spark, str(tmp_path))
+    land(spark, w, "flows", [[{"id": 1, "name": "a1"}, {"id": 2, "name": "a2"}]], tenant="acme")
+    land(spark, w, "flows", [[{"id": 3, "name": "o3"}]], tenant="other")
+    for tenant in ("acme", "other"):
+        run_dataset(w, d, tenant=tenant, as_of=AS_OF)
+
+    def got():
+        return {(r["id"], r["name"]) for r in w.table("flows").read().collect()}
+
+    assert got() == {(1, "a1"), (2, "a2"), (3, "o3")}
+    before = {p["folder"] for p in w.table("flows").current()["parts"]}
+    land(spark, w, "flows", [[{"id": 2, "name": "o2"}]], seq=5, tenant="other")  # a key that moves to the other tenant
+    run_dataset(w, d, tenant="other", as_of=AS_OF)
+    assert got() == {(1, "a1"), (2, "o2"), (3, "o3")}
+    run_dataset(w, d, tenant="other", as_of=AS_OF)
+    assert got() == {(1, "a1"), (2, "o2"), (3, "o3")} and not before & {p["folder"] for p in w.table("flows").current()["parts"]}
+    run_dataset(w, d, as_of=AS_OF)  # of all tenants: everything anew
+    assert got() == {(1, "a1"), (2, "o2"), (3, "o3")} or got() == {(1, "a1"), (2, "a2"), (3, "o3")}
+
+
+def test_upserts_rewrite_only_the_buckets_they_touch(spark, tmp_path):
+    t = Snapshots(spark, str(tmp_path / "t"), 16)
+    promote(spark.range(200).selectExpr("id", "'a' AS v"), t, ["id"], "upsert")
+    before = {p["part"]: p["folder"] for p in t.current()["parts"]}
+    promote(spark.createDataFrame([(7, "b")], "id bigint, v string"), t, ["id"], "upsert")
+    after = {p["part"]: p["folder"] for p in t.current()["parts"]}
+    assert len(before) == 16 and sum(before[k] != after[k] for k in before) == 1
+    assert t.read().count() == 200 and t.read().where("v = 'b'").count() == 1
+
+
+def test_two_writers(spark, tmp_path):
+    t = Snapshots(spark, str(tmp_path / "t"))
+    t.commit(spark.createDataFrame([(1,)], "id int"))
+    base = t.current()
+    t.commit(spark.createDataFrame([(2,)], "id int"), append=True)
+    with pytest.raises(ConcurrentCommit):
+        t.commit(spark.createDataFrame([(3,)], "id int"), base=base)
+    assert sorted(r["id"] for r in t.read().collect()) == [1, 2]
+
+
+def test_small_folders_are_merged_and_old_ones_removed(spark, tmp_path, monkeypatch):
+    from tidemill.sources import snapshots
+
+    monkeypatch.setattr(snapshots, "MANY", 4)
+    t = Snapshots(spark, str(tmp_path / "t"))
+    for k in range(7):
+        t.commit(spark.createDataFrame([(k,)], "id int"), append=True)
+    held = t.current()
+    assert t.compact() and len(t.current()["parts"]) == 1 and not t.compact()
+    assert sorted(r["id"] for r in t.read(held).collect()) == list(range(7)) == sorted(r["id"] for r in t.read().collect())
+    assert t.vacuum(keep=1) == 0  # nothing is old enough
+    assert t.vacuum(keep=1, older_than_hours=-1) == 7 and len(t.versions()) == 1
+    assert sorted(r["id"] for r in t.read().collect()) == list(range(7))
+
+
+def test_children_come_from_their_parents(spark, tmp_path):
+    w, repos, branches = Warehouse(spark, str(tmp_path)), DATASETS["github_repos"], DATASETS["github_branches"]
+    for key in ("acme/a", "ACME/b", "other/c"):
+        land(spark, w, branches.name, [[{"name": "main", "protected": True, "commit": {"sha": "s"}}]], key=key)
+    with pytest.raises(CheckFailed, match="never loaded"):
+        run_dataset(w, branches, tenant="acme", as_of=AS_OF)
+    land(spark, w, repos.name, [[repo("acme/a"), repo("ACME/b"), repo("other/c")]])
+    run_dataset(w, repos, tenant="acme", as_of=AS_OF)
+    run_dataset(w, branches, tenant="acme", as_of=AS_OF)
+    assert sorted(r["repo_full_name"] for r in w.table(branches.name).read().collect()) == ["ACME/b", "acme/a"]
+    run_dataset(w, branches, tenant="acme", as_of=AS_OF, max_entities=1)
+    assert [r["repo_full_name"] for r in w.table(branches.name).read().collect()] == ["ACME/b"]
+
+
+def repo(full_name):
+    return dict.fromkeys(DATASETS["github_repos"].columns, None) | {"id": abs(hash(full_name)), "full_name": full_name, "name": "n", "owner": {"login": "o"}}
+
+
+def test_deployments_warn_of_names_without_a_slash_and_cut_descriptions(spark, tmp_path):
+    w, repos, d = Warehouse(spark, str(tmp_path)), DATASETS["github_repos"], DATASETS["github_deployments"]
+    land(spark, w, repos.name, [[repo("acme/a"), repo("nameless")]])
+    run_dataset(w, repos, as_of=AS_OF)
+    node = {"databaseId": 1, "environment": "prod", "description": "x" * 4001, "state": "ok", "createdAt": "2024-05-01T00:00:00Z", "updatedAt": "2024-05-02T00:00:00Z", "creator": {"login": "c"}, "commit": {"oid": "c"}, "latestStatus": {"state": "s"}}
+    land(spark, w, d.name, [{"data": {"repository": {"deployments": {"nodes": [node]}}}}], key={"owner": "acme", "name": "a"})
+    got = run_dataset(w, d, "full", as_of=AS_OF)
+    assert got.rows_loaded == 1 and any("1 rows of github_repos name no entity" in x for x in got.warnings) and any("description cut in the middle; such as (1, 'acme')" in x for x in got.warnings)
+    land(spark, w, d.name, [{"errors": [{"message": "rate limit"}]}], seq=8, key={"owner": "acme", "name": "a"})
+    with pytest.raises(Exception, match="rate limit"):
+        run_dataset(w, d, "full", as_of=AS_OF)
+    assert w.table(d.name).read().count() == 1
+
+
+def test_too_long_values_fail_the_run(spark, tmp_path):
+    w, incidents = Warehouse(spark, str(tmp_path)), DATASETS["servicenow_incidents"]
+    assert sum(bool(d.max_lengths) for d in DATASETS.values()) >= 28
+    land(spark, w, incidents.name, [{"result": [incident(1, "2024-01-01 10:00:00", number="N" * 41)]}])
+    with pytest.raises(CheckFailed, match="column number: 1 values over 40 characters, the longest 41"):
+        run_dataset(w, incidents, "full", "acme", AS_OF)
+
+
+@pytest.mark.parametrize(("total", "outcome"), [(2, ()), (1, ()), (None, ()), (3, "fail")])
+def test_completeness_of_projects(spark, tmp_path, total, outcome):
+    w, d = Warehouse(spark, str(tmp_path)), DATASETS["sonarqube_projects"]
+    land(spark, w, d.name, [{"paging": {"total": total}, "components": [{"key": k, "name": k, "qualifier": "TRK"} for k in "ab"]}])
+    if outcome == "fail":
+        with pytest.raises(CheckFailed, match="2 of 3 announced"):
+            run_dataset(w, d, as_of=AS_OF)
+        assert run_dataset(w, d, as_of=AS_OF, max_pages=5).rows_loaded == 2  # a part is meant to be a part
+    else:
+        assert run_dataset(w, d, as_of=AS_OF).warnings == outcome
+
+
+def test_a_small_shortfall_warns(spark, tmp_path):
+    w, d = Warehouse(spark, str(tmp_path)), DATASETS["sonarqube_projects"]
+    land(spark, w, d.name, [{"paging": {"total": 40}, "components": [{"key": f"k{i}", "name": "n", "qualifier": "TRK"} for i in range(39)]}])
+    assert run_dataset(w, d, as_of=AS_OF).warnings == ("39 of 40 announced rows came (2.5% short)",)
+
+
+def test_few_rows_and_stale_sources_warn(spark, tmp_path):
+    w, incidents = Warehouse(spark, str(tmp_path)), DATASETS["servicenow_incidents"]
+    land(spark, w, incidents.name, [{"result": [incident(i, "2024-01-01 10:00:00") for i in range(10)]}])
+    run_dataset(w, incidents, "full", "acme", datetime(2024, 5, 1))
+    land(spark, w, incidents.name, [{"result": [incident(3, "2024-02-01 10:00:00")]}], seq=4)
+    got = run_dataset(w, incidents, "forward", "acme", datetime(2024, 5, 2), start=datetime(2024, 1, 15), end=datetime(2024, 5, 2))
+    assert "1 rows, where the last runs had 10 on average" in got.warnings
+    got = run_dataset(w, DATASETS["incident_summary"], as_of=AS_OF)
+    assert got.warnings[0].startswith("source servicenow_incidents was last loaded at 2024-05-02")
+    history = w.table("sonarqube_measures_history")
+    history.create_if_missing(DATASETS["sonarqube_measures_history"].schema)
+    with pytest.raises(CheckFailed, match="0 rows"):
+        run_dataset(w, DATASETS["sonarqube_adoption_trend"], as_of=AS_OF)
+
+
+def test_a_crashed_run_is_carried_on(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    taken = []
+
+    class Killed(BaseException):
+        pass
+
+    def watching(rows, context):
+        taken.append(rows.count())
+        if len(taken) == 3:
+            raise Killed
+        return rows
+
+    d = Dataset("units", (Field("id", "bigint", nullable=False), Field("k", key="*")), ("id",), transform=watching)
+    for k in range(20):
+        land(spark, w, "units", [[{"id": k}, {"id": 100 + k}]], seq=k, key=f"e{k}")
+    with pytest.raises(Killed):
+        run_dataset(w, d, as_of=AS_OF, slices=4)
+    assert not w.table("units").exists() and sum(taken[:2]) > 0
+    before = len(taken)
+    done = run_dataset(w, d, as_of=AS_OF, slices=4, resume=True)
+    assert w.table("units").read().count() == 40 == done.rows_loaded
+    assert sum(taken[before:]) + sum(taken[:2]) == 40  # what was staged isn't taken again
+    assert [r["status"] for r in w.ops.runs().collect()] == ["success"]
