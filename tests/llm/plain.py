@@ -134,3 +134,29 @@ def pieces(rows, tokenizer, window):
             part = np.array(ids[s : s + window], "<u4")
             out.append((i, s, len(part), zlib.crc32(part.tobytes()), len(ids)))
     return out
+
+
+def licences(text, rules, reach, mark):
+    """Findings (start, end, label, priority, confidence) of a text that no other one holds, and its words. ``rules``: as the library has them."""
+    w, found = words(text), []
+    by_keyword = {}
+    for rule in rules:
+        by_keyword.setdefault(rule[0], []).append(rule)
+    for i, word in enumerate(w):
+        left, right = w[max(0, i - reach) : i], w[i + 1 : i + reach]
+        said = "".join(f" {x}" for x in left) + f" {mark}{word} " + "".join(f"{x} " for x in right)
+        for _, _, rule, label, priority, confidence in by_keyword.get(word, ()):
+            m = re.search(f" {rule}(?= )", said)
+            if m:
+                start = i - m[0].split(mark)[0].count(" ") + 1
+                found.append((start, start + m[0].count(" "), label, priority, confidence))
+
+    def held(f):
+        for g in found:
+            within = g[0] <= f[0] and f[1] <= g[1]
+            if within and (g[3] > f[3] or g[3] == f[3] and (g[1] - g[0] > f[1] - f[0] or g[1] - g[0] == f[1] - f[0] and g[2] < f[2])):
+                return True
+        return False
+
+    top = max(r[4] for r in rules)
+    return w, [f for f in found if f[3] == top or not held(f)]

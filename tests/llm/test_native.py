@@ -139,3 +139,34 @@ def test_licenses_in_texts_with_section_signs(spark):
         want = (len(w), len(at), min((k for k, _ in at), default=None), max((k for k, _ in at), default=None), ",".join(sorted({x for _, x in at})))
         assert tuple(got[i])[1:6] == want
     assert [got[i]["labels"] for i in range(len(texts))] == ["mit", "mit", "apache-2", "", "", "cc-by-nc", "gpl-3", "proprietary"]
+
+
+def test_signatures_and_suppression(spark):
+    """All findings, labels and scores against plain Python, on texts made of the rules' own words."""
+    rules = licenses.rules()
+    assert len(rules) == len({r[2:4] for r in rules}) and all(r[1].startswith(licenses.MARK + r[0]) for r in rules)
+    r, texts = random.Random(3), []
+    said = [re.sub(r"\(\?:([^()|]*)[^()]*\)\??|\.\{\d+,\d+\}|[?\[\]\x01]", lambda m: m[1] or "", rule[2]) for rule in rules]
+    said = [re.sub(" +", " ", x.replace("(", "").replace(")", "")) for x in said]
+    for rule, words_said in zip(rules, said, strict=True):
+        if rule[4] >= 7:
+            texts.append(words_said)
+    for _ in range(250):
+        parts = [r.choice(said) for _ in range(r.randrange(1, 5))]
+        texts.append(r.choice(["", "see §1 "]) + r.choice([" ", " and ", " 2 0 "]).join(parts))
+    texts += [" ".join(r.choice("under the mit license apache version 2 cc by nc gnu general public 3 licensed § é".split()) for _ in range(60)) for _ in range(60)]
+    got = {x["doc_id"]: x for x in licenses.licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, text in enumerate(texts):
+        w, kept = plain.licences(text, rules, licenses.REACH, licenses.MARK)
+        base = [f for f in kept if f[3] == 1000]
+        want = (len(w), len(base), min((f[0] for f in base), default=None), max((f[0] for f in base), default=None), ",".join(sorted({f[2] for f in base})), ",".join(sorted({f[2] for f in kept})), max((f[4] for f in kept), default=0.0))
+        assert tuple(got[i])[1:] == want, text
+    with_labels = sum(bool(got[i]["labels"]) for i in range(len(texts)))
+    assert with_labels > 0.9 * (len(texts) - 60)
+
+
+def test_every_written_signature_finds_its_own_passage(spark):
+    passages = [(label, p) for table in (licenses.NOTICES, licenses.GRANTS, licenses.TITLES) for label, found in table.items() for p in found if not re.search(r"[.\[(?{]", p)]
+    docs = spark.createDataFrame([(i, "x " + p.replace("§", "") + " y") for i, (_, p) in enumerate(passages)], "doc_id long, text string")
+    got = {x["doc_id"]: x["labels"].split(",") for x in licenses.licenses(docs).collect()}
+    assert len(passages) > 200 and not [p for i, (label, p) in enumerate(passages) if label not in got[i] and not any(label.startswith(x) or x.startswith(label.split("-")[0]) for x in got[i])]

@@ -6,7 +6,8 @@ word marked, meet the rules of this keyword, so that each place is found once. O
 the interval of a finding of higher priority, or of the same priority and longer, is suppressed; of equal intervals and
 priorities the first label stays. Findings of the base phrases are never suppressed.
 
-The rules come from lists of licences, their names and numbers, and of the phrases in which they are named.
+The rules are written by hand: passages of notices and grants (see ``signatures``), each a rule of its own, and names of licences,
+which make a rule with each of the phrases in which they are named.
 
 Defined results: a null or empty text has no words and no finding; repeated rows are scanned each; an empty table gives no
 rows; other columns are ignored; texts are scanned whole."""
@@ -19,12 +20,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.native import let, words
+from tidemill.llm.signatures import GRANTS, NOTICES, TITLES
 from tidemill.llm.tables import read_table, texts
 
 #: Stands before the keyword where rules and surroundings meet; no word of a text can hold it. In the lists below keywords are marked with "§".
 MARK = "\x01"
 #: Words on either side of a keyword that a rule can reach.
-REACH = 14
+REACH = 28
 BASE = (("under the §mit license", "mit"), ("§apache license version 2", "apache-2"), ("§cc by nc", "cc-by-nc"))
 
 # Licences by label, each with its names; in a name the keyword is marked.
@@ -81,8 +83,12 @@ PHRASES = (
 
 def _literal(name: str) -> str:
     """The plain text that a match has from the marked keyword on, up to where the expression first leaves a choice."""
-    plain = re.match(rf"{MARK}[^\[(?]*", name[name.index(MARK) :])[0]
-    return plain[:-1] if name[name.index(MARK) + len(plain) :].startswith("?") else plain
+    plain = re.match(rf"{MARK}[^\[(?\\{{.+*]*", name[name.index(MARK) :])[0]
+    return plain[:-1] if name[name.index(MARK) + len(plain) :].startswith(("?", "*", "{")) else plain
+
+
+def _keyword(rule: str) -> str:
+    return re.split(r"[^0-9a-z]", rule.split(MARK)[1], maxsplit=1)[0]
 
 
 def rules() -> list[tuple[str, str, str, str, int, float]]:
@@ -92,11 +98,15 @@ def rules() -> list[tuple[str, str, str, str, int, float]]:
         label = "cc-" + part.replace(" ", "-")
         names += [(label, f"§cc {part}(?: [1-4] [05])?"), (label, f"§creative commons {full}(?: [1-4] [05])?")]
     names += [("cc0", "§cc0(?: 1 0)?"), ("cc0", "§creative commons zero")]
+    names += [(label, title) for label, titles in TITLES.items() for title in titles]
     names = [(label, name.replace("§", MARK)) for label, name in names]
     base = [(p.replace("§", MARK), label) for p, label in BASE]
     out = [(p.split(MARK)[1].split(" ")[0], _literal(p), p, label, 1000, 0.9) for p, label in base]
+    for priority, confidence, table in ((len(PHRASES) + 2, 0.95, NOTICES), (len(PHRASES) + 1, 0.9, GRANTS)):
+        passages = [(label, p.replace("§", MARK)) for label, passages in table.items() for p in passages]
+        out += [(_keyword(p), _literal(p), p, label, priority, confidence) for label, p in passages]
     for label, name in names:
-        keyword = name.split(MARK)[1].split(" ")[0].split("(")[0].split("?")[0]
+        keyword = _keyword(name)
         for k, (phrase, confidence) in enumerate(PHRASES):
             out.append((keyword, _literal(name), phrase.format(name), label, len(PHRASES) - k, confidence))
     return out
@@ -131,7 +141,7 @@ def findings(docs: DataFrame, *keys: str) -> DataFrame:
     start = (F.col("at") - before).cast("long")
     found = F.col("match").isNotNull() & (F.col("match") != "") & (before <= begin)
     return match.where(F.col("at").isNull() | found).select(
-        "_row", *keys, "n_words", start.alias("start"), (start + F.size(F.split(F.substring("match", 2, 10_000), " "))).alias("end"), "label", "priority", "confidence"
+        "_row", *keys, "n_words", start.alias("start"), (start + F.size(F.split(F.expr("substring(match, 2)"), " "))).alias("end"), "label", "priority", "confidence"
     )
 
 
