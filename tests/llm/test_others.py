@@ -68,7 +68,8 @@ def test_best_fit_plan(lengths):
     assert sorted(30 - sum(n for _, n in p) for p in used.values()) == sorted(rooms)
 
 
-def test_packing(docs, none, texts):
+def test_packing(docs, none, texts, monkeypatch):
+    monkeypatch.setattr(packing, "LEAST_ROWS", 3)
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -241,6 +242,72 @@ def test_edit_embedding(docs, none, unnamed, texts):
     assert edit_embedding.fingerprints(none).count() == 0 and edit_embedding.fingerprints(unnamed).count() == 2
 
 
+def brute_groups(texts, least=0.75):
+    """The near pairs of different fingerprints, and the group of each fingerprint by all of them."""
+    prints = sorted({edit_embedding.fingerprint(t) for t in texts})
+    bits = np.frombuffer(bytes.fromhex("".join(prints)), np.uint64).reshape(-1, 4)
+    pairs = []
+    for k in range(1, len(prints)):
+        apart = np.bitwise_count(bits[:k] ^ bits[k]).sum(axis=1, dtype=np.int64)
+        pairs += [(prints[j], prints[k]) for j in np.flatnonzero(1 - 2 * apart / 256 >= least)]
+    return pairs
+
+
+@pytest.mark.parametrize("bucket", [50_000, 8])
+def test_near_documents_of_the_tables(spark, monkeypatch, bucket):
+    """Of all near pairs, found by comparing all fingerprints, at least nine in ten are in one group; and groups hold near ones only."""
+    monkeypatch.setattr(edit_embedding, "BUCKET", bucket)
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    got = {r["doc_id"]: r["near_id"] for r in edit_embedding.near_documents(docs).collect()}
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    assert got.keys() == texts.keys() and all(n <= i and got[n] == n for i, n in got.items())
+    of = {}
+    for i, t in texts.items():
+        p = edit_embedding.fingerprint(t)
+        assert of.setdefault(p, got[i]) == got[i]  # equal fingerprints are in one group
+    pairs = brute_groups(texts.values())
+    met = sum(of[a] == of[b] for a, b in pairs)
+    assert len(pairs) > 20 and met >= 0.9 * len(pairs)
+    allowed = {p: p for p in of}
+
+    def root(p):
+        while allowed[p] != p:
+            p = allowed[p]
+        return p
+
+    for a, b in pairs:
+        allowed[root(a)] = root(b)
+    by_group = defaultdict(set)
+    for p, g in of.items():
+        by_group[g].add(root(p))
+    assert all(len(roots) == 1 for roots in by_group.values())
+
+
+def test_near_documents_of_odd_rows(spark, docs, none, unnamed):
+    rows = edit_embedding.near_documents(docs.select("doc_id", "text").unionByName(unnamed.select("doc_id", "text"))).collect()
+    assert len(rows) == docs.count() + 2
+    group = {r["doc_id"]: r["near_id"] for r in rows if r["doc_id"] not in (9, None)}
+    assert group[40] == 3 and edit_embedding.near_documents(none).count() == 0  # a copy; an empty table
+    assert len({group[i] for i in range(0, 40) if i != 9}) >= 35
+
+
+def test_leaders_need_few_comparisons_for_copies():
+    r = np.random.default_rng(2)
+    one = r.integers(0, 1 << 63, 4, np.uint64)
+    prints = np.repeat(one[None, :], 20_000, axis=0) ^ (np.uint64(1) << r.integers(0, 20, (20_000, 4), np.uint64))
+    assert (edit_embedding.leaders(prints, np.arange(20_000), 0.75) == 0).all()
+
+
+def test_order_of_many_rows_without_ids(spark):
+    rows = [(None, f"text {k % 37}") for k in range(300)] + [(k, f"t{k}") for k in range(50)] + [(7, "a"), (7, "b")]
+    got = edit_embedding.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r["doc_id"], r["n_chars"]) for r in got) == Counter((i, len(t)) for i, t in rows)
+    seven = sorted(t for i, t in rows if i == 7)
+    after = {a: b for a, b in zip(seven, [*seven[1:], "t8"], strict=True)}
+    edited = {hashlib.sha256((t[: len(t) - len(t) // 4] + after[t][: len(t) // 4]).encode()).hexdigest() for t in seven}
+    assert {r["edited_sha256"] for r in got if r["doc_id"] == 7} == edited
+
+
 def test_near_pairs(spark):
     from samples import prose
 

@@ -139,5 +139,5 @@ def test_repeated_ids_lose_no_text(spark):
 
 
 def test_registered():
-    assert sorted(queries.queries()) == sorted(["op1_edit_embedding", "op2_secrets", "op3_decontamination", "op4_substring_dedup", "op5_toxicity", "op6_licenses", "op7_packing", "op8_quality", "op9_ngram_join", "op10_bpe_token_counts"])
+    assert sorted(queries.queries()) == sorted(["op1_edit_embedding", "op2_secrets", "op3_decontamination", "op4_substring_dedup", "op5_toxicity", "op6_licenses", "op7_packing", "op8_quality", "op9_ngram_join", "op10_bpe_token_counts", "near_fingerprints"])
     assert corpus_pipeline.ORACLE_SQL is None

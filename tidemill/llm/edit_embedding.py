@@ -7,13 +7,13 @@ The fingerprint is a fixed number of bits, each a random bit of the character th
 sampled alike for all texts: by one rising series of candidates for each bit, of which the last one inside the walk counts,
 which makes it equally likely to be any step of the walk and the same one for walks of nearly the same length.
 
-``near_pairs`` finds near documents: bits sampled from the fingerprints make bands, documents that share a band meet
-each other, and the distance of whole fingerprints verifies them.
+``near_documents`` finds near documents: bits sampled from the fingerprints make bands, fingerprints that share a band meet, and
+their whole distance verifies them. ``near_pairs`` tells each such pair.
 
 Defined results: a null text counts as empty; the empty text's fingerprint is all zeros; equal texts have equal
-fingerprints; rows without an id come after all others, and rows of one id follow each other in the order of their texts;
-the only row of a table is its own next document; an empty table gives no rows; other columns are ignored. Whole texts are
-walked, however long."""
+fingerprints; rows without an id come after all others, in the order of their texts' hashes, and rows of one id follow each
+other in the order of their texts; the only row of a table is its own next document; an empty table gives no rows; other
+columns are ignored. Whole texts are walked, however long."""
 
 from __future__ import annotations
 
@@ -24,13 +24,13 @@ from itertools import accumulate
 from operator import getitem, itemgetter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.blobs import groups
-from tidemill.llm.tables import partitions, read_table, texts
+from tidemill.llm.graph import components
+from tidemill.llm.tables import checkpointed, partitions, read_table, texts
 from tidemill.llm.wordhash import mix
 
 BITS = 256
@@ -103,32 +103,35 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def _in_order(docs: DataFrame, buckets: int) -> DataFrame:
-    """``docs`` (``doc_id``, ``text``) dealt to buckets by ranges of the id, each sorted, the first document of the next bucket
-    behind it (``extra``; behind the last one that of the first). Only ids are looked at to find the ranges; what reaches the
-    driver is an id for each bucket. Texts are shuffled once."""
-    ids = docs.select("doc_id").where("doc_id IS NOT NULL")
+    """``docs`` (``doc_id``, ``text``) dealt to buckets by ranges of the id, or of the text's hash where there is no id, each sorted, the
+    first document of the next bucket behind it (``extra``; behind the last one that of the first). Only ids and hashes are
+    looked at to find the ranges; what reaches the driver, and goes back as a small table, is a row for each bucket. Texts are
+    shuffled once, each bucket to a task of its own."""
+    docs = docs.withColumn("hash", F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long")))
     quantiles = [k / buckets for k in range(1, buckets)]
-    cuts = ids.agg(F.percentile_approx("doc_id", quantiles, 10 * buckets).alias("c")).first()["c"] if quantiles else []
-    cuts = np.unique(np.array(cuts or [], np.int64))
-
-    @F.pandas_udf("int")
-    def bucket(doc_id: pd.Series) -> pd.Series:
-        known = doc_id.notna()
-        at = np.searchsorted(cuts, doc_id.where(known, 0).astype("int64"), "right")
-        return pd.Series(np.where(known, at, len(cuts)))
-
-    dealt = docs.withColumn("bucket", bucket("doc_id"))
-    heads = {r["bucket"]: r["least"] for r in dealt.groupBy("bucket").agg(F.min("doc_id").alias("least")).collect()}
-    order = sorted(heads)
-    # A bucket's first document also goes to the bucket before it. A bucket of rows without ids has any of them first.
-    to = F.create_map(*(F.lit(x) for k, b in enumerate(order) for x in (b, order[k - 1]))) if order else F.create_map(F.lit(-1), F.lit(-1))
-    least = F.create_map(*(F.lit(x).cast(t) for b in order for x, t in ((b, "int"), (heads[b], "long")))) if order else F.create_map(F.lit(-1), F.lit(-1).cast("long"))
-    head = F.col("doc_id").eqNullSafe(F.element_at(least, F.col("bucket")))
-    copies = F.when(head, F.array(F.struct(F.col("bucket").alias("to"), F.lit(0).alias("extra")), F.struct(F.element_at(to, F.col("bucket")).alias("to"), F.lit(1).alias("extra")))).otherwise(
-        F.array(F.struct(F.col("bucket").alias("to"), F.lit(0).alias("extra")))
-    )
-    rows = dealt.select("doc_id", "text", F.explode(copies).alias("c")).select("doc_id", "text", "c.to", "c.extra")
-    return rows.repartition(buckets, "to").sortWithinPartitions("to", "extra", F.asc_nulls_last("doc_id"), "text")
+    found = docs.select("doc_id").agg(F.count("doc_id").alias("named"), F.count("*").alias("n"), F.percentile_approx("doc_id", quantiles or [0.5], 10 * buckets).alias("cuts")).first()
+    cuts = np.unique(np.array(found["cuts"] or [], np.int64))[: buckets - 1]
+    unnamed = max(1, round(buckets * (found["n"] - found["named"]) / max(1, found["n"])))  # buckets of rows without an id
+
+    @F.arrow_udf("int")
+    def bucket(doc_id: pa.Array, hashed: pa.Array) -> pa.Array:
+        at = np.searchsorted(cuts, doc_id.fill_null(0).to_numpy(zero_copy_only=False), "right")
+        share = (hashed.to_numpy(zero_copy_only=False).astype(np.float64) + 2.0**63) / 2.0**64
+        later = len(cuts) + 1 + np.minimum(unnamed - 1, (share * unnamed).astype(np.int64))
+        return pa.array(np.where(doc_id.is_null().to_numpy(zero_copy_only=False), later, at).astype(np.int32))
+
+    dealt = docs.withColumn("to", bucket("doc_id", "hash"))
+    first = F.struct(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("hash"))
+    heads = sorted((r["to"], *r["least"]) for r in dealt.groupBy("to").agg(F.min(first).alias("least")).collect())
+    # A bucket's first document also goes to the bucket before it.
+    moved = [(b, i, h, heads[k - 1][0]) for k, (b, i, h) in enumerate(heads)]
+    heads = docs.sparkSession.createDataFrame(moved, "to int, least long, hash long, before int")
+    same = ["to", F.coalesce("doc_id", F.lit(0)).alias("least"), "hash"]
+    met = dealt.select("doc_id", "text", *same).join(F.broadcast(heads), ["to", "least", "hash"], "left")
+    copies = F.array(F.struct(F.col("to").alias("to"), F.lit(0).alias("extra")))
+    copies = F.when(F.col("before").isNull(), copies).otherwise(F.concat(copies, F.array(F.struct(F.col("before").alias("to"), F.lit(1).alias("extra")))))
+    rows = met.select("doc_id", "text", "hash", F.explode(copies).alias("c")).select("doc_id", "text", "hash", "c.to", "c.extra")
+    return rows.repartitionById(len(cuts) + 1 + unnamed, "to").sortWithinPartitions("to", "extra", F.asc_nulls_last("doc_id"), "hash", "text")
 
 
 NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
@@ -228,10 +231,105 @@ def near_pairs(prints: DataFrame, least: float = 0.75, bands: int = 32, band_bit
     return dealt.mapInArrow(compare, "fingerprint string, near string, likeness double")
 
 
+#: In ``near_documents`` a band has so many bits that a bucket holds about this many unrelated fingerprints, whatever the corpus,
+#: and there are so many bands that this share of the pairs at the limit of likeness meets in one.
+UNRELATED, RECALL = 32, 0.97
+#: A bucket of more fingerprints than this is cut into parts, whose leaders meet in a second round.
+BUCKET = 50_000
+
+
+def bands_for(classes: int, least: float) -> tuple[int, int]:
+    """How many bands, and of how many bits, for so many different fingerprints."""
+    bits = min(40, max(8, (classes // UNRELATED).bit_length()))
+    met = (1 - (1 - least) / 2) ** bits
+    return int(np.ceil(np.log(1 - RECALL) / np.log1p(-met))), bits
+
+
+def leaders(prints: np.ndarray, ids: np.ndarray, least: float) -> np.ndarray:
+    """For each fingerprint of a bucket (rows of 64-bit numbers, in the order of ``ids``) the place of the first one that is near it, or its
+    own. One after the other leads those that have no leader yet, so that copies of one text cost a comparison each."""
+    leader, free = np.arange(len(ids)), np.arange(len(ids))
+    most = BITS * (1 - least) / 2
+    while len(free) > 1:
+        first, rest = free[0], free[1:]
+        near = np.bitwise_count(prints[rest] ^ prints[first]).sum(axis=1, dtype=np.int64) <= most
+        leader[rest[near]] = first
+        free = rest[~near]
+    return leader
+
+
+def near_documents(docs: DataFrame, least: float = 0.75) -> DataFrame:
+    """``doc_id``, ``near_id`` of every row: the smallest id of the documents that links between fingerprints at least so like reach,
+    its own included; of rows without an id, null if they reach none that has one.
+
+    Equal fingerprints are one class. In the bucket of a band each class is linked with the first one that is near it, so that
+    a group of copies makes a star and never all its pairs. A bucket that is too large for a task is cut into parts, and what
+    leads in a part meets the other parts' leaders."""
+    n = partitions(docs.sparkSession)
+
+    def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = [_hex(_bits(p, np.cumsum(_stays(_walk(p, 0))))) for p in map(_points, batch.column("text").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([bytes.fromhex(p) for p in prints], pa.binary())], ["doc_id", "print"])
+
+    prints = checkpointed(texts(docs).mapInArrow(walked, "doc_id long, print binary"))
+    classes = prints.groupBy("print").agg(F.min("doc_id").alias("least"))
+    classes = checkpointed(classes.select("print", F.xxhash64("print").alias("node"), "least"))
+    bands, bits = bands_for(classes.count(), least)
+    picks = np.array(_picks(bands, bits))
+    weights = np.uint64(1) << np.arange(bits, dtype=np.uint64)
+
+    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for k in range(0, whole.num_rows, 1000):
+                batch = whole.slice(k, 1000)
+                found = np.unpackbits(np.frombuffer(b"".join(batch.column("print").to_pylist()), np.uint8).reshape(-1, BITS // 8), axis=1).astype(np.uint64)
+                keys = ((found[:, picks] * weights).sum(axis=2, dtype=np.uint64) * np.uint64(bands) + np.arange(bands, dtype=np.uint64)).astype(np.int64)
+                at = np.repeat(np.arange(batch.num_rows), bands)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *(batch.column(c).take(pa.array(at)) for c in ("print", "node", "least"))], ["band", "print", "node", "least"])
+
+    def led(rows: DataFrame, *by: str) -> DataFrame:
+        """``node``, ``to`` (its leader in the bucket) of all rows, and the leaders' ``band``, ``print``, ``least``."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, held in groups(batches, [*by]):
+                numbers = np.frombuffer(b"".join(r["print"] for r in held), np.uint64).reshape(-1, BITS // 64)
+                nodes = np.array([r["node"] for r in held], np.int64)
+                place = leaders(numbers, nodes, least)
+                leads = place == np.arange(len(place))
+                columns = [pa.array(nodes), pa.array(nodes[place]), pa.array([r["band"] for r in held], pa.int64()), pa.array([r["print"] if x else None for r, x in zip(held, leads, strict=True)], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "to", "band", "print"])
+
+        dealt = rows.repartition(n, *by).sortWithinPartitions(*by, "node")
+        return dealt.mapInArrow(run, "node long, to long, band long, print binary")
+
+    spread = classes.mapInArrow(banded, "band long, print binary, node long, least long").select("band", "print", "node")
+    many = spread.select("band").groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    large = checkpointed(many.where(F.col("n") > BUCKET).select("band", F.ceil(F.col("n") / BUCKET).cast("int").alias("parts")))
+    if large.isEmpty():
+        links = led(spread.withColumn("part", F.lit(0)), "band", "part").where("node <> to").select("node", "to")
+    else:
+        parted = spread.join(large, "band", "left").withColumn("part", F.pmod(F.col("node"), F.coalesce("parts", F.lit(1))).cast("int"))
+        first = checkpointed(led(parted.select("band", "part", "print", "node"), "band", "part"))
+        again = led(first.where("print IS NOT NULL").join(large, "band", "left_semi").select("band", "print", "node").withColumn("part", F.lit(0)), "band", "part")
+        links = first.where("node <> to").select("node", "to").unionByName(again.where("node <> to").select("node", "to"))
+    found = checkpointed(components(links.distinct().toDF("a", "b")))
+    placed = classes.join(found, "node", "left").select("print", "least", F.coalesce("component", "node").alias("component"))
+    placed = checkpointed(placed)
+    smallest = checkpointed(placed.groupBy("component").agg(F.min("least").alias("near_id")))
+    by_print = placed.join(smallest, "component").select("print", "near_id")
+    return prints.join(by_print, "print").select("doc_id", "near_id")
+
+
 def _binary(hexed):
     """A hexadecimal string as a string of binary digits."""
     return F.array_join(F.transform(F.filter(F.split(hexed, ""), lambda c: c != ""), lambda c: F.lpad(F.conv(c, 16, 2), 4, "0")), "")
 
 
+def near_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Banding and verification over all documents: each document's group of near ones."""
+    return near_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op1_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(read_table(spark, sf_dir, "documents"))

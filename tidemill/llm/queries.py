@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.llm.bpe_count import op10_bpe_token_counts
 from tidemill.llm.decontaminate import OP3_SQL, op3_decontamination
-from tidemill.llm.edit_embedding import op1_edit_embedding
+from tidemill.llm.edit_embedding import near_fingerprints, op1_edit_embedding
 from tidemill.llm.licenses import op6_licenses
 from tidemill.llm.ngram_join import OP9_SQL, op9_ngram_join
 from tidemill.llm.packing import op7_packing
@@ -19,7 +19,7 @@ from tidemill.llm.toxicity import op5_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_edit_embedding, op2_secrets, op3_decontamination, op4_substring_dedup, op5_toxicity, op6_licenses, op7_packing, op8_quality, op9_ngram_join, op10_bpe_token_counts)}
+    return {f.__name__: f for f in (op1_edit_embedding, op2_secrets, op3_decontamination, op4_substring_dedup, op5_toxicity, op6_licenses, op7_packing, op8_quality, op9_ngram_join, op10_bpe_token_counts, near_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
