@@ -160,3 +160,58 @@ def licences(text, rules, reach, mark):
 
     top = max(r[4] for r in rules)
     return w, [f for f in found if f[3] == top or not held(f)]
+
+
+M = (1 << 64) - 1
+
+
+def mix(h):
+    h ^= h >> 30
+    h = h * 0xBF58476D1CE4E5B9 & M
+    h ^= h >> 27
+    h = h * 0x94D049BB133111EB & M
+    return h ^ h >> 31
+
+
+def word_hash(word):
+    total = sum(mix((b + 1) * 0x9E3779B97F4A7C15 & M) * pow(0x2545F4914F6CDD1D, k, 1 << 64) for k, b in enumerate(word.encode()))
+    return mix((total + len(word.encode())) & M)
+
+
+def pair_hash(a, b):
+    out = 2
+    for h in (a, b):
+        out = (out * 0x9E3779B97F4A7C15 + h) & M
+        out ^= out >> 29
+    return mix(out)
+
+
+def logistic(x):
+    return 1 / (1 + math.exp(-x))
+
+
+def quality_score(model, text, scale):
+    """The logistic of the sparse dot product, a word and a pair of words at a time."""
+    found = [word_hash(m[0]) for m in re.finditer(r"[0-9A-Za-z\x80-\U0010FFFF]+|[!-/:-@\[-`{-~]+", text)]
+    pairs = [1 if a == b else pair_hash(a, b) for a, b in zip(found, found[1:])]
+    total = model.intercept
+    for w, hashes in zip(model.weights, (found, pairs)):
+        if hashes:
+            total += scale * sum(float(w[h >> 64 - model.bits]) for h in hashes) / len(hashes)
+    return logistic(total)
+
+
+def toxicity_score(model, text):
+    """The same over n-grams of code points."""
+    values = [mix(ord(c) + 1) for c in text.translate(LOWER)]
+    total = model.intercept
+    for w, n in zip(model.weights, model.orders):
+        grams = []
+        for k in range(len(values) - n + 1):
+            h = 0
+            for v in values[k : k + n]:
+                h = (h * 0x9E3779B97F4A7C15 + v) & M
+            grams.append((h ^ h >> 31) * 0xD6E8FEB86659FD93 & M)
+        if grams:
+            total += sum(float(w[h >> 64 - model.bits]) for h in grams) / len(grams)
+    return logistic(total)

@@ -204,11 +204,12 @@ def cut(rows):
     return sorted(out)
 
 
-@pytest.mark.parametrize("crowded", [5000, 1])
-def test_substring_dedup(spark, docs, none, texts, monkeypatch, crowded):
+@pytest.mark.parametrize(("crowded", "in_pack"), [(5000, 128), (1, 128), (5000, 1), (3, 3)])
+def test_substring_dedup(spark, docs, none, texts, monkeypatch, crowded, in_pack):
     from samples import prose
 
     monkeypatch.setattr(substring_dedup, "CROWDED", crowded)
+    monkeypatch.setattr(substring_dedup, "CROWDED_IN_PACK", in_pack)
     monkeypatch.setattr(substring_dedup, "FLUSH", 400)
     passage, rep = prose(77, 40), "abcdefg " * 60
     more = [(500 + i, prose(200 + i, i % 9) + passage[i % 7 :] + prose(300 + i, 10)) for i in range(25)] + [(600, rep), (601, rep[3:] + "q"), (602, "é" * 40), (603, "é" * 25 + "z"), (604, "x" * 49), (605, "zz" + "é" * 30)]
@@ -257,7 +258,7 @@ def brute_groups(texts, least=0.75):
 def test_near_documents_of_the_tables(spark, monkeypatch, bucket):
     """Of all near pairs, found by comparing all fingerprints, at least nine in ten are in one group; and groups hold near ones only."""
     monkeypatch.setattr(edit_embedding, "BUCKET", bucket)
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where(f"doc_id < {4000 if bucket > 8 else 1500}")
     got = {r["doc_id"]: r["near_id"] for r in edit_embedding.near_documents(docs).collect()}
     texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
     assert got.keys() == texts.keys() and all(n <= i and got[n] == n for i, n in got.items())
@@ -267,7 +268,7 @@ def test_near_documents_of_the_tables(spark, monkeypatch, bucket):
         assert of.setdefault(p, got[i]) == got[i]  # equal fingerprints are in one group
     pairs = brute_groups(texts.values())
     met = sum(of[a] == of[b] for a, b in pairs)
-    assert len(pairs) > 20 and met >= 0.9 * len(pairs)
+    assert len(pairs) >= 10 and met >= 0.9 * len(pairs)
     allowed = {p: p for p in of}
 
     def root(p):
@@ -352,18 +353,41 @@ def test_near_pairs_in_full_buckets(spark, monkeypatch, cell):
 
 @pytest.mark.parametrize(("module", "label", "folds", "held", "fit"), [(toxicity, "toxic", 5, 0, "toxicity"), (quality, "quality", 4, 2, "quality")])
 def test_classifiers(spark, none, unnamed, module, label, folds, held, fit):
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id < 6000")
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id < 4000")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     score = getattr(module, fit)
     got = {r["doc_id"]: r for r in score(docs, labels).collect()}
     assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % folds == held) for i, r in got.items())
     known = [(got[r["doc_id"]]["predicted"], r[label]) for r in labels.collect() if r["doc_id"] in got and got[r["doc_id"]]["held_out"]]
-    assert len(known) > 300 and np.mean([p == y for p, y in known]) > 0.95
+    assert len(known) > 200 and np.mean([p == y for p, y in known]) > 0.95
     blank = score(unnamed.select("doc_id", "text"), labels.limit(0)).collect()
     assert len(blank) == 2 and {r["score"] for r in blank} == {0.5}
     assert score(none, labels).count() == 0
 
 
+@pytest.mark.parametrize(("module", "label", "folds", "held", "plainly"), [(toxicity, "toxic", 5, 0, lambda m, t: plain.toxicity_score(m, t)), (quality, "quality", 4, 2, lambda m, t: plain.quality_score(m, t, quality.SCALE))])
+def test_scores_of_odd_texts(spark, docs, unnamed, module, label, folds, held, plainly):
+    """Each score against plain Python: null, empty, blank, short and very long texts, repeated rows, rows without an id."""
+    from tidemill.llm import labelled
+
+    train = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    twice = labels.unionByName(labels.limit(5)).unionByName(labels.limit(3).withColumn(label, 1 - labels[label]))  # repeated and contradicting labels
+    sample = labelled.training_sample(train.unionByName(train.limit(20)), twice, label, folds, held, 50)
+    rows = sample.collect()
+    assert len(rows) == len({(r["doc_id"], r["label"]) for r in rows}) <= 100 and all(zlib.crc32(str(r["doc_id"]).encode()) % folds != held for r in rows)
+    model = module.fit(*labelled.collected(sample))
+    again = module.fit(*labelled.collected(sample.repartition(5)))
+    assert (model.weights == again.weights).all() and model.intercept == again.intercept  # whatever the partitioning
+    odd = ["", " ", "a", "ab", "abc", "é", "日本語の文章", "word " * 40_000, "no " * 3, "a\u0085b \x00c", "A-B--C"]
+    more = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(700 + k, t) for k, t in enumerate(odd)], "doc_id long, text string")).unionByName(unnamed.select("doc_id", "text"))
+    got = labelled.scored(more, model, folds, held, 0.5).collect()
+    texts = Counter((r["doc_id"], r["text"] or "") for r in more.collect() if len(r["text"] or "") < 30_000 or r["doc_id"] == 707)
+    want = sorted((i is None, i or 0, round(plainly(model, t), 6)) for (i, t), n in texts.items() for _ in range(n))
+    scores = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["score"]) for r in got)
+    assert len(scores) == len(want) and all(a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-5 for a, b in zip(scores, want, strict=True))
+
+
 def test_scores_do_not_depend_on_held_out_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
