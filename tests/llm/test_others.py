@@ -210,6 +210,7 @@ def test_substring_dedup(spark, docs, none, texts, monkeypatch, crowded, in_pack
 
     monkeypatch.setattr(substring_dedup, "CROWDED", crowded)
     monkeypatch.setattr(substring_dedup, "CROWDED_IN_PACK", in_pack)
+    monkeypatch.setattr(substring_dedup, "CHUNK", 1000 if in_pack == 3 else 1 << 24)
     monkeypatch.setattr(substring_dedup, "FLUSH", 400)
     passage, rep = prose(77, 40), "abcdefg " * 60
     more = [(500 + i, prose(200 + i, i % 9) + passage[i % 7 :] + prose(300 + i, 10)) for i in range(25)] + [(600, rep), (601, rep[3:] + "q"), (602, "é" * 40), (603, "é" * 25 + "z"), (604, "x" * 49), (605, "zz" + "é" * 30)]
@@ -395,3 +396,34 @@ def test_scores_do_not_depend_on_held_out_labels(spark):
 
     other = labels.withColumn("quality", F.when(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, 1 - F.col("quality")).otherwise(F.col("quality")))
     assert sorted(map(tuple, quality.quality(docs, labels).collect())) == sorted(map(tuple, quality.quality(docs, other).collect()))
+
+
+def test_very_long_texts(spark):
+    """All operators on texts of more than a megabyte, beside short ones."""
+    from samples import prose
+
+    from tidemill.llm import decontaminate, licenses, secrets
+
+    long = prose(11, 220_000)
+    texts = {1: long, 2: long + " token=abcdef99 under the MIT license", 3: "short and other words of five", 4: long[: len(long) // 2] + " ÿ " * 50_000}
+    docs = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, long[500_000:500_400])], "item_id long, text string")
+    assert len(long) > 1_000_000
+    found = {r["doc_id"]: r for r in secrets.secrets(docs).collect()}
+    assert found[2]["spans"] == plain.told(plain.spans(texts[2])) and found[1]["n_assign"] == 0
+    assert {r["doc_id"]: r["n_base"] for r in licenses.licenses(docs).collect()} == {1: 0, 2: 1, 3: 0, 4: 0}
+    hit = {r["doc_id"]: r["n_hit"] for r in decontaminate.contamination(docs, bench).collect()}
+    assert hit == {i: len(plain.contaminated(t, [(1, long[500_000:500_400])])[1]) for i, t in texts.items()} and hit[1] > 50
+    assert {r["doc_id"]: r["component_id"] for r in ngram_join.near_duplicates(docs).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    kept = {r["doc_id"]: (r["n_bytes"], r["n_removed"]) for r in substring_dedup.repeats(docs).collect()}
+    half = long[: len(long) // 2].encode()
+    assert kept[1] == (len(long.encode()), 0) and kept[3][1] == 0
+    assert kept[2][1] == len(long.encode()) and kept[4][1] == len(half)
+    prints = {r["doc_id"]: r for r in edit_embedding.fingerprints(docs).collect()}
+    assert all(prints[i]["n_chars"] == len(t) and prints[i]["fingerprint"] == edit_embedding.fingerprint(t) for i, t in texts.items()) and prints[1]["near_next"] > 0.9
+    tokens = {r["doc_id"]: r["n_tokens"] for r in bpe_count.token_counts(docs, MODEL).collect()}
+    pieces = packing.packed(docs, RANKS).collect()
+    ids = Counter()
+    for r in pieces:
+        ids[r["doc_id"]] += r["length"]
+    assert ids == {r["doc_id"]: r["doc_tokens"] for r in pieces} and tokens[2] > tokens[1] > 220_000

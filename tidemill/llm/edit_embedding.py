@@ -69,14 +69,14 @@ def _walk(points: np.ndarray, step: int) -> np.ndarray:
     """The step, modulo the period, at which the pointer comes to each character, and the one at which it leaves the last."""
     kinds = ((points * np.uint32(2654435761)) >> np.uint32(26)).astype(np.uint8).tobytes()
     nodes = _shared()[0]
-    return np.fromiter(map(itemgetter(KINDS), accumulate(kinds, getitem, initial=nodes[step])), np.int64, len(kinds) + 1)
+    return np.fromiter(map(itemgetter(KINDS), accumulate(kinds, getitem, initial=nodes[step])), np.uint16, len(kinds) + 1)
 
 
 def _stays(steps: np.ndarray) -> np.ndarray:
     """How long the pointer stays at each character."""
-    stay = np.diff(steps) % STEPS
+    stay = np.diff(steps) % STEPS  # 16 bits; the period divides what they wrap at
     stay[stay == 0] = STEPS
-    return stay
+    return stay.astype(np.int32)
 
 
 def _bits(points: np.ndarray, leaves: np.ndarray) -> np.ndarray:
