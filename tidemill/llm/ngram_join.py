@@ -36,10 +36,10 @@ SHINGLE, LEAST_PERCENT = 5, 75
 #: The global order is cut into fragments where a shingle has this many classes.
 CUTS = (3, 6, 40)
 #: Shingles packed together before they are dealt to buckets, and documents on a side of a cell of comparisons.
-FLUSH, CELL = 2_000_000, 256
+FLUSH, CELL = 1_000_000, 256
 #: A shingle that so many classes of one pack have is frequent: its entries don't meet in the bucket of its hash, which would grow
 #: with the corpus. All frequent shingles are the last in the global order, so that nobody need know how frequent they are.
-FREQUENT_IN_PACK, FREQUENT_LEVEL = 256, 60_000
+FREQUENT_IN_PACK, FREQUENT_LEVEL = 128, 60_000
 #: Rows that go are broadcast up to this number of ids and hashes.
 BROADCAST_ROWS = 1_000_000
 
@@ -224,14 +224,17 @@ def _linked(queries: DataFrame, members: DataFrame, possible: DataFrame, percent
     # Written out, as Spark splits a skewed join only where both sides come right from a shuffle.
     sizes = checkpointed(sizes.select("g", F.ceil(F.col("q") / CELL).cast("int").alias("q"), F.ceil(F.col("m") / CELL).cast("int").alias("m")))
 
+    # Cells are numbered from a random start for each group, so that those of a large group go to all tasks in turn.
+    number = F.pmod(F.xxhash64("g"), F.lit(buckets)).cast("int") + F.pmod(F.col("q_part").cast("long") * F.col("m") + F.col("m_part"), F.lit(buckets)).cast("int")
+
     def cells(side: DataFrame, own: str, other: str) -> DataFrame:
         rows = side.join(sizes, "g").withColumn(f"{own}_part", F.pmod(F.xxhash64("cid"), F.col(own)).cast("int"))
-        return rows.withColumn(f"{other}_part", F.explode(F.sequence(F.lit(0), F.col(other) - 1))).select("g", "q_part", "m_part", F.lit(own).alias("side"), "cid")
+        return rows.withColumn(f"{other}_part", F.explode(F.sequence(F.lit(0), F.col(other) - 1))).select("g", "q_part", "m_part", number.alias("cell"), F.lit(own).alias("side"), "cid")
 
     both = cells(queries, "q", "m").unionByName(cells(members, "m", "q")).join(possible.select("cid", "n", "shingles", "cuts"), "cid")
     ends = F.concat(F.array(F.lit(0)), "cuts", F.array(F.size("shingles")))
     fragments = F.transform(F.sequence(F.lit(0), F.lit(len(CUTS))), lambda k: F.struct(k.alias("fragment"), F.slice("shingles", F.get(ends, k) + 1, F.get(ends, k + 1) - F.get(ends, k)).alias("part")))
-    cell = ["g", "q_part", "m_part"]
+    cell = ["g", "q_part", "m_part", "cell"]
     cut = both.select(*cell, "side", "cid", "n", F.explode(fragments).alias("f")).select(*cell, "side", "cid", "n", "f.fragment", "f.part")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,7 +250,7 @@ def _linked(queries: DataFrame, members: DataFrame, possible: DataFrame, percent
                 if met:
                     table[i] = np.bincount(np.concatenate(met), minlength=len(m))
             ids = [np.array([r[c] for r in side], np.int64).tobytes() for side in (q, m) for c in ("cid", "n")]
-            yield pa.RecordBatch.from_pylist([dict(zip([*cell, "q_ids", "q_n", "m_ids", "m_n", "overlaps"], [*key[:3], *ids, squeeze(table)], strict=True))], schema)
+            yield pa.RecordBatch.from_pylist([dict(zip([*cell, "q_ids", "q_n", "m_ids", "m_n", "overlaps"], [*key[:4], *ids, squeeze(table)], strict=True))], schema)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in groups(batches, cell):
@@ -256,9 +259,10 @@ def _linked(queries: DataFrame, members: DataFrame, possible: DataFrame, percent
             i, j = np.nonzero((100 * both >= percent * (qn[:, None] + mn[None, :] - both)) & (q[:, None] != m[None, :]))
             yield pa.RecordBatch.from_arrays([pa.array(q[i]), pa.array(m[j])], ["a", "b"])
 
-    schema = pa.schema([("g", pa.int64()), ("q_part", pa.int32()), ("m_part", pa.int32()), *((c, pa.binary()) for c in ("q_ids", "q_n", "m_ids", "m_n", "overlaps"))])
-    counted = cut.repartition(buckets, *cell, "fragment").sortWithinPartitions(*cell, "fragment").mapInArrow(count, "g long, q_part int, m_part int, q_ids binary, q_n binary, m_ids binary, m_n binary, overlaps binary")
-    return counted.repartition(buckets, *cell).sortWithinPartitions(*cell).mapInArrow(add, "a long, b long")
+    schema = pa.schema([("g", pa.int64()), ("q_part", pa.int32()), ("m_part", pa.int32()), ("cell", pa.int32()), *((c, pa.binary()) for c in ("q_ids", "q_n", "m_ids", "m_n", "overlaps"))])
+    spread = F.col("cell") + F.col("fragment") * F.lit(max(1, buckets // (len(CUTS) + 1)))
+    counted = cut.repartitionById(buckets, spread).sortWithinPartitions(*cell, "fragment").mapInArrow(count, "g long, q_part int, m_part int, cell int, q_ids binary, q_n binary, m_ids binary, m_n binary, overlaps binary")
+    return counted.repartitionById(buckets, "cell").sortWithinPartitions(*cell).mapInArrow(add, "a long, b long")
 
 
 def class_components(shared: DataFrame, percent: int, buckets: int) -> DataFrame:

@@ -14,7 +14,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -117,10 +116,10 @@ def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
         return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(column):
-        parts = [shared.value(raw, offsets) for _, raw, offsets in blocks(pa.array(column, pa.large_string(), from_pandas=True))]
-        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+    @F.arrow_udf("double")
+    def score(column: pa.Array) -> pa.Array:
+        parts = [shared.value(raw, offsets) for _, raw, offsets in blocks(column)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
 
     return docs.where(score("text") >= THRESHOLD)
 

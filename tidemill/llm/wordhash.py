@@ -40,15 +40,16 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def blocks(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """The texts of a column in runs of about ``most`` bytes: first row, bytes, offsets (one more than texts).
-    A text longer than that is a run of its own; nulls count as empty."""
+    """The texts of a column in runs of about ``most`` bytes: first row, bytes, offsets (one more than texts). Bytes are views of the
+    column's own. A text longer than that is a run of its own; nulls count as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
+    if column.null_count or not (pa.types.is_string(column.type) or pa.types.is_large_string(column.type)):
+        column = column.cast(pa.large_string()).fill_null("")
     if not len(column):
         return
     _, offsets, data = column.buffers()
-    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    at = np.frombuffer(offsets, np.int32 if pa.types.is_string(column.type) else np.int64)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < len(column):
