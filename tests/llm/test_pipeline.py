@@ -138,6 +138,13 @@ def test_repeated_ids_lose_no_text(spark):
         assert len(got) == len(stay) + len(choice) and all(len(c & set(got)) == 1 for c in choice)
 
 
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_gives_the_rows_of_its_sql(spark, name):
+    from oracle import compare
+
+    compare(spark, queries.queries()[name], queries.oracle_sql()[name], SF)
+
+
 def test_registered():
     assert sorted(queries.queries()) == sorted(["op1_edit_embedding", "op2_secrets", "op3_decontamination", "op4_substring_dedup", "op5_toxicity", "op6_licenses", "op7_packing", "op8_quality", "op9_ngram_join", "op10_bpe_token_counts", "near_fingerprints"])
     assert corpus_pipeline.ORACLE_SQL is None

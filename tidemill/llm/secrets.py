@@ -210,3 +210,34 @@ def redacted(docs: DataFrame, marker: str = "[SECRET]") -> DataFrame:
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets(read_table(spark, sf_dir, "documents"))
+
+
+OP2_SQL = r"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents),
+found AS (
+  SELECT r, 'assign' AS kind, 0 AS rank, regexp_extract_all(text, '{assign}') AS m, regexp_extract_all(text, '{assign}', 2) AS v, string_split_regex(text, '{assign}') AS gaps FROM docs UNION ALL
+  SELECT r, 'access', 1, regexp_extract_all(text, 'AKIA[A-Z0-9]+'), NULL, string_split_regex(text, 'AKIA[A-Z0-9]+') FROM docs UNION ALL
+  SELECT r, 'hex', 2, regexp_extract_all(text, '[0-9a-f]+'), NULL, string_split_regex(text, '[0-9a-f]+') FROM docs UNION ALL
+  SELECT r, 'entropy', 3, regexp_extract_all(text, '[A-Za-z0-9+/_-]{{20,}}={{0,2}}'), NULL, string_split_regex(text, '[A-Za-z0-9+/_-]{{20,}}={{0,2}}') FROM docs),
+each_one AS (SELECT r, kind, rank, unnest(m) AS m, unnest(CASE WHEN v IS NULL THEN m ELSE v END) AS v, unnest(gaps[1:len(m)]) AS gap, unnest(range(len(m))) AS k FROM found WHERE len(m) > 0),
+placed AS (SELECT *, CAST(sum(length(gap) + length(m)) OVER (PARTITION BY r, rank ORDER BY k) AS BIGINT) AS stop FROM each_one),
+spans AS (SELECT r, kind, rank, m, v, stop - length(m) AS start, stop FROM placed),
+base AS (SELECT r, kind, rank, start, stop FROM spans WHERE (rank = 0 AND length(v) >= 6) OR (rank = 1 AND length(m) >= 20) OR (rank = 2 AND length(m) >= 24)),
+met AS (
+  SELECT c.r, c.start AS c_start, c.stop AS c_stop, c.m, b.start, b.stop, greatest(c.start, coalesce(max(b.stop) OVER (PARTITION BY c.r, c.start ORDER BY b.start, b.rank, b.stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS at_
+  FROM spans c JOIN base b ON b.r = c.r AND b.start < c.stop AND c.start < b.stop WHERE c.rank = 3),
+pieces AS (
+  SELECT r, start, stop, m AS said FROM spans c WHERE rank = 3 AND NOT EXISTS (SELECT 1 FROM met WHERE met.r = c.r AND met.c_start = c.start) UNION ALL
+  SELECT r, at_, start, substr(m, CAST(at_ - c_start + 1 AS BIGINT), start - at_) FROM met WHERE start - at_ >= 20 UNION ALL
+  SELECT r, greatest(c_start, max(stop)), c_stop, substr(m, CAST(greatest(c_start, max(stop)) - c_start + 1 AS BIGINT), c_stop - greatest(c_start, max(stop))) FROM met GROUP BY r, c_start, c_stop, m HAVING c_stop - greatest(c_start, max(stop)) >= 20),
+judged AS (SELECT DISTINCT said FROM pieces WHERE regexp_matches(said, '[0-9]')
+  AND NOT regexp_full_match(said, '[0-9a-fA-F]{{8}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{12}}') AND NOT regexp_full_match(said, '[0-9/_+-]+') AND NOT regexp_full_match(said, '[a-z]+([/_-][a-z]+)+([/_-]?[0-9]{{1,4}})?')),
+parts AS (SELECT said, rtrim(unnest(string_split_regex(said, '{placeholder}')), '=') AS core FROM judged),
+windows AS (SELECT said, core, unnest(range(1, length(core) - 18)) AS i FROM (SELECT DISTINCT said, core FROM parts WHERE length(core) >= 20 AND regexp_matches(core, '[0-9]') AND regexp_matches(core, '[A-Za-z]'))),
+secret AS (SELECT DISTINCT said FROM windows WHERE list_aggregate(string_split(substr(core, i, 20), ''), 'entropy') >= CASE WHEN regexp_full_match(core, '[0-9a-f]+|[0-9A-F]+') THEN 3.1 ELSE 3.85 END),
+told AS (SELECT r, kind, rank, start, stop FROM base UNION ALL SELECT r, 'entropy', 3, start, stop FROM pieces WHERE said IN (SELECT said FROM secret)),
+by_doc AS (SELECT r, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
+  string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop) FILTER (rank < 3) AS base_spans, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop) AS spans FROM told GROUP BY r)
+SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access, CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN by_doc ON by_doc.r = docs.r
+""".format(assign=r"""(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", placeholder="(?i)example|sample|dummy|placeholder|changeme|xxxx|0000000|your[_-]|abcdefgh|01234567|12345678|qwertyui")
