@@ -176,3 +176,23 @@ def licenses(docs: DataFrame) -> DataFrame:
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses(read_table(spark, sf_dir, "documents"))
+
+
+def op6_sql() -> str:
+    """The query in DuckDB's SQL, with the same rules as a table of values."""
+    values = ",\n".join(f"('{k}', '{plain}', '{rule}', '{label}', {priority}, {confidence})" for k, plain, rule, label, priority, confidence in rules())
+    return rf"""
+WITH rules(keyword, plain, rule, label, priority, confidence) AS (VALUES {values}),
+docs AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents),
+places AS (SELECT r, i, w[i] AS keyword, w FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM docs) WHERE w[i] IN (SELECT keyword FROM rules)),
+near AS (SELECT r, i, keyword, CASE WHEN i > 1 THEN ' ' || array_to_string(w[greatest(1, i - {REACH}):i - 1], ' ') ELSE '' END || ' ' || chr(1) || array_to_string(w[i:i + {REACH - 1}], ' ') || ' ' AS said FROM places),
+met AS (SELECT r, i, label, priority, confidence, rtrim(regexp_extract(said, ' ' || rule || ' '), ' ') AS m FROM near JOIN rules ON rules.keyword = near.keyword AND contains(said, plain)),
+found AS (SELECT DISTINCT r, label, priority, CAST(confidence AS DOUBLE) AS confidence, i - 1 - (len(string_split(string_split(m, chr(1))[1], ' ')) - 2) AS start, len(string_split(substr(m, 2), ' ')) AS n FROM met WHERE m <> ''),
+kept AS (SELECT * FROM found f WHERE priority = 1000 OR NOT EXISTS (SELECT 1 FROM found g WHERE g.r = f.r AND g.start <= f.start AND f.start + f.n <= g.start + g.n
+  AND (g.priority > f.priority OR g.priority = f.priority AND (g.n > f.n OR g.n = f.n AND g.label < f.label)))),
+told AS (SELECT r, count(*) FILTER (priority = 1000) AS n_base, min(start) FILTER (priority = 1000) AS first_word, max(start) FILTER (priority = 1000) AS last_word,
+  string_agg(DISTINCT label, ',' ORDER BY label) FILTER (priority = 1000) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(confidence) AS score FROM kept GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM docs LEFT JOIN told ON told.r = docs.r
+"""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemill.llm.bpe_count import op10_bpe_token_counts
 from tidemill.llm.decontaminate import OP3_SQL, op3_decontamination
 from tidemill.llm.edit_embedding import near_fingerprints, op1_edit_embedding
-from tidemill.llm.licenses import op6_licenses
+from tidemill.llm.licenses import op6_licenses, op6_sql
 from tidemill.llm.ngram_join import OP9_SQL, op9_ngram_join
 from tidemill.llm.packing import op7_packing
 from tidemill.llm.quality import op8_quality
@@ -23,4 +23,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_secrets": OP2_SQL, "op3_decontamination": OP3_SQL, "op9_ngram_join": OP9_SQL}
+    return {"op2_secrets": OP2_SQL, "op3_decontamination": OP3_SQL, "op6_licenses": op6_sql(), "op9_ngram_join": OP9_SQL}
