@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,3 +49,16 @@ def groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[tuple
                 first = i
     if parts:
         yield key, [row for part in parts for row in part.to_pylist()]
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` over a partition's batches. At its end freed memory goes back to the system, as idle workers keep what they have."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return tidied

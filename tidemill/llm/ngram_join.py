@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.blobs import groups, pack_sorted, squeeze, unpack_sorted, unsqueeze
+from tidemill.llm.blobs import groups, pack_sorted, squeeze, tidy, unpack_sorted, unsqueeze
 from tidemill.llm.graph import components
 from tidemill.llm.tables import checkpointed, free_name, partitions, read_table, texts
 from tidemill.llm.wordhash import LOWER, blocks, joined, mix, word_hashes, words
@@ -36,10 +36,10 @@ SHINGLE, LEAST_PERCENT = 5, 75
 #: The global order is cut into fragments where a shingle has this many classes.
 CUTS = (3, 6, 40)
 #: Shingles packed together before they are dealt to buckets, and documents on a side of a cell of comparisons.
-FLUSH, CELL = 1_000_000, 256
+FLUSH, CELL = 500_000, 256
 #: A shingle that so many classes of one pack have is frequent: its entries don't meet in the bucket of its hash, which would grow
 #: with the corpus. All frequent shingles are the last in the global order, so that nobody need know how frequent they are.
-FREQUENT_IN_PACK, FREQUENT_LEVEL = 128, 60_000
+FREQUENT_IN_PACK, FREQUENT_LEVEL = 64, 60_000
 #: Rows that go are broadcast up to this number of ids and hashes.
 BROADCAST_ROWS = 1_000_000
 
@@ -136,7 +136,7 @@ def _dealt(docs: DataFrame, buckets: int) -> DataFrame:
         if sets:
             yield flush(sets)
 
-    return texts(docs).withColumn("mark", _mark(F.col("text"))).mapInArrow(run, _FIRST)
+    return texts(docs).withColumn("mark", _mark(F.col("text"))).mapInArrow(tidy(run), _FIRST)
 
 
 def _shared(dealt: DataFrame, buckets: int) -> DataFrame:
@@ -184,7 +184,7 @@ def _shared(dealt: DataFrame, buckets: int) -> DataFrame:
             yield _rows(count(rows))
         yield from passed
 
-    return dealt.repartitionById(buckets, "bucket").sortWithinPartitions(F.desc("kind"), "bucket").mapInArrow(run, _FIRST)
+    return dealt.repartitionById(buckets, "bucket").sortWithinPartitions(F.desc("kind"), "bucket").mapInArrow(tidy(run), _FIRST)
 
 
 def _possible(shared: DataFrame, buckets: int, percent: int) -> DataFrame:
@@ -212,7 +212,7 @@ def _possible(shared: DataFrame, buckets: int, percent: int) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32()))], names)
 
-    return shared.repartitionById(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "cid long, n long, shingles array<long>, cuts array<int>, first int")
+    return shared.repartitionById(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(run), "cid long, n long, shingles array<long>, cuts array<int>, first int")
 
 
 def _linked(queries: DataFrame, members: DataFrame, possible: DataFrame, percent: int, buckets: int) -> DataFrame:
@@ -261,8 +261,8 @@ def _linked(queries: DataFrame, members: DataFrame, possible: DataFrame, percent
 
     schema = pa.schema([("g", pa.int64()), ("q_part", pa.int32()), ("m_part", pa.int32()), ("cell", pa.int32()), *((c, pa.binary()) for c in ("q_ids", "q_n", "m_ids", "m_n", "overlaps"))])
     spread = F.col("cell") + F.col("fragment") * F.lit(max(1, buckets // (len(CUTS) + 1)))
-    counted = cut.repartitionById(buckets, spread).sortWithinPartitions(*cell, "fragment").mapInArrow(count, "g long, q_part int, m_part int, cell int, q_ids binary, q_n binary, m_ids binary, m_n binary, overlaps binary")
-    return counted.repartitionById(buckets, "cell").sortWithinPartitions(*cell).mapInArrow(add, "a long, b long")
+    counted = cut.repartitionById(buckets, spread).sortWithinPartitions(*cell, "fragment").mapInArrow(tidy(count), "g long, q_part int, m_part int, cell int, q_ids binary, q_n binary, m_ids binary, m_n binary, overlaps binary")
+    return counted.repartitionById(buckets, "cell").sortWithinPartitions(*cell).mapInArrow(tidy(add), "a long, b long")
 
 
 def class_components(shared: DataFrame, percent: int, buckets: int) -> DataFrame:

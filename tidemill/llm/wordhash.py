@@ -39,7 +39,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def blocks(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def blocks(column: pa.Array, most: int = 1 << 18) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """The texts of a column in runs of about ``most`` bytes: first row, bytes, offsets (one more than texts). Bytes are views of the
     column's own. A text longer than that is a run of its own; nulls count as empty."""
     if isinstance(column, pa.ChunkedArray):
