@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from tidemill.llm.tables import checkpointed, read_table, texts
 
 WINDOW, END = 2048, 1
-#: Pieces of one length are ranked in parts of about so many rows, so that a length that many documents share (a full window is
-#: one) is no single task, whatever the corpus.
-ROWS_A_PART = 100_000
+#: Pieces of one length are ranked in parts, so that a length that many documents share (a full window is one) is no single
+#: task: about so many parts in all, or fewer where they would have less than so many rows.
+PARTS, LEAST_ROWS = 20_000, 500
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LONG_RUN = re.compile(r"\s{100000}")
 
@@ -149,12 +149,12 @@ def best_fit_plan(histogram: dict[int, int], window: int) -> list[tuple[int, int
     return plan
 
 
-def pack(cut: DataFrame, window: int = WINDOW, rows_a_part: int = ROWS_A_PART) -> DataFrame:
+def pack(cut: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``cut`` (see ``pieces``) with ``sequence_id`` and ``offset``. ``cut`` is read three times, so give it checkpointed.
 
-    Only counts reach the driver: one for each length, then one for each part of a length, a row for every ``rows_a_part``
-    pieces and ``window`` more at most."""
+    Only counts reach the driver: one for each length, then one for each part of a length, at most ``PARTS + window`` numbers."""
     many = {row["length"]: row["count"] for row in cut.groupBy("length").count().collect()}
+    rows_a_part = max(LEAST_ROWS, sum(many.values()) // PARTS)
     parts = F.split(F.lit(",".join(str(-(-many.get(n, 1) // rows_a_part)) for n in range(window + 1))), ",").cast("array<int>")
     dealt = cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.get(parts, F.col("length").cast("int"))).cast("int"))
     counts = np.array(sorted(tuple(row) for row in dealt.groupBy("length", "part").count().collect()), np.int64).reshape(-1, 3)
