@@ -14,7 +14,7 @@ from tidemill.llm.ngram_join import OP9_SQL, op9_ngram_join
 from tidemill.llm.packing import op7_packing
 from tidemill.llm.quality import op8_quality
 from tidemill.llm.secrets import OP2_SQL, op2_secrets
-from tidemill.llm.substring_dedup import op4_substring_dedup
+from tidemill.llm.substring_dedup import OP4_SQL, op4_substring_dedup
 from tidemill.llm.toxicity import op5_toxicity
 
 
@@ -23,4 +23,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_secrets": OP2_SQL, "op3_decontamination": OP3_SQL, "op6_licenses": op6_sql(), "op9_ngram_join": OP9_SQL}
+    return {"op2_secrets": OP2_SQL, "op3_decontamination": OP3_SQL, "op4_substring_dedup": OP4_SQL, "op6_licenses": op6_sql(), "op9_ngram_join": OP9_SQL}
