@@ -1,32 +1,17 @@
-"""Reading the document tables, and where checkpoints go."""
+"""Reading the document tables, and columns of them; checkpoints go where the library's own do."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.sources.checkpoints import checkpointed
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read from there, so that its lineage ends.
-
-    The folder is the session's ``spark.checkpoint.dir``. Only on a local master, as in tests, is a temporary one made where
-    none is set: executors elsewhere could not read it, so there it is an error. Spark removes the files of a checkpoint that
-    nothing refers to any more where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not configured and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint(eager=True)
-
-
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """``doc_id``, ``text`` (null: empty) and the columns ``more`` alone, whatever else ``docs`` has. How many rows Python gets at
     once is Spark's affair: it closes a batch at ``spark.sql.execution.arrow.maxBytesPerBatch``, 64 MB by default."""
@@ -49,3 +34,6 @@ def columns_of(df: DataFrame) -> list[Column]:
 def partitions(spark: SparkSession) -> int:
     """How many partitions a shuffle of this session has; buckets made here follow it."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+__all__ = ["checkpointed", "columns_of", "free_name", "partitions", "read_table", "texts"]
