@@ -14,7 +14,7 @@ from tidemill.sources.checkpoints import checkpointed
 _LOW = 33
 
 
-def _in_ranges(df: DataFrame, order: list[Column], parts: int | None) -> DataFrame:
+def in_ranges(df: DataFrame, order: list[Column], parts: int | None) -> DataFrame:
     """``df`` with ``_range`` and ``_at``, the place in the range from 0. Written once: the ranges stay the same, whatever is lost."""
     ties = F.xxhash64(*(F.col(f"`{f.name}`") for f in df.schema if f.dataType.typeName() not in ("map", "variant")), F.monotonically_increasing_id())
     keyed = df.withColumn("_tie", ties)
@@ -33,13 +33,13 @@ def _before(held: DataFrame, amount: Column) -> DataFrame:
 
 def numbered(df: DataFrame, order: list[Column], name: str = "place", parts: int | None = None) -> DataFrame:
     """``df`` with each row's number in the order, from 1. Equal keys are numbered in some order of their own."""
-    held = _in_ranges(df, order, parts)
+    held = in_ranges(df, order, parts)
     return held.join(F.broadcast(_before(held, F.count(F.lit(1)))), "_range").select(*df.columns, (F.col("_before") + F.col("_at") + 1).alias(name))
 
 
 def running_total(df: DataFrame, order_by: str, value: str, name: str, parts: int | None = None) -> DataFrame:
     """``df`` with the sum of the whole-number column ``value`` up to and with each row; nulls add nothing."""
-    held = _in_ranges(df, [F.col(order_by)], parts)
+    held = in_ranges(df, [F.col(order_by)], parts)
     here = F.coalesce(F.sum(value).over(Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.lit(0))
     both = held.withColumn("_here", here).join(F.broadcast(_before(held, F.sum(value))), "_range")
     return both.select(*df.columns, (F.col("_before") + F.col("_here")).cast("bigint").alias(name))
