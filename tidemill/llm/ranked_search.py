@@ -75,7 +75,7 @@ def packed_index(ids: np.ndarray, lengths: np.ndarray, term: np.ndarray, doc: np
     listed, list_start = np.unique(term, return_index=True)
     in_list = np.arange(len(term)) - np.repeat(list_start, np.diff(np.r_[list_start, len(term)]))
     start = np.flatnonzero(in_list % BLOCK == 0)
-    end = np.r_[start[1:], len(term)]
+    end = np.r_[start[1:], len(term)][: len(start)]
     steps = np.diff(doc, prepend=0)
     steps[start] = 0
     widths = [np.digitize(np.maximum.reduceat(x, start), [1 << 8, 1 << 16]) if len(start) else np.zeros(0, np.int64) for x in (steps, tf)]
