@@ -14,7 +14,7 @@ AS_OF = datetime(2024, 6, 1)
 
 
 def landed(spark, name, *bodies, key=None, tenant="acme"):
-    rows = [(name, tenant, json.dumps(key), i + 1, datetime(2024, 5, 1), 100 + i, b if isinstance(b, str) else json.dumps(b)) for i, b in enumerate(bodies)]
+    rows = [(name, tenant, json.dumps(key), i + 1, datetime(2024, 5, 1), 100 + i, b if isinstance(b, str) else json.dumps(b), None) for i, b in enumerate(bodies)]
     return spark.createDataFrame(rows, SCHEMA)
 
 

@@ -2,16 +2,18 @@
 
 import json
 import os
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 
 from tidemill.catalog import DATASETS
+from tidemill.catalog.marts import ADOPTION_TREND_SQL
 from tidemill.operators.history import latest_runs
 from tidemill.operators.promote import ContractBroken, promote
 from tidemill.operators.quality import HasColumns, MaxLength, NotAllNull, NotNull, NullRate, Oversized, RowCount, Unique, Unparseable, run_checks
 from tidemill.operators.tokens import tokenize, tokenize_with
 from tidemill.plans.run import CheckFailed, Warehouse, run_dataset
+from tidemill.sources import pages
 from tidemill.sources.pages import SCHEMA
 from tidemill.sources.snapshots import ConcurrentCommit, Snapshots
 from tidemill.spec import Dataset, Field
@@ -20,9 +22,9 @@ from tidemill.streaming.ingest import stream_dataset
 AS_OF = datetime(2024, 6, 1)
 
 
-def land(spark, warehouse, name, bodies, seq=0, tenant="acme", key=None):
-    rows = [(name, tenant, json.dumps(key), i + 1, datetime(2024, 5, 1), seq + i, json.dumps(b)) for i, b in enumerate(bodies)]
-    spark.createDataFrame(rows, SCHEMA).write.mode("append").parquet(warehouse.pages)
+def land(spark, warehouse, name, bodies, seq=0, tenant="acme", key=None, day=date(2024, 5, 1)):
+    rows = [(name, tenant, json.dumps(key), i + 1, datetime(2024, 5, 1), seq + i, json.dumps(b), None) for i, b in enumerate(bodies)]
+    pages.land(spark.createDataFrame(rows, SCHEMA), warehouse.pages, day)
 
 
 def incident(i, at, priority="1", **more):
@@ -130,10 +132,39 @@ def test_tokens(spark):
     assert got[0] == got[2] and got[1] is None
     with pytest.raises(TypeError):
         tokenize(df, ["x"], "k")
-    asked = tokenize_with(df, ["s"], lambda values: [f"t-{v}" for v in values])
-    assert sorted(str(r["s"]) for r in asked.collect()) == ["None", "t-a", "t-a"]
-    with pytest.raises(Exception, match="the vault gave"):
-        tokenize_with(df, ["s"], lambda values: []).collect()
+
+
+def test_a_vault_is_asked_once_for_each_value(spark, tmp_path):
+    said = tmp_path / "asked"
+    said.mkdir()
+
+    def vault(values):
+        for v in values:
+            (said / f"{v}-{os.urandom(4).hex()}").touch()
+        return [f"t-{v}" for v in values]
+
+    d = Dataset("people", (Field("id", "bigint", nullable=False), Field("email", sensitive=True), Field("boss", sensitive=True)), ("id",))
+    w = Warehouse(spark, str(tmp_path), token_key="pepper", vault=vault)
+    land(spark, w, "people", [[{"id": 1, "email": "a", "boss": "b"}, {"id": 2, "email": None, "boss": "a"}]])
+    run_dataset(w, d, as_of=AS_OF, mode="full")
+    assert {tuple(r) for r in w.table("people").read().collect()} == {(1, "t-a", "t-b"), (2, None, "t-a")}
+    assert sorted(n.split("-")[0] for n in os.listdir(said)) == ["a", "b"]
+    run_dataset(w, d, as_of=AS_OF, mode="full")
+    assert len(os.listdir(said)) == 2  # a second run asks for nothing
+    land(spark, w, "people", [[{"id": 3, "email": "c", "boss": "a"}]], seq=9)
+    stream_dataset(w, d, str(tmp_path / "c1"), AS_OF).awaitTermination()
+    assert sorted(n.split("-")[0] for n in os.listdir(said)) == ["a", "b", "c"]
+    assert (3, "t-c", "t-a") in {tuple(r) for r in w.table("people").read().collect()}
+    for folder, _, names in os.walk(tmp_path / "tokens"):
+        assert all(b"t-a" in (held := open(os.path.join(folder, n), "rb").read()) or b"email" not in held for n in names)
+    frame = spark.createDataFrame([("x",), ("y",)], "s string")
+    for bad in (lambda values: [], lambda values: [None] * len(values)):
+        with pytest.raises(Exception, match="the vault gave"):
+            tokenize_with(frame, ["s"], bad, "pepper", w.tokens)
+    with pytest.raises(ValueError, match="a key that isn't empty"):
+        tokenize_with(frame, ["s"], vault, "", w.tokens)
+    with pytest.raises(TypeError):
+        tokenize_with(spark.createDataFrame([(1.5,)], "x double"), ["x"], vault, "k", w.tokens)
 
 
 def member(login, i):
@@ -171,7 +202,8 @@ def test_stream_tokenizes_guards_and_keeps_watermarks(spark, tmp_path):
     assert len(rows) == 2 and all(len(r["email"]) == 18 and "@" not in r["email"] for r in rows)
     for folder, _, names in os.walk(tmp_path / "tables"):
         assert all(b"a@b.example" not in open(os.path.join(folder, n), "rb").read() for n in names)
-    assert w.ops.marks(d.name, "acme")["forward_watermark"] == datetime(2024, 1, 2) and w.ops.marks(d.name, "other")["backward_watermark"] == datetime(2024, 1, 1)
+    assert w.ops.marks(d.name, "acme")["forward_watermark"] == datetime(2024, 1, 2) and w.ops.marks(d.name, "other")["forward_watermark"] == datetime(2024, 1, 3)
+    assert w.ops.marks(d.name, "acme")["backward_watermark"] is None  # a stream only goes forward
     land(spark, w, d.name, [{"errors": [{"message": "slow down"}]}], seq=20)
     query = stream_dataset(w, d, str(tmp_path / "c1"), AS_OF)
     with pytest.raises(Exception, match="slow down"):
@@ -202,24 +234,46 @@ def test_a_tenants_run_leaves_other_tenants_rows(spark, tmp_path):
         return {(r["id"], r["name"]) for r in w.table("flows").read().collect()}
 
     assert got() == {(1, "a1"), (2, "a2"), (3, "o3")}
-    before = {p["folder"] for p in w.table("flows").current()["parts"]}
+    before = {f["path"] for f in w.table("flows").current()["files"]}
     land(spark, w, "flows", [[{"id": 2, "name": "o2"}]], seq=5, tenant="other")  # a key that moves to the other tenant
     run_dataset(w, d, tenant="other", as_of=AS_OF)
     assert got() == {(1, "a1"), (2, "o2"), (3, "o3")}
     run_dataset(w, d, tenant="other", as_of=AS_OF)
-    assert got() == {(1, "a1"), (2, "o2"), (3, "o3")} and not before & {p["folder"] for p in w.table("flows").current()["parts"]}
+    assert got() == {(1, "a1"), (2, "o2"), (3, "o3")} and not before & {f["path"] for f in w.table("flows").current()["files"]}
     run_dataset(w, d, as_of=AS_OF)  # of all tenants: everything anew
     assert got() == {(1, "a1"), (2, "o2"), (3, "o3")} or got() == {(1, "a1"), (2, "a2"), (3, "o3")}
 
 
-def test_upserts_rewrite_only_the_buckets_they_touch(spark, tmp_path):
-    t = Snapshots(spark, str(tmp_path / "t"), 16)
-    promote(spark.range(200).selectExpr("id", "'a' AS v"), t, ["id"], "upsert")
-    before = {p["part"]: p["folder"] for p in t.current()["parts"]}
-    promote(spark.createDataFrame([(7, "b")], "id bigint, v string"), t, ["id"], "upsert")
-    after = {p["part"]: p["folder"] for p in t.current()["parts"]}
-    assert len(before) == 16 and sum(before[k] != after[k] for k in before) == 1
-    assert t.read().count() == 200 and t.read().where("v = 'b'").count() == 1
+def test_upserts_rewrite_only_the_files_that_hold_their_keys(spark, tmp_path):
+    t = Snapshots(spark, str(tmp_path / "t"))
+    t.commit(spark.range(0, 6000, 1, 60).selectExpr("id", "'a' AS v"))  # sixty files of a hundred keys
+    before = {f["path"] for f in t.current()["files"]}
+    new = spark.createDataFrame([(k, "b") for k in range(50, 6050, 200)], "id bigint, v string")
+    assert promote(new, t, ["id"], "upsert").rows_loaded == 30
+    after = {f["path"] for f in t.current()["files"]}
+    assert len(before) == 60 and len(before & after) == 30
+    assert t.read().count() == 6000 and t.read().where("v = 'b'").count() == 30
+    promote(spark.createDataFrame([(10_000, "c")], "id bigint, v string"), t, ["id"], "upsert")
+    assert len(after & {f["path"] for f in t.current()["files"]}) == len(after)  # a new key touches no file
+
+
+def test_an_upsert_shuffles_new_rows_once_and_the_target_never(spark, tmp_path):
+    """The plans of all jobs of an upsert, by their exchanges of rows."""
+    t = Snapshots(spark, str(tmp_path / "t"))
+    t.commit(spark.range(0, 1000, 1, 4).selectExpr("id", "'a' AS v"))
+    staged = spark.range(0, 100, 1, 3).selectExpr("id * 7 AS id", "'b' AS v", "id AS _seq", "0 AS _pos")
+    from tidemill.operators.dedup import last_landed
+
+    def exchanges(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line]
+
+    assert len(exchanges(last_landed(staged, ["id"]))) == 1
+    new = t.put(last_landed(staged, ["id"]).select("id", "v"))
+    schema, files = t.schema_of(t.current()), t.current()["files"]
+    keys = t.keys_of(new, schema, ["id"])
+    assert not exchanges(t.frame(files, schema).join(keys, ["id"], "left_anti"))
+    assert "BroadcastHashJoin" in t.frame(files, schema).join(keys, ["id"], "left_anti")._jdf.queryExecution().executedPlan().toString()
 
 
 def test_two_writers(spark, tmp_path):
@@ -232,21 +286,32 @@ def test_two_writers(spark, tmp_path):
     assert sorted(r["id"] for r in t.read().collect()) == [1, 2]
 
 
-def test_small_folders_are_merged_and_old_ones_removed(spark, tmp_path, monkeypatch):
+def test_small_files_are_merged_and_old_ones_removed(spark, tmp_path, monkeypatch):
     from tidemill.sources import snapshots
 
     monkeypatch.setattr(snapshots, "MANY", 4)
     t = Snapshots(spark, str(tmp_path / "t"))
     for k in range(7):
-        t.commit(spark.createDataFrame([(k,)], "id int"), append=True)
+        t.commit(spark.createDataFrame([(k,)], "id int").coalesce(1), append=True)
+    t.publish(t.current(), t.current()["files"], t.schema_of(t.current()), marks={"stream:x": 3})
     held = t.current()
-    assert t.compact() and len(t.current()["parts"]) == 1 and not t.compact()
+    assert t.compact() and len(t.current()["files"]) < 5 and not t.compact()
+    assert t.current()["marks"] == {"stream:x": 3}
     assert sorted(r["id"] for r in t.read(held).collect()) == list(range(7)) == sorted(r["id"] for r in t.read().collect())
     assert t.vacuum(keep=1) == 0  # nothing is old enough
     assert t.vacuum(keep=1, older_than_hours=-1) == 7 and len(t.versions()) == 1
     assert sorted(r["id"] for r in t.read().collect()) == list(range(7))
 
 
+def test_ops_tables_stay_small(spark, tmp_path):
+    w, d = Warehouse(spark, str(tmp_path)), DATASETS["github_members"]
+    land(spark, w, d.name, [[member("a", 1)]])
+    for _ in range(3):
+        run_dataset(w, d, tenant="acme", as_of=AS_OF)
+    assert w.ops.history.read().count() == 3  # a row each run
+    assert len(w.ops.registry.versions()) <= 5
+
+
 def test_children_come_from_their_parents(spark, tmp_path):
     w, repos, branches = Warehouse(spark, str(tmp_path)), DATASETS["github_repos"], DATASETS["github_branches"]
     for key in ("acme/a", "ACME/b", "other/c"):
@@ -316,8 +381,10 @@ def test_few_rows_and_stale_sources_warn(spark, tmp_path):
     assert got.warnings[0].startswith("source servicenow_incidents was last loaded at 2024-05-02")
     history = w.table("sonarqube_measures_history")
     history.create_if_missing(DATASETS["sonarqube_measures_history"].schema)
-    with pytest.raises(CheckFailed, match="0 rows"):
+    with pytest.raises(CheckFailed, match="nothing is kept as first_seen:weeks beside sonarqube_measures_history"):
         run_dataset(w, DATASETS["sonarqube_adoption_trend"], as_of=AS_OF)
+    with pytest.raises(CheckFailed, match="0 rows"):
+        run_dataset(w, ADOPTION_TREND_SQL, as_of=AS_OF)
 
 
 def test_a_crashed_run_is_carried_on(spark, tmp_path):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemill.catalog.marts import by_day
+from tidemill.operators.kept import Counts
 from tidemill.spec import Dataset
 from tidemill.spec import Field as f
 
@@ -26,7 +28,7 @@ def _dataset(name: str, *fields: f, unique: tuple[tuple[str, ...], ...] = (), op
 
 
 DATASETS = (
-    _dataset("incidents", *_text("number", "short_description", "description", "state", "priority", "severity", "category", "assigned_to", "assignment_group"), *_times("opened_at", "closed_at"), unique=(("number",),), open_ended=("closed_at",)),
+    _dataset("incidents", *_text("number", "short_description", "description", "state", "priority", "severity", "category", "assigned_to", "assignment_group"), *_times("opened_at", "closed_at"), unique=(("number",),), open_ended=("closed_at",), kept={"by_day": Counts(by_day)}),
     _dataset("changes", *_text("number", "short_description", "description", "state", "type", "priority", "risk", "category", "assigned_to", "assignment_group"), *_times("opened_at", "closed_at", "start_date", "end_date"), unique=(("number",),), open_ended=("closed_at", "start_date", "end_date",)),
     _dataset("change_tasks", *_text("number", "short_description", "state", "priority", "change_request", "assigned_to", "assignment_group"), *_times("planned_start_date", "planned_end_date"), unique=(("number",),), open_ended=("planned_start_date", "planned_end_date",)),
     _dataset("problems", *_text("number", "short_description", "state", "priority", "category", "assigned_to", "assignment_group"), *_times("opened_at", "closed_at"), unique=(("number",),), open_ended=("closed_at",)),

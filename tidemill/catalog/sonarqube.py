@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tidemill.functions.coerce import date_prefix, repack
 from tidemill.operators.dedup import daily_latest
 from tidemill.operators.incremental import drop_null_keys
-from tidemill.operators.normalize import absent_names, is_absent
+from tidemill.operators.kept import FirstSeen
+from tidemill.operators.normalize import absent_names, ingest_time, is_absent
 from tidemill.sources.pages import at, explode_records, unnest
 from tidemill.spec import Context, Dataset
 from tidemill.spec import Field as f
@@ -28,7 +29,7 @@ def _has_key(records: DataFrame) -> DataFrame:
 
 
 def _collected(df: DataFrame, context: Context) -> DataFrame:
-    return df.withColumn("collected_at", F.lit(context.as_of).cast("timestamp"))
+    return ingest_time(df, "collected_at", context.as_of)
 
 
 def _events(pages: DataFrame) -> DataFrame:
@@ -119,7 +120,7 @@ MEASURES = Dataset(
 MEASURES_HISTORY = Dataset(
     "sonarqube_measures_history",
     (*(f(n, nullable=False) for n in ("project_key", "branch", "metric_key")), f("analysis_date", "timestamptz", nullable=False), f("value"), f("collected_at", "timestamptz")),
-    tuple(HISTORY_KEY), "measures", mode="forward", incremental="analysis_date", parse=_history, required=("metric_key", "analysis_date"), transform=_one_a_day, lookback_days=LOOKBACK_DAYS, null_limits={"value": 1.0}, max_lengths=_lengths("project_key"),
+    tuple(HISTORY_KEY), "measures", mode="forward", incremental="analysis_date", parse=_history, apart=False, kept={"first_seen": FirstSeen("project_key", "analysis_date")}, required=("metric_key", "analysis_date"), transform=_one_a_day, lookback_days=LOOKBACK_DAYS, null_limits={"value": 1.0}, max_lengths=_lengths("project_key"),
     noted={"dropped for want of a part of the key": lambda df: F.greatest(*(F.col(k).isNull() for k in HISTORY_KEY))}, **OF_BRANCH,
 )
 DATASETS = (PROJECTS, PROJECT_DETAILS, BRANCHES, ISSUES, ANALYSES, ANALYSIS_EVENTS, MEASURES, MEASURES_HISTORY)

@@ -12,12 +12,12 @@ from tidemill.functions.coerce import empty_to_null
 from tidemill.operators.incremental import merge_coverage
 from tidemill.operators.promote import upserted
 from tidemill.operators.quality import anomalies
-from tidemill.sources.snapshots import ConcurrentCommit, Snapshots
+from tidemill.sources.snapshots import Snapshots
 from tidemill.spec import Dataset
 
 HISTORY = "run_id string, dataset string, tenant string, mode string, status string, at timestamp, rows_loaded bigint, seconds double, warnings string, metadata string"
 REGISTRY = "dataset string, load_strategy string, target string, source string, registered_at timestamp, last_success_at timestamp"
-LEDGER = "run_id string, entity_key string, page int, seq bigint"
+LEDGER = "run_id string, unit string"
 COVERAGE = "dataset string, tenant string, forward_watermark timestamp, backward_watermark timestamp"
 
 
@@ -49,7 +49,8 @@ def with_success(registry: DataFrame, successes: DataFrame) -> DataFrame:
 
 
 class Ops:
-    """The tables of what ran, under a folder. They are small; each write is compacted when many have piled up."""
+    """The tables of what ran, under a folder: one row a run, a dataset, and a dataset and tenant. They are small; each write merges what has piled
+    up and removes versions beyond the last few that are older than an hour."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -58,28 +59,28 @@ class Ops:
     def _frame(self, rows: list[tuple], schema: str) -> DataFrame:
         return self.spark.createDataFrame(rows, schema)
 
+    def _tended(self, table: Snapshots) -> None:
+        table.compact()
+        table.vacuum(keep=5, older_than_hours=1)
+
     def _changed(self, table: Snapshots, schema: str, change: Callable[[DataFrame], DataFrame]) -> None:
         """A small table rewritten; where another run was faster, from what that run left."""
         table.create_if_missing(self._frame([], schema).schema)
-        for left in range(5, -1, -1):
-            base = table.current()
-            try:
-                table.commit(change(table.read(base)).coalesce(1), base=base)
-                return
-            except ConcurrentCommit:
-                if not left:
-                    raise
+        table.changed(lambda now: (table.put(change(table.read(now)).coalesce(1)), table.schema_of(now)))
+        self._tended(table)
 
     def record(self, run_id: str, dataset: str, tenant: str, mode: str, status: str, at: datetime, rows: int | None = None, seconds: float | None = None, warnings: str | None = None, metadata: str | None = None) -> None:
-        event = self._frame([(run_id, dataset, tenant, mode, status, at, rows, seconds, warnings, metadata)], HISTORY)
-        self.history.create_if_missing(event.schema)
-        self.history.commit(event.coalesce(1), append=True)
-        self.history.compact()
+        """The run's row, in place of what was recorded of it before: only a run that crashed stays as running."""
+        self.history.upsert(self._frame([(run_id, dataset, tenant, mode, status, at, rows, seconds, warnings, metadata)], HISTORY).coalesce(1), ["run_id"])
+        self._tended(self.history)
 
     def register(self, datasets: Iterable[Dataset], at: datetime) -> None:
-        rows = [(d.name, d.load, d.name, d.name.split("_")[0] if not d.build else "", at) for d in datasets]
+        """Datasets that are new, or loaded otherwise than known, in the registry."""
+        rows = [(d.name, d.load, d.name, d.name.split("_")[0] if not d.made else "", at) for d in datasets]
         new = self._frame(rows, "dataset string, load_strategy string, target string, source string, registered_at timestamp")
-        self._changed(self.registry, REGISTRY, lambda old: registered(old, new))
+        known = self.known().select("dataset", "load_strategy", "target", F.coalesce("source", F.lit("")).alias("source"))
+        if not new.join(known, ["dataset", "load_strategy", "target", "source"], "left_anti").isEmpty():
+            self._changed(self.registry, REGISTRY, lambda old: registered(old, new))
 
     def succeeded(self, dataset: str, at: datetime) -> None:
         done = self._frame([(dataset, at)], "dataset string, at timestamp")
@@ -109,5 +110,5 @@ class Ops:
         """The run at hand among the successful ones of its dataset and tenant, judged by ``anomalies``."""
         before = self.runs().where((F.col("status") == "success") & (F.col("dataset") == dataset) & (F.col("tenant") == tenant) & (F.col("run_id") != run_id))
         now = self._frame([(run_id, dataset, tenant, at, rows)], "run_id string, dataset string, tenant string, started_at timestamp, rows_loaded bigint")
-        past = before.where("rows_loaded IS NOT NULL AND coalesce(metadata, '') NOT LIKE '%dry_run%'").select("run_id", "dataset", "tenant", F.col("at").alias("started_at"), "rows_loaded")
+        past = before.where("rows_loaded IS NOT NULL AND coalesce(metadata, '') NOT LIKE '%dry_run%' AND coalesce(metadata, '') NOT LIKE '%no_pages%'").select("run_id", "dataset", "tenant", F.col("at").alias("started_at"), "rows_loaded")
         return anomalies(past.where(F.col("started_at") <= F.lit(at)).unionByName(now)).where(F.col("run_id") == run_id)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,8 +14,11 @@ from tidemill.functions.coerce import empty_to_null
 
 @dataclass(frozen=True)
 class CheckReport:
+    """``violations``: the rows that break a check of rows, with the names of those checks in ``_broken``, if they were asked for."""
+
     failures: tuple[str, ...] = ()
     warnings: tuple[str, ...] = ()
+    violations: DataFrame | None = None
 
     @property
     def passed(self) -> bool:
@@ -23,13 +26,18 @@ class CheckReport:
 
 
 class Check:
-    """A check names the aggregates it needs, then reads them. ``blocking``: what it finds fails the run."""
+    """A check names the aggregates it needs, then reads them. ``blocking``: what it finds fails the run. Checks of single rows also tell
+    which rows break them."""
 
     blocking = True
 
     def aggregates(self, df: DataFrame) -> dict[str, Column]:
         return {}
 
+    def breaks(self, df: DataFrame) -> dict[str, Column]:
+        """By the name of a violation, whether a row has it."""
+        return {}
+
     def messages(self, df: DataFrame, got: dict) -> list[str]:
         raise NotImplementedError
 
@@ -66,6 +74,9 @@ class NotNull(Check):
     def aggregates(self, df):
         return {f"nulls:{c}": _nulls(c) for c in self.columns if c in df.columns}
 
+    def breaks(self, df):
+        return {f"null:{c}": F.col(c).isNull() for c in self.columns if c in df.columns}
+
     def messages(self, df, got):
         lacking = [f"column {c} is missing" for c in self.columns if c not in df.columns]
         return lacking + [f"column {c}: {n} nulls" for c in self.columns if c in df.columns and (n := got[f"nulls:{c}"])]
@@ -109,6 +120,9 @@ class MaxLength(Check):
         length = {c: F.length(F.col(c).cast("string")) for c in self.limits if c in df.columns}
         return {f"long:{c}": F.count_if(x > self.limits[c]) for c, x in length.items()} | {f"longest:{c}": F.max(x) for c, x in length.items()}
 
+    def breaks(self, df):
+        return {f"long:{c}": F.length(F.col(c).cast("string")) > n for c, n in self.limits.items() if c in df.columns}
+
     def messages(self, df, got):
         return [f"column {c}: {n} values over {limit} characters, the longest {got[f'longest:{c}']}" for c, limit in self.limits.items() if c in df.columns and (n := got[f"long:{c}"])]
 
@@ -121,6 +135,9 @@ class Oversized(Check):
     def aggregates(self, df):
         return {f"longest:{c}": F.max(F.length(c)) for c in _strings(df)}
 
+    def breaks(self, df):
+        return {f"oversized:{c}": F.length(c) > self.threshold for c in _strings(df)}
+
     def messages(self, df, got):
         return [f"column {c}: a value of {n} characters" for c in _strings(df) if (n := got[f"longest:{c}"] or 0) > self.threshold]
 
@@ -133,7 +150,13 @@ class Unparseable(Check):
     blocking = False
 
     def aggregates(self, df):
-        return {f"unread:{self.column}": F.count_if(F.col(self.column).isNotNull() & F.col(self.column).cast("string").try_cast("timestamp").isNull())}
+        return {f"unread:{self.column}": F.count_if(self._unread())}
+
+    def breaks(self, df):
+        return {f"unread:{self.column}": self._unread()}
+
+    def _unread(self):
+        return F.col(self.column).isNotNull() & F.col(self.column).cast("string").try_cast("timestamp").isNull()
 
     def messages(self, df, got):
         return [f"column {self.column}: {n} values are no dates"] if (n := got[f"unread:{self.column}"]) else []
@@ -154,23 +177,41 @@ def duplicate_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     return groups.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_rows"))
 
 
-def measured(df: DataFrame, checks: list[Check], *by: str) -> DataFrame:
-    """What the checks count, as a row (for each ``by``): ``rows`` and a column for each aggregate, by its name. One pass."""
+def _wanted(df: DataFrame, checks: list[Check]) -> list[Column]:
     wanted: dict[str, Column] = {"rows": F.count("*")}
     for check in checks:
         wanted |= check.aggregates(df)
-    named = [x.alias(n) for n, x in wanted.items()]
+    return [x.alias(n) for n, x in wanted.items()]
+
+
+def measured(df: DataFrame, checks: list[Check], *by: str) -> DataFrame:
+    """What the checks count, as a row (for each ``by``): ``rows`` and a column for each aggregate, by its name. One pass."""
+    named = _wanted(df, checks)
     return df.groupBy(*by).agg(*named) if by else df.agg(*named)
 
 
-def run_checks(df: DataFrame, checks: list[Check]) -> CheckReport:
-    """All checks, in order; one job for those that aggregate, and one more for each ``Unique``."""
-    counts = measured(df, checks)
-    got = dict(zip(counts.columns, counts.first(), strict=True))
+def broken(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """``df`` with ``_broken``: the names of the violations that a row has, in the order of the checks."""
+    named = {n: x for check in checks for n, x in check.breaks(df).items()}
+    return df.withColumn("_broken", F.array_compact(F.array(*(F.when(x, F.lit(n)) for n, x in named.items()))) if named else F.array().cast("array<string>"))
+
+
+def run_checks(df: DataFrame, checks: list[Check], into: str | None = None) -> CheckReport:
+    """All checks, in order; one job for those that aggregate, and one more for each ``Unique``. ``into``: a new folder for the rows that
+    break a check of rows, which are written in the same pass as everything is counted."""
+    violations = None
+    if into is None:
+        counts = measured(df, checks)
+        got = dict(zip(counts.columns, counts.first(), strict=True))
+    else:
+        seen, rows = Observation(), broken(df, checks)
+        rows.observe(seen, *_wanted(df, checks)).where(F.size("_broken") > 0).write.parquet(into)
+        got = seen.get
+        violations = df.sparkSession.read.schema(rows.schema).parquet(into)
     failures, warnings = [], []
     for check in checks:
         (failures if check.blocking else warnings).extend(check.messages(df, got))
-    return CheckReport(tuple(failures), tuple(warnings))
+    return CheckReport(tuple(failures), tuple(warnings), violations)
 
 
 def null_rates(df: DataFrame, columns: list[str]) -> DataFrame:

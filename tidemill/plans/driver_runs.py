@@ -3,10 +3,9 @@ behind is returned."""
 
 from __future__ import annotations
 
-import uuid
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.catalog import DATASETS
@@ -14,32 +13,27 @@ from tidemill.operators import promote as pm
 from tidemill.operators.tokens import tokenize
 from tidemill.plans.driver import _CHANGED, NTZ, Tables, _changed, _hmac, query
 from tidemill.plans.run import CheckFailed, Warehouse, run_dataset
-from tidemill.sources.pages import SCHEMA
+from tidemill.sources.checkpoints import shared_folder
+from tidemill.sources.pages import land
 from tidemill.sources.snapshots import Snapshots
 
 AS_OF = datetime(2030, 1, 1)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder that the driver and all executors can reach: beside the checkpoints, or in the warehouse."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root}/tidemill-{uuid.uuid4().hex}"
+def _warehouse(t: Tables, **more) -> Warehouse:
+    return Warehouse(t.spark, shared_folder(t.spark), token_key="pepper", **more)
 
 
-def _warehouse(t: Tables) -> Warehouse:
-    return Warehouse(t.spark, shared_folder(t.spark), token_key="pepper", buckets=4)
-
-
-def _land(w: Warehouse, dataset: str, pages: DataFrame) -> None:
+def _land(w: Warehouse, dataset: str, pages: DataFrame, day: date = date(2024, 1, 1)) -> None:
     """``pages``: ``body`` and, where they have them, ``tenant``, ``entity_key`` and ``seq``."""
     columns = {"dataset": F.lit(dataset), "tenant": F.lit(""), "entity_key": F.lit("null"), "page": F.lit(1), "fetched_at": F.lit(AS_OF).cast("timestamp"), "seq": F.lit(0).cast("bigint")}
-    full = pages.select(*(F.col(n) if n in pages.columns else c.alias(n) for n, c in columns.items()), "body")
-    full.select(*(c.split()[0] for c in SCHEMA.split(", "))).write.mode("append").parquet(w.pages)
+    land(pages.select(*(F.col(n) if n in pages.columns else c.alias(n) for n, c in columns.items()), "body"), w.pages, day)
 
 
 def _bodies(rows: DataFrame, record: Column, inside: str | None, *by: str, size: int = 200) -> DataFrame:
-    """Pages of about ``size`` records, ``by`` kept; ``inside``: the name under which a body holds its records, if not at the top."""
-    page = F.pmod(F.xxhash64(record), F.greatest(F.lit(1), F.lit(size))).alias("_page")
+    """Pages of about ``size`` records, however many rows there are, ``by`` kept; ``inside``: the name under which a body holds its
+    records, if not at the top."""
+    page = F.pmod(F.xxhash64(record), F.lit(1 + rows.count() // size)).alias("_page")
     made = rows.select(*by, page, record.alias("_record")).groupBy(*by, "_page").agg(F.collect_list("_record").alias("_records"))
     body = F.to_json(F.struct(F.col("_records").alias(inside)), {"ignoreNullFields": "false"}) if inside else F.to_json("_records", {"ignoreNullFields": "false"})
     return made.select(*by, F.col("_page").cast("bigint").alias("seq"), body.alias("body"))
@@ -82,7 +76,7 @@ def _two_waves(t: Tables) -> Warehouse:
     w, incidents = _warehouse(t), DATASETS["servicenow_incidents"]
     _land(w, incidents.name, _bodies(t.orders.where("o_orderkey % 2 = 0"), _incident(F.lit("first")), "result"))
     run_dataset(w, incidents, "full", as_of=AS_OF)
-    _land(w, incidents.name, _bodies(t.orders, _incident(F.lit("second")), "result").withColumn("seq", F.col("seq") + 1_000_000))
+    _land(w, incidents.name, _bodies(t.orders, _incident(F.lit("second")), "result").withColumn("seq", F.col("seq") + 1_000_000), date(2024, 1, 2))
     run_dataset(w, incidents, "forward", as_of=AS_OF)
     return w
 
@@ -178,9 +172,9 @@ def run_tenants(t):
     _land(w, flows.name, pages(t.customer, "once", 1, 2))
     for name in ("acme", "other"):
         run_dataset(w, flows, tenant=name, as_of=AS_OF)
-    second = Warehouse(t.spark, w.root + "/second", buckets=4)  # the tenant's pages as they are later
+    second = Warehouse(t.spark, w.root + "/second")  # the tenant's pages as they are later
     _land(second, flows.name, pages(t.customer.where("c_custkey % 2 = 0"), "again", 1))
-    again = Relanded(t.spark, w.root, buckets=4, later=second.pages)
+    again = Relanded(t.spark, w.root, later=second.pages)
     run_dataset(again, flows, tenant="acme", as_of=AS_OF)
     return w.table(flows.name).read().select("id", "repo_full_name", "name")
 
@@ -188,8 +182,8 @@ def run_tenants(t):
 class Relanded(Warehouse):
     """A warehouse whose pages have been landed anew elsewhere."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int, later: str):
-        super().__init__(spark, root, buckets=buckets)
+    def __init__(self, spark: SparkSession, root: str, later: str):
+        super().__init__(spark, root)
         object.__setattr__(self, "_later", later)
 
     @property
@@ -244,8 +238,8 @@ def run_measures_history(t):
 
 @query(f"SELECT * FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM {_CHANGED}) UNION ALL SELECT * FROM {_CHANGED}")
 def promote_pipeline(t):
-    """A table, then an upsert into it, twice: buckets, versions and contract as in a run."""
-    table = Snapshots(t.spark, shared_folder(t.spark), 4)
+    """A table, then an upsert into it, twice: files, versions and contract as in a run."""
+    table = Snapshots(t.spark, shared_folder(t.spark))
     for rows in (t.customer, _changed(t), _changed(t)):
         pm.promote(rows, table, ["c_custkey"], "upsert")
     return table.read()
@@ -254,7 +248,7 @@ def promote_pipeline(t):
 @query(f"SELECT {_hmac('c_name')} AS c_name, c_acctbal + 1 AS c_acctbal FROM customer QUALIFY row_number() OVER (PARTITION BY c_name ORDER BY c_custkey DESC) = 1")
 def upsert_on_tokens(t):
     """A key that is a token: what is upserted again meets its own rows."""
-    table = Snapshots(t.spark, shared_folder(t.spark), 4)
+    table = Snapshots(t.spark, shared_folder(t.spark))
     rows = t.customer.select("c_name", "c_acctbal", F.col("c_custkey").cast("bigint").alias("_seq"), F.lit(0).alias("_pos"))
     pm.promote(tokenize(rows, ["c_name"], "pepper"), table, ["c_name"], "upsert")
     pm.promote(tokenize(rows.withColumn("c_acctbal", F.col("c_acctbal") + 1), ["c_name"], "pepper"), table, ["c_name"], "upsert")
@@ -270,7 +264,7 @@ def run_refused(t):
     run_dataset(w, repos, tenant="acme", as_of=AS_OF)
     ref = F.struct(F.lit("r").alias("ref"))
     pull = F.struct(F.col("o_orderkey").alias("id"), F.lit(1).alias("number"), F.lit("open").alias("state"), F.lit(None).cast("string").alias("user"), *(F.lit("2024-01-02T03:04:05Z").alias(n) for n in ("created_at", "updated_at", "closed_at", "merged_at")), F.lit(False).alias("draft"), ref.alias("head"), F.struct(F.lit("b").alias("ref"), F.lit(None).cast("string").alias("repo")).alias("base"), F.lit("u").alias("html_url"))
-    pages = _bodies(t.orders.withColumns({"tenant": owner, "entity_key": F.lit('"acme/r1"')}), pull, None, "tenant", "entity_key", size=1)
+    pages = _bodies(t.orders.withColumns({"tenant": owner, "entity_key": F.lit('"acme/r1"')}), pull, None, "tenant", "entity_key").withColumn("seq", F.col("seq") - F.min("seq").over(Window.partitionBy("tenant")))
     _land(w, pulls.name, pages)
     try:
         run_dataset(w, pulls, "full", "acme", as_of=AS_OF)

@@ -92,8 +92,11 @@ class Dataset:
     parse: Callable[[DataFrame], DataFrame] | None = None  # pages to rows, in place of the field map
     transform: Callable[[DataFrame, Context], DataFrame] | None = None
     checks: tuple = ()
-    sources: tuple[str, ...] = ()
-    build: Callable[[SparkSession, Context, dict[str, DataFrame]], DataFrame] | None = None  # of a dataset made from others
+    apart: bool = True  # whether rows of one entity's pages can be made apart from each other
+    kept: dict[str, object] = field(default_factory=dict)  # counts and first moments kept beside the table, see ``operators/kept.py``
+    sources: tuple[str, ...] = ()  # of a dataset made from others; "table:side" is what is kept beside a table
+    build: Callable[[SparkSession, Context, dict[str, DataFrame]], DataFrame] | None = None
+    sql: str | None = None  # in place of ``build``: text over the sources as {name}, with the run's present as :as_of
 
     def __post_init__(self):
         names = [f.name for f in self.fields]
@@ -104,6 +107,11 @@ class Dataset:
         if self.load not in ("replace", "upsert", "append"):
             raise ValueError(f"{self.name}: unknown load strategy {self.load}")
 
+    @property
+    def made(self) -> bool:
+        """Whether it is made from other tables."""
+        return self.build is not None or self.sql is not None
+
     @property
     def schema(self) -> T.StructType:
         return T.StructType([T.StructField(f.name, TYPES[f.type], f.nullable, {"sensitive": f.sensitive}) for f in self.fields])
