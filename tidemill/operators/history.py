@@ -12,7 +12,7 @@ from tidemill.functions.coerce import empty_to_null
 from tidemill.operators.incremental import merge_coverage
 from tidemill.operators.promote import upserted
 from tidemill.operators.quality import anomalies
-from tidemill.sources.snapshots import Snapshots
+from tidemill.sources.snapshots import File, Snapshots
 from tidemill.spec import Dataset
 
 HISTORY = "run_id string, dataset string, tenant string, mode string, status string, at timestamp, rows_loaded bigint, seconds double, warnings string, metadata string"
@@ -69,17 +69,28 @@ class Ops:
         table.changed(lambda now: (table.put(change(table.read(now)).coalesce(1)), table.schema_of(now)))
         self._tended(table)
 
-    def record(self, run_id: str, dataset: str, tenant: str, mode: str, status: str, at: datetime, rows: int | None = None, seconds: float | None = None, warnings: str | None = None, metadata: str | None = None) -> None:
-        """The run's row, in place of what was recorded of it before: only a run that crashed stays as running."""
-        self.history.upsert(self._frame([(run_id, dataset, tenant, mode, status, at, rows, seconds, warnings, metadata)], HISTORY).coalesce(1), ["run_id"])
-        self._tended(self.history)
+    def record(
+        self, run_id: str, dataset: str, tenant: str, mode: str, status: str, at: datetime, rows: int | None = None, seconds: float | None = None, warnings: str | None = None, metadata: str | None = None, before: list[File] | None = None
+    ) -> list[File]:
+        """The run's row, in place of what was recorded of it before: only a run that crashed stays as running. ``before``: the files that this
+        method gave when the run began, if that is known; else they are looked for."""
+        row = self._frame([(run_id, dataset, tenant, mode, status, at, rows, seconds, warnings, metadata)], HISTORY).coalesce(1)
+        if status == "running" or before is not None:
+            new, gone = self.history.put(row), before or []
+            self.history.changed(lambda now: ([*(f for f in (now["files"] if now else []) if f not in gone), *new], row.schema))
+        else:
+            new = []
+            self.history.upsert(row, ["run_id"])
+        if status != "running":
+            self._tended(self.history)
+        return new
 
     def register(self, datasets: Iterable[Dataset], at: datetime) -> None:
         """Datasets that are new, or loaded otherwise than known, in the registry."""
-        rows = [(d.name, d.load, d.name, d.name.split("_")[0] if not d.made else "", at) for d in datasets]
-        new = self._frame(rows, "dataset string, load_strategy string, target string, source string, registered_at timestamp")
-        known = self.known().select("dataset", "load_strategy", "target", F.coalesce("source", F.lit("")).alias("source"))
-        if not new.join(known, ["dataset", "load_strategy", "target", "source"], "left_anti").isEmpty():
+        wanted = {d.name: (d.load, d.name, None if d.made else d.name.split("_")[0]) for d in datasets}
+        known = {r["dataset"]: (r["load_strategy"], r["target"], r["source"]) for r in self.known().where(F.col("dataset").isin(*wanted)).collect()}
+        if rows := [(n, *x, at) for n, x in wanted.items() if known.get(n) != x]:
+            new = self._frame(rows, "dataset string, load_strategy string, target string, source string, registered_at timestamp")
             self._changed(self.registry, REGISTRY, lambda old: registered(old, new))
 
     def succeeded(self, dataset: str, at: datetime) -> None:

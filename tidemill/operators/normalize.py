@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.coerce import array_json, array_text, date_prefix, repack, to_bool, to_timestamp
+from tidemill.functions.coerce import array_json, array_text, date_prefix, repack, to_bool, to_double, to_timestamp
 from tidemill.sources.pages import at
 from tidemill.spec import TYPES, Field
 
@@ -43,6 +43,8 @@ def cast(value: Column, kind: str) -> Column:
         return to_bool(value)
     if kind == "timestamptz":
         return to_timestamp(value)
+    if kind == "double":
+        return to_double(value)
     return value if kind in ("text", "json", "uuid") else value.try_cast(TYPES[kind])
 
 
@@ -67,11 +69,6 @@ def normalize(records: DataFrame, fields: tuple[Field, ...], keep: tuple[str, ..
     return records.select(*made, *(F.col(c).alias(f"_{c}") for c in keep), absent.alias("_absent"), unread.alias("_unread"))
 
 
-def inject_keys(df: DataFrame, mapping: dict[str, str], key: str = "entity_key", kind: str = "string") -> DataFrame:
-    """``df`` with columns from a JSON key: ``{part of the key: column}``; the part "*" is a plain key as a whole."""
-    return df.withColumns({column: key_at(F.col(key), Field(column, key=part)).try_cast(kind) for part, column in mapping.items()})
-
-
 def ingest_time(df: DataFrame, column: str, run_time) -> DataFrame:
     """A constant moment: the run's, so that a retry writes the same."""
     return df.withColumn(column, F.lit(run_time).cast("timestamp"))
@@ -99,16 +96,6 @@ def absent_names(record: Column, fields: list[Field]) -> Column:
     return F.array_compact(F.array(*named)) if named else F.array().cast("array<string>")
 
 
-def missing_keys(records: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
-    """``column``, ``path``, ``n_missing``, ``first_seq`` of the fields that some record lacks altogether (see ``is_absent``), in the order of
-    the fields. All fields are counted in one pass."""
-    needed = asked(fields)
-    record = F.col("record")
-    seen = records.agg(*(x for i, f in enumerate(needed) for x in (F.count_if(is_absent(record, f.source)).alias(f"n{i}"), F.min(F.when(is_absent(record, f.source), F.col("seq"))).alias(f"s{i}"))))
-    rows = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(f.name).alias("column"), F.lit(f.source).alias("path"), F.col(f"n{i}").alias("n_missing"), F.col(f"s{i}").alias("first_seq")) for i, f in enumerate(needed)))
-    return seen.select(F.explode(rows).alias("r")).select("r.*").where("n_missing > 0").orderBy("i").drop("i")
-
-
 def require_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """``df`` with the declared columns and those of its landing; all that are missing are named at once. Only the schema is looked at."""
     if lacking := [c for c in columns if c not in df.columns]:
@@ -116,4 +103,4 @@ def require_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*columns, *(c for c in df.columns if c.startswith("_")))
 
 
-__all__ = ["absent_names", "asked", "cast", "date_prefix", "ingest_time", "inject_keys", "is_absent", "missing_keys", "normalize", "require_columns", "value_at"]
+__all__ = ["absent_names", "asked", "cast", "date_prefix", "ingest_time", "is_absent", "normalize", "require_columns", "value_at"]

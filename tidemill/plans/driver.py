@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 from tidemill.catalog.marts import daily_counts
 from tidemill.functions import calendar as cal
 from tidemill.functions import coerce as co
+from tidemill.functions import ordering
 from tidemill.operators import dedup as dd
 from tidemill.operators import incremental as inc
 from tidemill.operators import normalize as nm
 from tidemill.operators import promote as pm
 from tidemill.operators import quality as qa
 from tidemill.operators.tokens import token, tokenize
+from tidemill.sources.checkpoints import shared_folder
 from tidemill.sources.pages import at, explode_records, unnest
+from tidemill.sources.snapshots import Snapshots
 from tidemill.spec import Field
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,9 +50,9 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Query]:
-    from tidemill.plans import driver_runs  # registers whole runs
+    from tidemill.plans import driver_catalog, driver_runs  # register whole runs
 
-    assert driver_runs
+    assert driver_catalog and driver_runs
     return dict(_queries)
 
 
@@ -111,10 +114,10 @@ def calendar_spine(t):
     return cal.calendar_spine(t.orders.agg(F.trunc(F.min("o_orderdate"), "month").alias("first"), F.max("o_orderdate").cast("date").alias("last")))
 
 
-@query("""SELECT day, n, CAST(sum(n) OVER (ORDER BY day) AS BIGINT) AS total FROM (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1)""")
+@query("""SELECT event_id, user_id, CAST(sum(user_id) OVER (ORDER BY event_id) AS BIGINT) AS total FROM events""")
 def running_total(t):
-    daily = t.events.groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
-    return cal.running_total(daily, "day", "n", "total")
+    """Over all events, in ranges of their ids."""
+    return ordering.running_total(t.events.select("event_id", F.col("user_id").cast("bigint").alias("user_id")), "event_id", "user_id", "total")
 
 
 @query("""SELECT event_type, CAST(date_trunc('week', ts) AS DATE) AS week_start_date, count(*) AS n, min(ts) AS first_at, max(ts) AS last_at, greatest(min(value), 5.0) AS floor_value FROM events WHERE ts <= TIMESTAMP '2024-01-20' GROUP BY 1, 2""")
@@ -253,24 +256,36 @@ def promote_upsert(t):
     return pm.upserted(t.customer, _changed(t), ["c_custkey"])
 
 
+def _promoted(t: Tables, *steps: tuple[DataFrame, str, str], keys: tuple[str, ...] = ("c_custkey",)) -> DataFrame:
+    """A table after some promotions (rows, strategy, tenant)."""
+    table = Snapshots(t.spark, shared_folder(t.spark))
+    for rows, strategy, tenant in steps:
+        pm.promote(rows, table, [*keys], strategy, tenant=tenant)
+    return table.read()
+
+
 @query(f"SELECT * FROM {_CHANGED}")
 def promote_replace(t):
-    return pm.replaced(t.customer, _changed(t), None, None)
+    return _promoted(t, (t.customer, "upsert", ""), (_changed(t), "replace", ""))
 
 
 @query(f"SELECT * FROM customer UNION ALL SELECT * FROM {_CHANGED}")
 def promote_append(t):
-    return pm.appended(t.customer, _changed(t))
+    return _promoted(t, (t.customer, "append", ""), (_changed(t), "append", ""))
 
 
 @query(f"SELECT c_custkey FROM customer UNION SELECT c_custkey FROM {_CHANGED}")
 def promote_insert_absent(t):
-    return pm.inserted_if_absent(t.customer.select("c_custkey"), _changed(t).select("c_custkey"), ["c_custkey"])
+    """A table of keys alone: known ones come again to no effect."""
+    return _promoted(t, (t.customer.select("c_custkey"), "upsert", ""), (_changed(t).select("c_custkey"), "upsert", ""))
 
 
-@query(f"SELECT * FROM customer WHERE c_mktsegment IS DISTINCT FROM 'BUILDING' UNION ALL SELECT * FROM {_CHANGED} WHERE c_mktsegment = 'BUILDING'")
+@query(f"""SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING' AND c_custkey NOT IN (SELECT c_custkey FROM {_CHANGED} WHERE c_mktsegment = 'BUILDING') UNION ALL SELECT * FROM {_CHANGED} WHERE c_mktsegment = 'BUILDING'""")
 def promote_tenant_replace(t):
-    return pm.replaced(t.customer, _changed(t).where("c_mktsegment = 'BUILDING'"), "c_mktsegment", "BUILDING")
+    """A tenant's rows anew: those of others stay, but for keys that come again."""
+    building = t.customer.where("c_mktsegment = 'BUILDING'")
+    others = t.customer.where("c_mktsegment <> 'BUILDING'")
+    return _promoted(t, (building, "replace", "BUILDING"), (others, "replace", "others"), (_changed(t).where("c_mktsegment = 'BUILDING'"), "replace", "BUILDING"))
 
 
 _MORE = "s_suppkey + 1000000 AS s_suppkey, s_name, s_nationkey, s_acctbal"
@@ -323,9 +338,11 @@ def coverage_merge(t):
     return out.select("dataset", "tenant", F.col("forward_watermark").cast(NTZ).alias("forward_watermark"), F.col("backward_watermark").cast(NTZ).alias("backward_watermark"))
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment = 'BUILDING')")
 def remaining_work(t):
-    return inc.remaining(t.customer.select("c_custkey"), t.orders.select(F.col("o_custkey").alias("c_custkey")).distinct(), ["c_custkey"])
+    """Orders, without those of a segment, which are done."""
+    done = t.orders.join(t.customer.where("c_mktsegment = 'BUILDING'"), F.col("c_custkey") == F.col("o_custkey"))
+    return inc.remaining(t.orders.select("o_orderkey"), done.select("o_orderkey"), ["o_orderkey"])
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
@@ -379,7 +396,9 @@ SELECT 'k' AS column_name, 'props.k' AS path, count(*) AS n_missing, min(event_i
 SELECT 'gone', 'props.gone.deep', count(*), min(event_id) FROM events) WHERE n_missing > 0""")
 def absent_keys(t):
     fields = (Field("id", "bigint"), Field("login", path="user.login"), Field("k", path="props.k"), Field("gone", path="props.gone.deep"), Field("line", path="line", optional=True))
-    return nm.missing_keys(_event_records(t), fields)
+    rows = nm.normalize(_event_records(t), fields, ("seq",)).select("_seq", F.explode("_absent").alias("column"))
+    paths = F.create_map(*(F.lit(x) for f in fields for x in (f.name, f.source)))
+    return rows.groupBy("column").agg(F.count("*").alias("n_missing"), F.min("_seq").alias("first_seq")).withColumn("path", F.element_at(paths, F.col("column")))
 
 
 def _order_pages(t: Tables) -> DataFrame:
@@ -417,8 +436,10 @@ def json_repack(t):
 
 @query("""SELECT c_custkey, c_mktsegment AS segment, CAST(c_nationkey AS VARCHAR) AS nation, TIMESTAMP '2024-05-01 00:00:00' AS collected_at FROM customer""")
 def entity_key_injection(t):
-    keyed = t.customer.select("c_custkey", F.to_json(F.struct(F.col("c_mktsegment").alias("s"), F.col("c_nationkey").alias("n"))).alias("entity_key"))
-    out = nm.ingest_time(nm.inject_keys(keyed, {"s": "segment", "n": "nation"}), "collected_at", datetime(2024, 5, 1)).drop("entity_key")
+    key = F.to_json(F.struct(F.col("c_mktsegment").alias("s"), F.col("c_nationkey").alias("n")))
+    pages = t.customer.select(F.lit("").alias("tenant"), key.alias("entity_key"), F.lit(1).alias("page"), F.lit(None).cast("timestamp").alias("fetched_at"), F.lit(0).alias("seq"), F.to_json(F.struct("c_custkey")).alias("body"))
+    fields = (Field("c_custkey", "bigint"), Field("segment", key="s"), Field("nation", key="n"))
+    out = nm.ingest_time(nm.normalize(explode_records(pages, None), fields, ()).drop("_absent", "_unread"), "collected_at", datetime(2024, 5, 1))
     return out.withColumn("collected_at", F.col("collected_at").cast(NTZ))
 
 

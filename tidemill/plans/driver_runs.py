@@ -9,13 +9,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.catalog import DATASETS
+from tidemill.catalog.marts import ADOPTION_TREND_SQL, INCIDENT_SUMMARY_SQL
 from tidemill.operators import promote as pm
+from tidemill.operators import quality as qa
 from tidemill.operators.tokens import tokenize
-from tidemill.plans.driver import _CHANGED, NTZ, Tables, _changed, _hmac, query
+from tidemill.plans.driver import _CHANGED, _TREND, NTZ, Tables, _changed, _hmac, _labelled, query
 from tidemill.plans.run import CheckFailed, Warehouse, run_dataset
 from tidemill.sources.checkpoints import shared_folder
-from tidemill.sources.pages import land
+from tidemill.sources.pages import BadPages, land, raw_pages, read_pages, read_raw
 from tidemill.sources.snapshots import Snapshots
+from tidemill.spec import Dataset, Field
+from tidemill.streaming.ingest import stream_dataset, take_batch
 
 AS_OF = datetime(2030, 1, 1)
 
@@ -273,3 +277,170 @@ def run_refused(t):
         said = str(error)
     failed = w.ops.runs().where("status = 'failed'").groupBy().agg(F.count("*").alias("n_failed"))
     return failed.select(F.lit(said).alias("said"), "n_failed", F.lit(w.table(pulls.name).exists()).alias("loaded"))
+
+
+# ---- streams, ledgers and what is kept -----------------------------------------------------------------------------
+
+
+def _by_state(t: Tables, state: Column | None = None) -> DataFrame:
+    """Incident pages of each order status, as a tenant's."""
+    rows = t.orders.withColumn("tenant", F.col("o_orderstatus"))
+    return _bodies(rows, _incident(F.col("o_orderstatus") if state is None else state), "result", "tenant")
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS sys_id, o_orderstatus AS state, CAST((SELECT count(DISTINCT o_orderstatus) FROM orders) AS BIGINT) AS n_streams FROM orders""")
+def stream_tenants(t):
+    """A stream for each tenant, each with its own checkpoint, into one table."""
+    w, d = _warehouse(t), DATASETS["servicenow_incidents"]
+    _land(w, d.name, _by_state(t))
+    for tenant in sorted(r[0] for r in t.orders.select("o_orderstatus").distinct().collect()):
+        stream_dataset(w, d, f"{w.root}/streams/{tenant}", AS_OF, tenant).awaitTermination()
+    table = w.table(d.name)
+    streams = sum(m.startswith("stream:") for m in table.current()["marks"])
+    return table.read().select("sys_id", "state", F.lit(streams).cast("bigint").alias("n_streams"))
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS sys_id, CASE WHEN o_orderkey % 3 = 0 THEN 'third' WHEN o_orderkey % 2 = 0 THEN 'second' ELSE 'first' END AS state FROM orders""")
+def stream_replayed(t):
+    """A batch, then a run over newer pages, then the batch again, then a new checkpoint with more: rows stay as the newest pages have them."""
+    w, d = _warehouse(t), DATASETS["servicenow_incidents"]
+    _land(w, d.name, _bodies(t.orders, _incident(F.lit("first")), "result"))
+    first = read_pages(t.spark, w.pages, d.name)
+    take_batch(w, d, first, "one", 0, AS_OF)
+    _land(w, d.name, _bodies(t.orders.where("o_orderkey % 2 = 0"), _incident(F.lit("second")), "result").withColumn("seq", F.col("seq") + 1_000_000), date(2024, 1, 2))
+    run_dataset(w, d, "forward", as_of=AS_OF, start=datetime(1990, 1, 1), end=AS_OF)
+    take_batch(w, d, first, "one", 0, AS_OF)
+    _land(w, d.name, _bodies(t.orders.where("o_orderkey % 3 = 0"), _incident(F.lit("third")), "result").withColumn("seq", F.col("seq") + 2_000_000), date(2024, 1, 3))
+    stream_dataset(w, d, f"{w.root}/streams/two", AS_OF).awaitTermination()
+    return w.table(d.name).read().select("sys_id", "state")
+
+
+@query(f"""SELECT 'forward' AS mode, CAST(count(*) AS BIGINT) AS rows_loaded, CAST(0 AS BIGINT) AS again FROM orders, {_MARK} WHERE o_orderdate >= m""")
+def run_new_pages(t):
+    """What a forward run loads of pages that its ledger doesn't have; and a second one, without any."""
+    w = _two_waves(t)
+    again = run_dataset(w, DATASETS["servicenow_incidents"], "forward", as_of=AS_OF)
+    return w.ops.runs().where("mode = 'forward' AND rows_loaded > 0").select("mode", "rows_loaded", F.lit(again.rows_loaded).cast("bigint").alias("again"))
+
+
+_DAILY = "SELECT CAST(o_orderdate AS DATE) AS report_date, o_orderpriority AS priority, {state} AS state, CAST(count(*) AS INTEGER) AS incident_count FROM orders{where} GROUP BY 1, 2, 3"
+
+
+@query(f"""WITH changed AS (SELECT *, CASE WHEN o_orderdate >= m THEN 'second' ELSE 'first' END AS st FROM orders, {_MARK} WHERE o_orderkey % 2 = 0 OR o_orderdate >= m)
+SELECT CAST(o_orderdate AS DATE) AS report_date, o_orderpriority AS priority, st AS state, CAST(count(*) AS INTEGER) AS incident_count FROM changed GROUP BY 1, 2, 3""")
+def mart_after_increment(t):
+    """The summary from the counts that two runs kept, the second of which replaced rows of the first."""
+    w = _two_waves(t)
+    run_dataset(w, DATASETS["incident_summary"], as_of=AS_OF)
+    return w.table("incident_summary").read()
+
+
+@query(_DAILY.format(state="o_orderstatus", where=""))
+def mart_as_text(t):
+    w = _incidents_run(t)
+    run_dataset(w, INCIDENT_SUMMARY_SQL, as_of=AS_OF)
+    return w.table(INCIDENT_SUMMARY_SQL.name).read()
+
+
+_SEEN = _TREND.format(who="user_id", ts="ts", table="events", as_of="2024-03-01", more="")
+
+
+def _seen(t: Tables) -> Warehouse:
+    """The moments of each user, in three increments of the table that the trend is made from."""
+    w, d = _warehouse(t), DATASETS["sonarqube_measures_history"]
+    rows = t.events.select(F.concat(F.lit("u"), "user_id").alias("project_key"), F.col("ts").cast("timestamp").alias("analysis_date"), "event_id")
+    for k in range(3):
+        pm.promote(rows.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == k), w.table(d.name), ["project_key", "analysis_date", "event_id"], "upsert", kept=d.kept)
+    return w
+
+
+def _trend(w: Warehouse, mart) -> DataFrame:
+    run_dataset(w, mart, as_of=datetime(2024, 3, 1))
+    return w.table(mart.name).read().toDF("week_start_date", "new_entities", "cumulative_entities")
+
+
+@query(_SEEN)
+def trend_after_increments(t):
+    return _trend(_seen(t), DATASETS["sonarqube_adoption_trend"])
+
+
+@query(_SEEN)
+def trend_as_text(t):
+    return _trend(_seen(t), ADOPTION_TREND_SQL)
+
+
+@query("""SELECT count(*) AS n_rows, count(*) FILTER (o_orderkey % 997 = 0) AS n_changed, true AS few_files FROM orders""")
+def upsert_by_file(t):
+    """A few keys into a table whose files are sorted by key: no more files are rewritten than there are keys."""
+    table = Snapshots(t.spark, shared_folder(t.spark))
+    table.commit(t.orders.select("o_orderkey", "o_orderstatus").repartitionByRange(40, "o_orderkey"))
+    before = {f["path"] for f in table.current()["files"]}
+    new = t.orders.where("o_orderkey % 997 = 0").select("o_orderkey", F.lit("changed").alias("o_orderstatus"))
+    done = pm.promote(new, table, ["o_orderkey"], "upsert")
+    gone = len(before - {f["path"] for f in table.current()["files"]})
+    return table.read().agg(F.count("*").alias("n_rows"), F.count_if(F.col("o_orderstatus") == "changed").alias("n_changed"), F.lit(gone <= done.rows_loaded).alias("few_files"))
+
+
+@query("""SELECT c_mktsegment AS segment, n AS n_rows FROM (SELECT c_mktsegment, count(*) AS n FROM (SELECT coalesce(CASE WHEN c.c_custkey % 3 = 0 THEN CASE WHEN c.c_custkey % 2 = 0 THEN c_mktsegment END ELSE c_mktsegment END, NULL) AS c_mktsegment FROM customer c
+UNION ALL SELECT CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END FROM customer WHERE c_custkey % 3 = 0) GROUP BY 1) WHERE c_mktsegment IS NOT NULL AND n > 1""")
+def audit_after_upsert(t):
+    """The groups of equal values of a unique set, from the counts that two upserts kept."""
+    table = Snapshots(t.spark, shared_folder(t.spark))
+    for rows in (t.customer, _changed(t)):
+        pm.promote(rows, table, ["c_custkey"], "upsert", unique=(("c_mktsegment",),))
+    return table.read_side(pm.side_name(("c_mktsegment",))).where("n > 1").select(F.col("c_mktsegment").alias("segment"), F.col("n").alias("n_rows"))
+
+
+# ---- vault, violations, raw files, guards --------------------------------------------------------------------------
+
+
+def _vault(values: list[str]) -> list[str]:
+    return [f"t-{v[::-1]}" for v in values]
+
+
+@query("""SELECT c_custkey AS id, 't-' || reverse(c_name) AS name, 't-' || reverse(c_mktsegment) AS segment, CAST((SELECT count(DISTINCT c_name) + count(DISTINCT c_mktsegment) FROM customer) AS BIGINT) AS n_known FROM customer""")
+def run_vault(t):
+    """Names and segments as a vault's tokens; two runs, of which the second asks for nothing."""
+    d = Dataset("people", (Field("id", "bigint", nullable=False), Field("name", sensitive=True), Field("segment", sensitive=True)), ("id",))
+    w = _warehouse(t, vault=_vault)
+    _land(w, d.name, _bodies(t.customer, F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")), None))
+    for _ in range(2):
+        run_dataset(w, d, as_of=AS_OF)
+    known = w.tokens.read().agg(F.count("*").alias("n_known"))
+    return w.table(d.name).read().join(known)
+
+
+@query("""SELECT doc_id, '[' || array_to_string(list_filter([CASE WHEN quality IS NULL THEN 'null:quality' END, CASE WHEN length(text) > 2000 THEN 'long:text' END, CASE WHEN length(text) > 10000 THEN 'oversized:text' END], lambda x: x IS NOT NULL), ', ') || ']' AS broken
+FROM documents LEFT JOIN labels USING (doc_id) WHERE quality IS NULL OR length(text) > 2000""")
+def violations(t):
+    """The documents that break a check, written in the pass that counts them."""
+    checks = [qa.RowCount(1), qa.NotNull(("doc_id", "quality")), qa.MaxLength({"text": 2000}), qa.Oversized()]
+    report = qa.run_checks(_labelled(t).select("doc_id", "text", "quality"), checks, f"{shared_folder(t.spark)}/violations")
+    return report.violations.select("doc_id", F.concat(F.lit("["), F.array_join("_broken", ", "), F.lit("]")).alias("broken"))
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS sys_id, o_orderstatus AS state, o_orderdate AS opened_at FROM orders""")
+def raw_files(t):
+    """Bodies as files, a folder each page, instead of a table of pages."""
+    w, d = _warehouse(t), DATASETS["servicenow_incidents"]
+    raw = f"{w.root}/raw"
+    _bodies(t.orders, _incident(F.col("o_orderstatus")), "result").select(F.col("seq").alias("page"), "body").repartition("page").write.partitionBy("page").text(raw)
+    raw_pages(read_raw(t.spark, raw), d.name, "", page_of=r"page=([0-9]+)/").write.partitionBy("dataset", "tenant", "day").parquet(w.pages)
+    run_dataset(w, d, "full", as_of=AS_OF)
+    return w.table(d.name).read().select("sys_id", "state", F.col("opened_at").cast(NTZ).alias("opened_at"))
+
+
+@query("""SELECT count(*) || ' bad pages; the first: slow down ' || min(c_custkey) AS said FROM customer WHERE c_custkey % 50 = 7""")
+def guarded_pages(t):
+    """Error envelopes among pages fail the run, with their number and the first message."""
+    w = _warehouse(t)
+    d = Dataset("nodes", (Field("id", "bigint", nullable=False),), ("id",), "rows", guarded=True)
+    error = F.to_json(F.struct(F.array(F.struct(F.concat(F.lit("slow down "), "c_custkey").alias("message"))).alias("errors")))
+    good = F.to_json(F.struct(F.array(F.struct(F.col("c_custkey").alias("id"))).alias("rows")))
+    _land(w, d.name, t.customer.select(F.col("c_custkey").cast("bigint").alias("seq"), F.when(F.col("c_custkey") % 50 == 7, error).otherwise(good).alias("body")))
+    try:
+        run_dataset(w, d, as_of=AS_OF)
+        said = "nothing"
+    except BadPages as problem:
+        said = str(problem)
+    return w.ops.runs().where("status = 'failed'").select(F.lit(said).alias("said"))

@@ -248,12 +248,11 @@ def run_dataset(
     low, high = date_window(shown, ops.marks(dataset.name, tenant), as_of, start, end)
     context = Context(run_id, mode, as_of, tenant, low, high)
     ops.register([dataset], as_of)
-    if not crashed:
-        ops.record(run_id, dataset.name, tenant, mode, "running", as_of)
+    begun = None if crashed else ops.record(run_id, dataset.name, tenant, mode, "running", as_of)
     staging = warehouse.staging(dataset.name, run_id)
 
     def ended(rows: int, warnings: tuple[str, ...], metadata: dict) -> None:
-        ops.record(run_id, dataset.name, tenant, mode, "success", as_of, rows, time.monotonic() - began, "; ".join(warnings) or None, json.dumps(metadata))
+        ops.record(run_id, dataset.name, tenant, mode, "success", as_of, rows, time.monotonic() - began, "; ".join(warnings) or None, json.dumps(metadata), begun)
         staging.drop()
 
     try:
@@ -282,7 +281,7 @@ def run_dataset(
         ended(done.rows_loaded, warnings, {"version": done.version})
         return RunResult(run_id, done.rows_loaded, warnings, True, report.violations)
     except Exception as error:
-        ops.record(run_id, dataset.name, tenant, mode, "failed", as_of, None, time.monotonic() - began, None, str(error)[:2000])
+        ops.record(run_id, dataset.name, tenant, mode, "failed", as_of, None, time.monotonic() - began, None, str(error)[:2000], begun)
         staging.drop()
         raise
 

@@ -126,8 +126,8 @@ class Snapshots:
     def holding(self, files: list[File], schema: T.StructType, keys: DataFrame, on: list[str]) -> list[File]:
         """Those of ``files`` that hold a row of ``keys``. Only the key columns are read, and within files only what the least and largest
         first key let in. What is collected is names of files, which the log has anyway."""
-        if not files or not on:
-            return []
+        if not on or len(files) < 2:
+            return files if on else []  # one file is rewritten sooner than searched
         low, high = keys.agg(F.min(on[0]), F.max(on[0])).first()
         rows = self.frame(files, schema).select(*on, F.substring_index("_metadata.file_path", "/", -1).alias("_file"))
         kind = schema[on[0]].dataType

@@ -33,7 +33,7 @@ def take_batch(warehouse: Warehouse, dataset: Dataset, pages: DataFrame, stream:
     staging = warehouse.staging(f"{dataset.name}_stream", hashlib.sha256(run_id.encode()).hexdigest())
     staging.drop()  # what an attempt before may have left
     ops.register([dataset], as_of)
-    ops.record(run_id, dataset.name, tenant, "forward", "running", as_of)
+    begun = ops.record(run_id, dataset.name, tenant, "forward", "running", as_of)
     try:
         own = of(pages, dataset.name, tenant or None)
         first = own.agg(F.min("day").alias("day"), F.count_if(F.col("day").isNull()).alias("undated")).first()
@@ -51,9 +51,9 @@ def take_batch(warehouse: Warehouse, dataset: Dataset, pages: DataFrame, stream:
             warnings += judged(dataset, staged, warehouse.violations(dataset.name, hashlib.sha256(run_id.encode()).hexdigest())).warnings
             done = finish(warehouse, dataset, staged, context, "upsert", "_tenant", Taken(own.select("day", unit_of().alias("unit")).distinct(), {mark: k}))
             loaded, warnings = done.rows_loaded, (*warnings, *done.warnings)
-        ops.record(run_id, dataset.name, tenant, "forward", "success", as_of, loaded, time.monotonic() - began, "; ".join(warnings) or None)
+        ops.record(run_id, dataset.name, tenant, "forward", "success", as_of, loaded, time.monotonic() - began, "; ".join(warnings) or None, None, begun)
     except Exception as error:
-        ops.record(run_id, dataset.name, tenant, "forward", "failed", as_of, None, time.monotonic() - began, None, str(error)[:2000])
+        ops.record(run_id, dataset.name, tenant, "forward", "failed", as_of, None, time.monotonic() - began, None, str(error)[:2000], begun)
         raise
     finally:
         staging.drop()
