@@ -18,14 +18,25 @@ def fold(doc_id: str, folds: int) -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds, F.lit(0))
 
 
+def known_labels(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int) -> DataFrame:
+    """``doc_id`` and ``label`` (0 or 1) outside the held-out fold, of documents that are there. Ids alone are read of the documents."""
+    usable = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (fold("doc_id", folds) != held_out)).select("doc_id", F.col(label).cast("int").alias("label"))
+    return usable.join(docs.select("doc_id"), "doc_id", "left_semi")
+
+
+def share_of(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int) -> float | None:
+    """The share of label 1 among all rows that may be learnt from; none without any."""
+    return known_labels(docs, labels, label, folds, held_out).agg(F.avg("label")).first()[0]
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, per_label: int) -> DataFrame:
     """``text`` and ``label`` (0 or 1) of labelled rows outside the held-out fold, at most ``per_label`` rows of each label.
 
-    The rows are those of the smallest hash of the id, whatever the partitioning. They are chosen from the labels alone, so
-    that only they are looked for in the texts; their number is bounded and so is the broadcast. Of several documents of one
-    id that with the smallest hash of its text is taken, before anything is collected. Contradicting labels of one id are
-    two rows."""
-    usable = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (fold("doc_id", folds) != held_out)).select("doc_id", F.col(label).cast("int").alias("label"))
+    The rows are those of the smallest hash of the id, whatever the partitioning, among labels that have a document. They are chosen
+    by ids alone, so that only they are looked for in the texts; their number is bounded and so is the broadcast. Of several
+    documents of one id that with the smallest hash of its text is taken, before anything is collected. Contradicting labels
+    of one id are two rows."""
+    usable = known_labels(docs, labels, label, folds, held_out)
     order = (F.xxhash64("doc_id"), "doc_id")
     chosen = usable.where("label = 0").orderBy(*order).limit(per_label).unionByName(usable.where("label = 1").orderBy(*order).limit(per_label))
     found = texts(docs).join(F.broadcast(chosen.distinct()), "doc_id")

@@ -5,7 +5,8 @@ its share of the text's n-grams times its naive Bayes log-count ratio; a logisti
 labelled rows outside the held-out fold, gives the score. Character n-grams catch the inner parts of unseen words.
 
 Defined results: null and empty texts get the score of the intercept alone, as do texts shorter than the shortest n-gram;
-without labelled rows of both labels every score is the labels' mean, or 0.5; repeated rows are scored each; other columns
+without labelled rows of both labels every score is the labels' mean, or 0.5; the threshold follows
+the share of the labels among all labelled documents; repeated rows are scored each; other columns
 are ignored; an empty table gives no rows. The whole text is scored, however long."""
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm.labelled import fitted, mean_by_text, scored, sigmoid
+from tidemill.llm.labelled import fitted, mean_by_text, scored, share_of, sigmoid
 from tidemill.llm.tables import read_table
 from tidemill.llm.wordhash import LOWER, blocks, mix
 
@@ -60,12 +61,26 @@ class Model:
         return sigmoid(total)
 
 
-def fit(texts: pa.Array, labels: np.ndarray, orders: tuple[int, ...] = ORDERS, bits: int = BITS, rounds: int = 24, penalty: float = 1e-4) -> Model:
-    """Log-count ratios of the sample, then logistic regression on the scaled shares by accelerated gradient steps."""
-    size = len(orders) << bits
-    if not len(labels) or labels.min() == labels.max():
-        mean = min(max(labels.mean(), 0.01), 0.99) if len(labels) else 0.5
-        return Model(orders, bits, np.zeros((len(orders), 1 << bits), np.float32), float(np.log(mean / (1 - mean))))
+@dataclass(frozen=True)
+class Sample:
+    """The features of a training sample: for each text (``row``) its n-grams (``column``) and their shares."""
+
+    column: np.ndarray
+    share: np.ndarray
+    row: np.ndarray
+    labels: np.ndarray
+    size: int
+
+    def of(self, rows: np.ndarray) -> Sample:
+        """Those of some texts, which are numbered anew."""
+        inside = rows[self.row]
+        return Sample(self.column[inside], self.share[inside], (np.cumsum(rows) - 1)[self.row[inside]], self.labels[rows], self.size)
+
+    def logits(self, weights: np.ndarray, intercept: float) -> np.ndarray:
+        return np.bincount(self.row, self.share * weights[self.column], minlength=len(self.labels)) + intercept
+
+
+def features(texts: pa.Array, labels: np.ndarray, orders: tuple[int, ...], bits: int) -> Sample:
     columns, shares, sizes = [], [], []
     for _, raw, offsets in blocks(texts, 1):
         found, share = [np.zeros(0, np.int32)], [np.zeros(0, np.float32)]
@@ -76,43 +91,71 @@ def fit(texts: pa.Array, labels: np.ndarray, orders: tuple[int, ...] = ORDERS, b
         columns += found
         shares += share
         sizes.append(sum(map(len, found)))
-    column, share, row = np.concatenate(columns), np.concatenate(shares), np.repeat(np.arange(len(sizes)), sizes)
-    ratio = np.zeros(size)
+    return Sample(np.concatenate(columns), np.concatenate(shares), np.repeat(np.arange(len(sizes)), sizes), labels, len(orders) << bits)
+
+
+def trained(x: Sample, rounds: int, penalty: float) -> tuple[np.ndarray, float]:
+    """Weights of the shares and the intercept: log-count ratios of the sample, then logistic regression on the scaled shares by accelerated
+    gradient steps, both labels weighing the same."""
+    ratio = np.zeros(x.size)
     for label, sign in ((1, 1), (0, -1)):
-        held = 1 + np.bincount(column[labels[row] == label], minlength=size)
+        held = 1 + np.bincount(x.column[x.labels[x.row] == label], minlength=x.size)
         ratio += sign * np.log(held / held.sum())
-    value = share * ratio[column].astype(np.float32)
-    value /= np.sqrt(np.bincount(row, value.astype(np.float64) ** 2, minlength=len(sizes)).mean())
-    weight_of = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean())) / len(labels)
-    w = last = np.zeros(size)
+    value = x.share * ratio[x.column].astype(np.float32)
+    scale = np.sqrt(np.bincount(x.row, value.astype(np.float64) ** 2, minlength=len(x.labels)).mean())
+    value /= scale
+    weight_of = np.where(x.labels == 1, 0.5 / x.labels.mean(), 0.5 / (1 - x.labels.mean())) / len(x.labels)
+    w = last = np.zeros(x.size)
     b = last_b = 0.0
     step = 4.0
     for k in range(rounds):
         ahead = k / (k + 3)
         at, at_b = w + ahead * (w - last), b + ahead * (b - last_b)
-        error = (sigmoid(np.bincount(row, value * at[column], minlength=len(sizes)) + at_b) - labels) * weight_of
+        error = (sigmoid(np.bincount(x.row, value * at[x.column], minlength=len(x.labels)) + at_b) - x.labels) * weight_of
         last, last_b = w, b
-        w = at - step * (np.bincount(column, value * error[row], minlength=size) + penalty * at)
+        w = at - step * (np.bincount(x.column, value * error[x.row], minlength=x.size) + penalty * at)
         b = at_b - step * error.sum()
-    slope, shift = calibrated(np.bincount(row, value * w[column], minlength=len(sizes)) + b, labels, weight_of)
-    scale = np.sqrt(np.bincount(row, (share * ratio[column]).astype(np.float64) ** 2, minlength=len(sizes)).mean())
-    return Model(orders, bits, (w * ratio * (slope / scale)).reshape(len(orders), -1).astype(np.float32), float(b * slope + shift))
+    return w * ratio / scale, b
 
 
-def calibrated(logits: np.ndarray, labels: np.ndarray, weight_of: np.ndarray, rounds: int = 30) -> tuple[float, float]:
-    """Slope and shift of a logistic curve through the sample's logits; the small penalty bounds the slope when they part the labels."""
-    x = np.stack([logits, np.ones_like(logits)])
+def fit(texts: pa.Array, labels: np.ndarray, share: float | None = None, orders: tuple[int, ...] = ORDERS, bits: int = BITS, rounds: int = 24, penalty: float = 1e-4, parts: int = 3) -> Model:
+    """The model of the whole sample, its logits put through a curve that is fitted to what models of the other parts say of each part. ``share``:
+    how many of all labelled texts have label 1 (default: as in the sample), so that 0.5 is where that label becomes likelier."""
+    share = float(labels.mean()) if share is None and len(labels) else share
+    if not len(labels) or labels.min() == labels.max():
+        mean = min(max(share, 0.01), 0.99) if len(labels) else 0.5
+        return Model(orders, bits, np.zeros((len(orders), 1 << bits), np.float32), float(np.log(mean / (1 - mean))))
+    x = features(texts, labels, orders, bits)
+    part = np.zeros(len(labels), np.int64)
+    for label in (0, 1):
+        part[labels == label] = np.arange((labels == label).sum()) % parts
+    w, b = trained(x, rounds, penalty)
+    said = x.logits(w, b)
+    if min((labels == 0).sum(), (labels == 1).sum()) >= parts:
+        for k in range(parts):
+            own = part == k
+            said[own] = x.of(own).logits(*trained(x.of(~own), rounds, penalty))
+    slope, shift = calibrated(said, labels, np.where(labels == 1, share / labels.mean(), (1 - share) / (1 - labels.mean())) / len(labels))
+    return Model(orders, bits, (w * slope).reshape(len(orders), -1).astype(np.float32), float(b * slope + shift))
+
+
+def calibrated(logits: np.ndarray, labels: np.ndarray, weight_of: np.ndarray, rounds: int = 40) -> tuple[float, float]:
+    """Slope and shift of a logistic curve through the logits; the small penalty bounds the slope when they part the labels."""
+    scale = max(1e-9, float(logits.std()))
+    x = np.stack([logits / scale, np.ones_like(logits)])
     theta = np.array([1.0, 0.0])
     for _ in range(rounds):
         p = sigmoid(theta @ x)
         curve = (x * (weight_of * p * (1 - p))) @ x.T + np.diag([1e-4, 1e-6])
-        theta -= np.linalg.solve(curve, x @ (weight_of * (p - labels)) + np.array([1e-4, 1e-6]) * theta)
-    return max(1.0, float(theta[0])), float(theta[1])
+        step = np.linalg.solve(curve, x @ (weight_of * (p - labels)) + np.array([1e-4, 1e-6]) * theta)
+        theta -= step / max(1.0, float(np.abs(step).max()))
+    return max(0.01, float(theta[0])) / scale, float(theta[1])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_ROWS_PER_LABEL) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted``. The model is a table of bounded size, broadcast to the tasks."""
-    model = fitted(docs, labels, "toxic", FOLDS, HELD_OUT, per_label, fit)
+    share = share_of(docs, labels, "toxic", FOLDS, HELD_OUT)
+    model = fitted(docs, labels, "toxic", FOLDS, HELD_OUT, per_label, lambda texts, known: fit(texts, known, share))
     return scored(docs, model, FOLDS, HELD_OUT, 0.5)
 
 
