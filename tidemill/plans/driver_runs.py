@@ -323,6 +323,19 @@ def run_new_pages(t):
     return w.ops.runs().where("mode = 'forward' AND rows_loaded > 0").select("mode", "rows_loaded", F.lit(again.rows_loaded).cast("bigint").alias("again"))
 
 
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS sys_id, CAST(0 AS BIGINT) AS n_later FROM orders WHERE o_orderkey % 10 < 3
+UNION ALL SELECT 'later', CAST(count(*) AS BIGINT) FROM orders WHERE o_orderkey % 10 >= 3""")
+def run_max_pages(t):
+    """A trial of the first three pages; a forward run then takes the others, which the ledger doesn't have."""
+    w, d = _warehouse(t), DATASETS["servicenow_incidents"]
+    rows = t.orders.withColumn("page", (F.col("o_orderkey") % 10 + 1).cast("int")).withColumn("o_orderdate", F.lit(datetime(2024, 1, 1)))
+    _land(w, d.name, _bodies(rows, _incident(F.col("o_orderstatus")), "result", "page"))
+    run_dataset(w, d, "full", as_of=AS_OF, max_pages=3)
+    first = w.table(d.name).read().select("sys_id", F.lit(0).cast("bigint").alias("n_later"))
+    later = run_dataset(w, d, "forward", as_of=AS_OF)
+    return first.unionByName(first.sparkSession.createDataFrame([("later", later.rows_loaded)], "sys_id string, n_later bigint"))
+
+
 _DAILY = "SELECT CAST(o_orderdate AS DATE) AS report_date, o_orderpriority AS priority, {state} AS state, CAST(count(*) AS INTEGER) AS incident_count FROM orders{where} GROUP BY 1, 2, 3"
 
 
