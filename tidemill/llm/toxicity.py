@@ -71,11 +71,6 @@ class Sample:
     labels: np.ndarray
     size: int
 
-    def of(self, rows: np.ndarray) -> Sample:
-        """Those of some texts, which are numbered anew."""
-        inside = rows[self.row]
-        return Sample(self.column[inside], self.share[inside], (np.cumsum(rows) - 1)[self.row[inside]], self.labels[rows], self.size)
-
     def logits(self, weights: np.ndarray, intercept: float) -> np.ndarray:
         return np.bincount(self.row, self.share * weights[self.column], minlength=len(self.labels)) + intercept
 
@@ -94,17 +89,18 @@ def features(texts: pa.Array, labels: np.ndarray, orders: tuple[int, ...], bits:
     return Sample(np.concatenate(columns), np.concatenate(shares), np.repeat(np.arange(len(sizes)), sizes), labels, len(orders) << bits)
 
 
-def trained(x: Sample, rounds: int, penalty: float) -> tuple[np.ndarray, float]:
-    """Weights of the shares and the intercept: log-count ratios of the sample, then logistic regression on the scaled shares by accelerated
-    gradient steps, both labels weighing the same."""
+def trained(x: Sample, used: np.ndarray, rounds: int, penalty: float) -> tuple[np.ndarray, float]:
+    """Weights of the shares and the intercept: log-count ratios of the texts that are used, then logistic regression on the scaled shares by
+    accelerated gradient steps, both labels weighing the same. The others weigh nothing; nothing is copied."""
     ratio = np.zeros(x.size)
     for label, sign in ((1, 1), (0, -1)):
-        held = 1 + np.bincount(x.column[x.labels[x.row] == label], minlength=x.size)
+        held = 1 + np.bincount(x.column[((x.labels == label) & used)[x.row]], minlength=x.size)
         ratio += sign * np.log(held / held.sum())
     value = x.share * ratio[x.column].astype(np.float32)
-    scale = np.sqrt(np.bincount(x.row, value.astype(np.float64) ** 2, minlength=len(x.labels)).mean())
+    scale = np.sqrt(np.bincount(x.row, value.astype(np.float64) ** 2, minlength=len(x.labels))[used].mean())
     value /= scale
-    weight_of = np.where(x.labels == 1, 0.5 / x.labels.mean(), 0.5 / (1 - x.labels.mean())) / len(x.labels)
+    ones = x.labels[used].mean()
+    weight_of = np.where(used, np.where(x.labels == 1, 0.5 / ones, 0.5 / (1 - ones)), 0.0) / used.sum()
     w = last = np.zeros(x.size)
     b = last_b = 0.0
     step = 4.0
@@ -129,12 +125,12 @@ def fit(texts: pa.Array, labels: np.ndarray, share: float | None = None, orders:
     part = np.zeros(len(labels), np.int64)
     for label in (0, 1):
         part[labels == label] = np.arange((labels == label).sum()) % parts
-    w, b = trained(x, rounds, penalty)
+    w, b = trained(x, np.ones(len(labels), bool), rounds, penalty)
     said = x.logits(w, b)
     if min((labels == 0).sum(), (labels == 1).sum()) >= parts:
         for k in range(parts):
             own = part == k
-            said[own] = x.of(own).logits(*trained(x.of(~own), rounds, penalty))
+            said[own] = x.logits(*trained(x, ~own, rounds, penalty))[own]
     slope, shift = calibrated(said, labels, np.where(labels == 1, share / labels.mean(), (1 - share) / (1 - labels.mean())) / len(labels))
     return Model(orders, bits, (w * slope).reshape(len(orders), -1).astype(np.float32), float(b * slope + shift))
 
