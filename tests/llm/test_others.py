@@ -384,6 +384,78 @@ def test_the_threshold_follows_the_share_of_labels():
     assert rare.intercept < even.intercept and toxicity.fit(sample, known).intercept == pytest.approx(even.intercept)
 
 
+@pytest.mark.parametrize("module", [toxicity, quality])
+def test_empty_texts_keep_the_labels_in_place(module):
+    """Empty and one-letter texts among the sample: each label stays with its text, so that the model tells the marked texts."""
+    import pyarrow as pa
+    from samples import prose
+
+    texts = ["", "", "a", ""] + [prose(k, 60) + " zoxzox" * (6 * (k % 2)) for k in range(60)] + ["", "", "b"]
+    known = np.array([0, 1, 0, 1] + [k % 2 for k in range(60)] + [1, 0, 1], float)
+    model = module.fit(pa.array(texts, pa.large_string()), known)
+    scores = np.array([model(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[0] for t in texts[4:64]])
+    assert scores[1::2].min() > scores[::2].max()
+
+
+def test_toxicity_in_pieces(monkeypatch):
+    """Texts cut into small pieces, and features kept in small parts, give the model and the scores of whole ones."""
+    import pyarrow as pa
+    from samples import prose
+
+    texts = [prose(k, 40 + 9 * k) + ("" if k % 2 else " zoxzox é日本語😀 ") * (k % 5) for k in range(60)] + ["", "a", "ab", "éé", "日本"]
+    sample, known = pa.array(texts, pa.large_string()), np.array([k % 2 for k in range(65)], float)
+
+    def scores(model):
+        return np.concatenate([model(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())])) for t in texts])
+
+    whole = toxicity.fit(sample, known, 0.2, bits=12)
+    before = scores(whole)
+    for size in (1, 7, 50):
+        monkeypatch.setattr(toxicity, "PIECE_BYTES", size)
+        monkeypatch.setattr(toxicity, "PART_FEATURES", 3 * size)
+        assert np.allclose(scores(whole), before, atol=1e-9)
+        again = toxicity.fit(sample, known, 0.2, bits=12)
+        assert np.allclose(again.weights, whole.weights, rtol=1e-4, atol=1e-5) and again.intercept == pytest.approx(whole.intercept, rel=1e-5)
+
+
+def test_toxicity_training_against_whole_matrices():
+    """Log-count ratios and the accelerated gradient steps, as matrix products over the texts in use alone."""
+    import pyarrow as pa
+    from samples import prose
+
+    texts = [prose(k, 30) + " zoxzox" * (k % 2) for k in range(50)] + ["", "x"]
+    known = np.array([k % 3 == 1 or k % 2 for k in range(52)], float)
+    used = np.arange(52) % 4 != 1
+    x = toxicity.features(pa.array(texts, pa.large_string()), known, (3, 4), 8)
+    dense = np.zeros((52, 2 << 8))
+    for i, t in enumerate(texts):
+        values = [plain.mix(ord(c) + 1) for c in t.translate(plain.LOWER)]
+        for k, n in enumerate((3, 4)):
+            grams = []
+            for j in range(len(values) - n + 1):
+                h = 0
+                for v in values[j : j + n]:
+                    h = (h * 0x9E3779B97F4A7C15 + v) & plain.M
+                grams.append(((h ^ h >> 31) * 0xD6E8FEB86659FD93 & plain.M) >> 56)
+            for g in grams:
+                dense[i, (k << 8) + g] += 1 / len(grams)
+    a, y = dense[used], known[used]
+    held = [1 + (a[y == c] > 0).sum(axis=0) for c in (0, 1)]
+    ratio = np.log(held[1] / held[1].sum()) - np.log(held[0] / held[0].sum())
+    a = a * ratio
+    scale = np.sqrt((a**2).sum(axis=1).mean())
+    a /= scale
+    share = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / len(y)
+    w = last = np.zeros(a.shape[1])
+    b = last_b = 0.0
+    for k in range(10):
+        at, at_b = w + k / (k + 3) * (w - last), b + k / (k + 3) * (b - last_b)
+        error = (1 / (1 + np.exp(-(a @ at + at_b))) - y) * share
+        last, last_b, w, b = w, b, at - 4.0 * (a.T @ error + 1e-4 * at), at_b - 4.0 * error.sum()
+    got, got_b = toxicity.trained(x, used, 10, 1e-4)
+    assert np.allclose(got, w * ratio / scale, rtol=1e-4, atol=1e-5) and got_b == pytest.approx(b, rel=1e-5)
+
+
 @pytest.mark.parametrize(("module", "label", "folds", "held", "plainly"), [(toxicity, "toxic", 5, 0, lambda m, t: plain.toxicity_score(m, t)), (quality, "quality", 4, 2, lambda m, t: plain.quality_score(m, t, quality.SCALE))])
 def test_scores_of_odd_texts(spark, docs, unnamed, module, label, folds, held, plainly):
     """Each score against plain Python: null, empty, blank, short and very long texts, repeated rows, rows without an id."""

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.labelled import fitted, mean_by_text, scored, sigmoid
 from tidemill.llm.tables import read_table
-from tidemill.llm.wordhash import blocks, joined, word_hashes
+from tidemill.llm.wordhash import blocks, each, joined, word_hashes
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.7
 #: The bound of the training sample: at most so many labelled rows of each label.
@@ -77,9 +77,9 @@ def fit(texts: pa.Array, labels: np.ndarray, bits: int = BITS, passes: int = 4,
         mean = min(max(labels.mean(), 0.01), 0.99) if len(labels) else 0.5
         return Model(bits, np.zeros((2, 1 << bits), np.float32), float(np.log(mean / (1 - mean))))
     rows = []
-    for _, raw, offsets in blocks(texts, 1):
+    for raw in each(texts):
         columns, values = [np.array([2 << bits])], [np.ones(1)]  # the intercept is the last feature
-        for k, (h, _) in enumerate(features(raw, offsets, bits) if len(raw) else ()):
+        for k, (h, _) in enumerate(features(raw, np.array([0, len(raw)]), bits) if len(raw) else ()):
             found, counts = np.unique(h, return_counts=True)
             columns.append(found + (k << bits))
             values.append(SCALE * counts / max(1, len(h)))

@@ -11,6 +11,7 @@ are ignored; an empty table gives no rows. The whole text is scored, however lon
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,13 +20,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.llm.labelled import fitted, mean_by_text, scored, share_of, sigmoid
 from tidemill.llm.tables import read_table
-from tidemill.llm.wordhash import LOWER, blocks, mix
+from tidemill.llm.wordhash import LOWER, each, mix
 
 FOLDS, HELD_OUT = 5, 0
 #: The bound of the training sample: at most so many labelled rows of each label.
 TRAIN_ROWS_PER_LABEL = 1000
 ORDERS = (3, 4, 5, 6)
 BITS = 18
+#: A longer text goes in pieces of so many bytes; features are kept in parts of about so many. Neither changes a result.
+PIECE_BYTES, PART_FEATURES = 1 << 20, 1 << 20
 
 
 def ngrams(raw: np.ndarray, offsets: np.ndarray, orders: tuple[int, ...], bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -46,6 +49,37 @@ def ngrams(raw: np.ndarray, offsets: np.ndarray, orders: tuple[int, ...], bits:
     return out
 
 
+def pieces(raw: np.ndarray, most: int, reach: int) -> Iterator[tuple[np.ndarray, int]]:
+    """One text's bytes in pieces of about ``most``, cut between code points: each with the ``reach`` code points after it, and how many
+    code points are its own. The n-grams that start at these, of all pieces, are those of the text."""
+    at = 0
+    while at < len(raw):
+        end = min(len(raw), at + most)
+        while end < len(raw) and raw[end] & 0xC0 == 0x80:
+            end += 1
+        after = raw[end : end + 4 * (reach + 1)]
+        starts = np.flatnonzero((after & 0xC0) != 0x80)
+        yield raw[at : end + (int(starts[reach]) if len(starts) > reach else len(after))], int(((raw[at:end] & 0xC0) != 0x80).sum())
+        at = end
+
+
+def of_one_text(raw: np.ndarray, orders: tuple[int, ...], bits: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The hashed n-grams of one text, piece by piece, and the place of their order among ``orders``."""
+    for piece, own in pieces(raw, PIECE_BYTES, max(orders) - 1):
+        for k, (h, _) in enumerate(ngrams(piece, np.array([0, len(piece)]), orders, bits)):
+            yield k, h[:own]
+
+
+def counted(raw: np.ndarray, orders: tuple[int, ...], bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each order, the different hashed n-grams of one text and how often each is there."""
+    if 0 < len(raw) <= PIECE_BYTES:
+        return [np.unique(h, return_counts=True) for k, h in of_one_text(raw, orders, bits)]
+    tables = np.zeros((len(orders), 1 << bits), np.int64)
+    for k, h in of_one_text(raw, orders, bits):
+        tables[k] += np.bincount(h, minlength=1 << bits)
+    return [(keys := np.flatnonzero(t), t[keys]) for t in tables]
+
+
 @dataclass(frozen=True)
 class Model:
     orders: tuple[int, ...]
@@ -55,50 +89,87 @@ class Model:
 
     def __call__(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         total = np.full(len(offsets) - 1, self.intercept)
-        if len(raw):
+        if len(raw) > PIECE_BYTES and len(total) == 1:
+            sums, counts = np.zeros(len(self.orders)), np.zeros(len(self.orders))
+            for k, h in of_one_text(raw, self.orders, self.bits):
+                sums[k] += self.weights[k][h].sum(dtype=np.float64)
+                counts[k] += len(h)
+            total += (sums / np.maximum(1, counts)).sum()
+        elif len(raw):
             for w, (h, firsts) in zip(self.weights, ngrams(raw, offsets, self.orders, self.bits), strict=True):
                 total += mean_by_text(w[h], firsts)
         return sigmoid(total)
 
 
 @dataclass(frozen=True)
-class Sample:
-    """The features of a training sample: for each text (``row``) its n-grams (``column``) and their shares."""
+class Part:
+    """The features of some texts of a sample, from number ``first`` on: their n-grams (``column``), shares and numbers of them."""
 
+    first: int
     column: np.ndarray
     share: np.ndarray
-    row: np.ndarray
+    sizes: np.ndarray
+
+    @property
+    def rows(self) -> slice:
+        return slice(self.first, self.first + len(self.sizes))
+
+    def by_text(self, values: np.ndarray) -> np.ndarray:
+        total, some = np.zeros(len(self.sizes)), self.sizes > 0
+        if some.any():
+            total[some] = np.add.reduceat(values, (np.cumsum(self.sizes) - self.sizes)[some])
+        return total
+
+    def spread(self, of_text: np.ndarray) -> np.ndarray:
+        return np.repeat(of_text, self.sizes)
+
+
+@dataclass(frozen=True)
+class Sample:
+    """The features of a training sample: eight bytes each, in parts, so that a pass over them needs little besides."""
+
+    parts: list[Part]
     labels: np.ndarray
     size: int
 
     def logits(self, weights: np.ndarray, intercept: float) -> np.ndarray:
-        return np.bincount(self.row, self.share * weights[self.column], minlength=len(self.labels)) + intercept
+        return np.concatenate([p.by_text(p.share * weights[p.column]) for p in self.parts]) + intercept
 
 
 def features(texts: pa.Array, labels: np.ndarray, orders: tuple[int, ...], bits: int) -> Sample:
-    columns, shares, sizes = [], [], []
-    for _, raw, offsets in blocks(texts, 1):
-        found, share = [np.zeros(0, np.int32)], [np.zeros(0, np.float32)]
-        for k, (h, _) in enumerate(ngrams(raw, offsets, orders, bits) if len(raw) else ()):
-            keys, counts = np.unique(h, return_counts=True)
-            found.append((keys + (k << bits)).astype(np.int32))
-            share.append((counts / max(1, len(h))).astype(np.float32))
-        columns += found
-        shares += share
-        sizes.append(sum(map(len, found)))
-    return Sample(np.concatenate(columns), np.concatenate(shares), np.repeat(np.arange(len(sizes)), sizes), labels, len(orders) << bits)
+    made, columns, shares, sizes = [], [], [], []
+
+    def close() -> None:
+        if sizes:
+            first = made[-1].rows.stop if made else 0
+            made.append(Part(first, np.concatenate([np.zeros(0, np.int32), *columns]), np.concatenate([np.zeros(0, np.float32), *shares]), np.array(sizes)))
+            for held in (columns, shares, sizes):
+                held.clear()
+
+    for raw in each(texts):
+        size = 0
+        for k, (keys, counts) in enumerate(counted(raw, orders, bits)):
+            columns.append((keys + (k << bits)).astype(np.int32))
+            shares.append((counts / max(1, counts.sum())).astype(np.float32))
+            size += len(keys)
+        sizes.append(size)
+        if sum(sizes) > PART_FEATURES:
+            close()
+    close()
+    return Sample(made, labels, len(orders) << bits)
 
 
 def trained(x: Sample, used: np.ndarray, rounds: int, penalty: float) -> tuple[np.ndarray, float]:
     """Weights of the shares and the intercept: log-count ratios of the texts that are used, then logistic regression on the scaled shares by
-    accelerated gradient steps, both labels weighing the same. The others weigh nothing; nothing is copied."""
+    accelerated gradient steps, both labels weighing the same. The others weigh nothing."""
     ratio = np.zeros(x.size)
     for label, sign in ((1, 1), (0, -1)):
-        held = 1 + np.bincount(x.column[((x.labels == label) & used)[x.row]], minlength=x.size)
+        held, chosen = np.ones(x.size), (x.labels == label) & used
+        for p in x.parts:
+            held += np.bincount(p.column[p.spread(chosen[p.rows])], minlength=x.size)
         ratio += sign * np.log(held / held.sum())
-    value = x.share * ratio[x.column].astype(np.float32)
-    scale = np.sqrt(np.bincount(x.row, value.astype(np.float64) ** 2, minlength=len(x.labels))[used].mean())
-    value /= scale
+    squares = np.concatenate([p.by_text((p.share * ratio[p.column]) ** 2) for p in x.parts])
+    ratio /= np.sqrt(squares[used].mean()) or 1.0
     ones = x.labels[used].mean()
     weight_of = np.where(used, np.where(x.labels == 1, 0.5 / ones, 0.5 / (1 - ones)), 0.0) / used.sum()
     w = last = np.zeros(x.size)
@@ -107,11 +178,16 @@ def trained(x: Sample, used: np.ndarray, rounds: int, penalty: float) -> tuple[n
     for k in range(rounds):
         ahead = k / (k + 3)
         at, at_b = w + ahead * (w - last), b + ahead * (b - last_b)
-        error = (sigmoid(np.bincount(x.row, value * at[x.column], minlength=len(x.labels)) + at_b) - x.labels) * weight_of
+        scaled, slope, error_sum = ratio * at, np.zeros(x.size), 0.0
+        for p in x.parts:
+            column = p.column.astype(np.int64)  # what numpy looks up fastest
+            error = (sigmoid(p.by_text(p.share * scaled.take(column)) + at_b) - x.labels[p.rows]) * weight_of[p.rows]
+            slope += np.bincount(column, p.share * p.spread(error), minlength=x.size)
+            error_sum += error.sum()
         last, last_b = w, b
-        w = at - step * (np.bincount(x.column, value * error[x.row], minlength=x.size) + penalty * at)
-        b = at_b - step * error.sum()
-    return w * ratio / scale, b
+        w = at - step * (ratio * slope + penalty * at)
+        b = at_b - step * error_sum
+    return w * ratio, b
 
 
 def fit(texts: pa.Array, labels: np.ndarray, share: float | None = None, orders: tuple[int, ...] = ORDERS, bits: int = BITS, rounds: int = 24, penalty: float = 1e-4, parts: int = 3) -> Model:

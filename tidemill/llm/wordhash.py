@@ -58,6 +58,13 @@ def blocks(column: pa.Array, most: int = 1 << 18) -> Iterator[tuple[int, np.ndar
         first = last
 
 
+def each(column: pa.Array) -> Iterator[np.ndarray]:
+    """The bytes of each text of a column, empty ones too."""
+    for _, raw, offsets in blocks(column):
+        for k in range(len(offsets) - 1):
+            yield raw[offsets[k] : offsets[k + 1]]
+
+
 def words(raw: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of word bytes (``is_word``: by byte), never across texts, and
     the number of the first word of each text (one more than texts)."""
