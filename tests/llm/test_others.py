@@ -1,9 +1,11 @@
 """The other operators, against plain Python, the tokenizers' libraries and labels held out."""
 
 import hashlib
+import json
 import random
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import plain
@@ -68,6 +70,23 @@ def test_best_fit_plan(lengths):
     assert sorted(30 - sum(n for _, n in p) for p in used.values()) == sorted(rooms)
 
 
+@pytest.mark.parametrize(
+    ("part", "change"),
+    [("pre_tokenizer", None), ("pre_tokenizer", {"add_prefix_space": True}), ("pre_tokenizer", {"use_regex": False}), ("normalizer", {"type": "Lowercase"}), ("normalizer", {"type": "NFD"}), ("model", {"ignore_merges": True})],
+)
+def test_packing_by_a_file_that_cuts_otherwise(tmp_path, part, change):
+    """Such a file's ids come from its own library, whatever the pattern would give."""
+    from tokenizers import Tokenizer
+
+    told = json.loads(Path(RANKS).read_text(encoding="utf-8"))
+    told[part] = change and {**(told[part] or {}), **change}
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(told), encoding="utf-8")
+    text = "Say it isn't so:  Über-Maß, 12 apples\n\nÉtude"
+    assert packing.splits_as_pattern(RANKS) and not packing.splits_as_pattern(str(other))
+    assert packing.token_ids(text, str(other)) == Tokenizer.from_file(str(other)).encode(text, add_special_tokens=False).ids
+
+
 def test_packing(docs, none, texts, monkeypatch):
     monkeypatch.setattr(packing, "LEAST_ROWS", 3)
     from tokenizers import Tokenizer
@@ -212,6 +231,7 @@ def test_substring_dedup(spark, docs, none, texts, monkeypatch, crowded, in_pack
     monkeypatch.setattr(substring_dedup, "CROWDED_IN_PACK", in_pack)
     monkeypatch.setattr(substring_dedup, "CHUNK", 1000 if in_pack == 3 else 1 << 24)
     monkeypatch.setattr(substring_dedup, "FLUSH", 400)
+    monkeypatch.setattr(substring_dedup, "IN_BUCKET", 1)
     passage, rep = prose(77, 40), "abcdefg " * 60
     more = [(500 + i, prose(200 + i, i % 9) + passage[i % 7 :] + prose(300 + i, 10)) for i in range(25)] + [(600, rep), (601, rep[3:] + "q"), (602, "é" * 40), (603, "é" * 25 + "z"), (604, "x" * 49), (605, "zz" + "é" * 30)]
     both = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
@@ -259,6 +279,7 @@ def brute_groups(texts, least=0.75):
 def test_near_documents_of_the_tables(spark, monkeypatch, bucket):
     """Of all near pairs, found by comparing all fingerprints, at least nine in ten are in one group; and groups hold near ones only."""
     monkeypatch.setattr(edit_embedding, "BUCKET", bucket)
+    monkeypatch.setattr(edit_embedding, "CROSS", 4 if bucket == 8 else 4_096)
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id < 4000")
     got = {r["doc_id"]: r["near_id"] for r in edit_embedding.near_documents(docs).collect()}
     texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
@@ -285,6 +306,43 @@ def test_near_documents_of_the_tables(spark, monkeypatch, bucket):
     assert all(len(roots) == 1 for roots in by_group.values())
 
 
+@pytest.mark.parametrize(("bucket", "cross", "dealt"), [(50_000, 4_096, 4_000_000), (6, 4, 100)])
+def test_near_documents_of_planted_edits(spark, monkeypatch, bucket, cross, dealt):
+    """Of hundreds of edited texts at least nine in ten near pairs are in one group, also where all buckets are cut."""
+    for name, value in (("BUCKET", bucket), ("CROSS", cross), ("DEALT", dealt)):
+        monkeypatch.setattr(edit_embedding, name, value)
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id < 3000 AND length(text) BETWEEN 400 AND 3000").orderBy("doc_id").limit(500).collect()
+    r, texts = np.random.default_rng(11), {}
+    for row in rows:
+        t = row["text"]
+        texts[2 * row["doc_id"]] = t
+        for _ in range(3):
+            at, size = int(r.integers(0, len(t))), int(r.integers(1, 8))
+            t = t[:at] + "".join(chr(97 + c) for c in r.integers(0, 26, int(r.integers(0, 8)))) + t[at + size :]
+        texts[2 * row["doc_id"] + 1] = t
+    got = {x["doc_id"]: x["near_id"] for x in edit_embedding.near_documents(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    of = {edit_embedding.fingerprint(t): got[i] for i, t in texts.items()}
+    pairs = brute_groups(texts.values())
+    assert len(pairs) >= 200 and sum(of[a] == of[b] for a, b in pairs) >= 0.9 * len(pairs)
+
+
+def test_the_first_near_one_by_brute_force():
+    r = np.random.default_rng(5)
+    among = r.integers(0, 1 << 63, (30, 4), np.uint64)
+    prints = among[r.integers(0, 30, 200)] ^ np.where(r.random((200, 4)) < 0.85, r.integers(0, 1 << 10, (200, 4), np.uint64), r.integers(0, 1 << 63, (200, 4), np.uint64))
+    want = [next((k for k, a in enumerate(among) if 1 - 2 * sum(int(x).bit_count() for x in a ^ p) / 256 >= 0.75), -1) for p in prints]
+    assert edit_embedding.first_near(prints, among, 0.75).tolist() == want and {-1} < set(want)
+    assert edit_embedding.first_near(prints[:0], among, 0.75).tolist() == [] and set(edit_embedding.first_near(prints, among[:0], 0.75)) == {-1}
+
+
+def test_buckets_follow_the_texts(spark, docs, none):
+    from tidemill.llm.tables import buckets_for, partitions
+
+    least, whole = partitions(spark), sum(len((r["text"] or "").encode()) for r in docs.collect())
+    assert buckets_for(docs, 1 << 40) == buckets_for(none, 1) == least
+    assert buckets_for(docs, 100) == -(-whole // 100) > least
+
+
 def test_near_documents_of_odd_rows(spark, docs, none, unnamed):
     rows = edit_embedding.near_documents(docs.select("doc_id", "text").unionByName(unnamed.select("doc_id", "text"))).collect()
     assert len(rows) == docs.count() + 2

@@ -234,8 +234,11 @@ def near_pairs(prints: DataFrame, least: float = 0.75, bands: int = 32, band_bit
 #: In ``near_documents`` a band has so many bits that a bucket holds about this many unrelated fingerprints, whatever the corpus,
 #: and there are so many bands that this share of the pairs at the limit of likeness meets in one.
 UNRELATED, RECALL = 32, 0.97
-#: A bucket of more fingerprints than this is cut into parts, whose leaders meet in a second round.
-BUCKET = 50_000
+#: A bucket of more fingerprints than this is cut into parts, whose leaders meet in a second round, two parts of about ``CROSS`` in a
+#: cell, so that no task has a whole bucket.
+BUCKET, CROSS = 50_000, 4_096
+#: Bands of fingerprints that one task is dealt, at most, however few partitions the session has.
+DEALT = 4_000_000
 
 
 def bands_for(classes: int, least: float) -> tuple[int, int]:
@@ -258,15 +261,26 @@ def leaders(prints: np.ndarray, ids: np.ndarray, least: float) -> np.ndarray:
     return leader
 
 
+def first_near(prints: np.ndarray, among: np.ndarray, least: float) -> np.ndarray:
+    """For each fingerprint the place of the first one of ``among`` that is near it, or -1."""
+    found, free = np.full(len(prints), -1), np.arange(len(prints))
+    most = BITS * (1 - least) / 2
+    for k, one in enumerate(among):
+        near = np.bitwise_count(prints[free] ^ one).sum(axis=1, dtype=np.int64) <= most
+        found[free[near]] = k
+        free = free[~near]
+        if not len(free):
+            break
+    return found
+
+
 def near_documents(docs: DataFrame, least: float = 0.75) -> DataFrame:
     """``doc_id``, ``near_id`` of every row: the smallest id of the documents that links between fingerprints at least so like reach,
     its own included; of rows without an id, null if they reach none that has one.
 
     Equal fingerprints are one class. In the bucket of a band each class is linked with the first one that is near it, so that
     a group of copies makes a star and never all its pairs. A bucket that is too large for a task is cut into parts, and what
-    leads in a part meets the other parts' leaders."""
-    n = partitions(docs.sparkSession)
-
+    leads in a part meets the other parts' leaders, in cells of bounded size: each leader is sent to as many cells as there are parts."""
     def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [_hex(_bits(p, np.cumsum(_stays(_walk(p, 0))))) for p in map(_points, batch.column("text").to_pylist())]
@@ -275,7 +289,9 @@ def near_documents(docs: DataFrame, least: float = 0.75) -> DataFrame:
     prints = checkpointed(texts(docs).mapInArrow(walked, "doc_id long, print binary"))
     classes = prints.groupBy("print").agg(F.min("doc_id").alias("least"))
     classes = checkpointed(classes.select("print", F.xxhash64("print").alias("node"), "least"))
-    bands, bits = bands_for(classes.count(), least)
+    many = classes.count()
+    bands, bits = bands_for(many, least)
+    n = max(partitions(docs.sparkSession), -(-many * bands // DEALT))
     picks = np.array(_picks(bands, bits))
     weights = np.uint64(1) << np.arange(bits, dtype=np.uint64)
 
@@ -303,16 +319,35 @@ def near_documents(docs: DataFrame, least: float = 0.75) -> DataFrame:
         dealt = rows.repartition(n, *by).sortWithinPartitions(*by, "node")
         return dealt.mapInArrow(run, "node long, to long, band long, print binary")
 
+    def crossed(rows: DataFrame) -> DataFrame:
+        """``node``, ``to`` (the first one that is near it) in each cell of the leaders of large buckets."""
+        cell = ["band", "low", "high"]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for (_, low, high), held in groups(batches, cell):
+                sides = [[r for r in held if r["part"] == p] for p in (low, high)]
+                a, b = (np.frombuffer(b"".join(r["print"] for r in side), np.uint64).reshape(-1, BITS // 64) for side in sides)
+                a_nodes, b_nodes = (np.array([r["node"] for r in side], np.int64) for side in sides)
+                place = leaders(b, b_nodes, least) if low == high else first_near(b, a, least)
+                linked = place != np.arange(len(place)) if low == high else place >= 0
+                yield pa.RecordBatch.from_arrays([pa.array(b_nodes[linked]), pa.array(a_nodes[place[linked]])], ["node", "to"])
+
+        sizes = checkpointed(rows.groupBy("band").agg(F.ceil(F.count("*") / CROSS).cast("int").alias("parts")))
+        placed = rows.join(sizes, "band").withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int"))
+        met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        cells = met.select("band", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "print", "node")
+        return cells.repartition(n, *cell).sortWithinPartitions(*cell, "node").mapInArrow(run, "node long, to long")
+
     spread = classes.mapInArrow(banded, "band long, print binary, node long, least long").select("band", "print", "node")
-    many = spread.select("band").groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    large = checkpointed(many.where(F.col("n") > BUCKET).select("band", F.ceil(F.col("n") / BUCKET).cast("int").alias("parts")))
+    held = spread.select("band").groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    large = checkpointed(held.where(F.col("n") > BUCKET).select("band", F.ceil(F.col("n") / BUCKET).cast("int").alias("parts")))
     if large.isEmpty():
         links = led(spread.withColumn("part", F.lit(0)), "band", "part").where("node <> to").select("node", "to")
     else:
         parted = spread.join(large, "band", "left").withColumn("part", F.pmod(F.col("node"), F.coalesce("parts", F.lit(1))).cast("int"))
         first = checkpointed(led(parted.select("band", "part", "print", "node"), "band", "part"))
-        again = led(first.where("print IS NOT NULL").join(large, "band", "left_semi").select("band", "print", "node").withColumn("part", F.lit(0)), "band", "part")
-        links = first.where("node <> to").select("node", "to").unionByName(again.where("node <> to").select("node", "to"))
+        again = crossed(first.where("print IS NOT NULL").join(large, "band", "left_semi").select("band", "print", "node"))
+        links = first.where("node <> to").select("node", "to").unionByName(again)
     found = checkpointed(components(links.distinct().toDF("a", "b")))
     placed = classes.join(found, "node", "left").select("print", "least", F.coalesce("component", "node").alias("component"))
     placed = checkpointed(placed)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.blobs import groups, pack_sorted, squeeze, tidy, unpack_sorted, unsqueeze
 from tidemill.llm.graph import components
-from tidemill.llm.tables import checkpointed, free_name, partitions, read_table, texts
+from tidemill.llm.tables import buckets_for, checkpointed, free_name, read_table, texts
 from tidemill.llm.wordhash import LOWER, blocks, joined, mix, word_hashes, words
 
 SHINGLE, LEAST_PERCENT = 5, 75
@@ -37,6 +37,8 @@ SHINGLE, LEAST_PERCENT = 5, 75
 CUTS = (3, 6, 40)
 #: Shingles packed together before they are dealt to buckets, and documents on a side of a cell of comparisons.
 FLUSH, CELL = 500_000, 256
+#: Buckets have the shingles of about this many bytes of text at most, however few partitions the session has.
+BUCKET_BYTES = 256 << 20
 #: A shingle that so many classes of one pack have is frequent: its entries don't meet in the bucket of its hash, which would grow
 #: with the corpus. All frequent shingles are the last in the global order, so that nobody need know how frequent they are.
 FREQUENT_IN_PACK, FREQUENT_LEVEL = 64, 60_000
@@ -296,7 +298,7 @@ def class_components(shared: DataFrame, percent: int, buckets: int) -> DataFrame
 
 def _judged(docs: DataFrame, percent: int) -> DataFrame:
     """``doc_id``, ``mark`` (of the text), ``n`` (size of the set), ``component_id`` and ``owner`` (the component's name) of every row."""
-    buckets = partitions(docs.sparkSession)
+    buckets = buckets_for(docs, BUCKET_BYTES)
     first = checkpointed(_shared(_dealt(docs, buckets), buckets))
     rows = first.where(F.col("kind") == RECORD).select("doc_id", "mark", "n", "cid")
     linked = class_components(first.where(F.col("kind") != RECORD), percent, buckets)

@@ -50,6 +50,17 @@ def _bytes_of_letters() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+@lru_cache(maxsize=2)
+def splits_as_pattern(path: str) -> bool:
+    """Whether the file cuts texts as ``PATTERN`` does and merges bytes within the cuts: a plain byte-level vocabulary, without a
+    normalizer, an unknown token, dropout or affixes."""
+    told = json.loads(Path(path).read_text(encoding="utf-8"))
+    cut, model = told.get("pre_tokenizer") or {}, told["model"]
+    plain = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space", True)
+    affixes = ("unk_token", "dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges", "byte_fallback")
+    return plain and told.get("normalizer") is None and model.get("type") == "BPE" and not any(model.get(k) for k in affixes)
+
+
 @lru_cache(maxsize=2)
 def _encoding(path: str):
     """The vocabulary of the file in a library that merges faster. A piece's id is its rank there, which is what this asks for."""
@@ -64,8 +75,8 @@ def _encoding(path: str):
 
 def token_ids(text: str, path: str) -> list[int]:
     """The ids of a text. In a run of about a million whitespace characters the fast library's pattern gives up, so texts with
-    runs of a tenth of that go to the other one."""
-    if LONG_RUN.search(text):
+    runs of a tenth of that go to the other one, and so does every text where the file cuts otherwise than the pattern."""
+    if not splits_as_pattern(path) or LONG_RUN.search(text):
         return _whole(path).encode(text, add_special_tokens=False).ids
     return _encoding(path).encode(text, allowed_special="all")
 

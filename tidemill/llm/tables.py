@@ -32,8 +32,15 @@ def columns_of(df: DataFrame) -> list[Column]:
 
 
 def partitions(spark: SparkSession) -> int:
-    """How many partitions a shuffle of this session has; buckets made here follow it."""
+    """How many partitions a shuffle of this session has."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-__all__ = ["checkpointed", "columns_of", "free_name", "partitions", "read_table", "texts"]
+def buckets_for(docs: DataFrame, bytes_each: int) -> int:
+    """How many buckets what is made of the texts of ``docs`` is dealt to: as many as a shuffle of this session has partitions, or more
+    where each would have more than about so many bytes of text. The texts are read once for it, for their sizes alone."""
+    whole = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(partitions(docs.sparkSession), -(-whole // bytes_each))
+
+
+__all__ = ["buckets_for", "checkpointed", "columns_of", "free_name", "partitions", "read_table", "texts"]
