@@ -21,20 +21,38 @@ NAMES = [
 ENTITY = {"full_name": "acme/r", "repo_full_name": "acme/r", "id": "7", "key": "k7"}
 
 
-def _value(field: Field, place: int) -> tuple[Column, str]:
-    """A field's value in a record of ``orders``, and the same in SQL."""
+def _is_gappy(field: Field, place: int) -> bool:
+    """Whether every third value of a field is null."""
+    return field.nullable and place > 3
+
+
+def _value(field: Field, place: int) -> Column:
+    """A field's value in a record of ``orders``."""
     key = F.col("o_orderkey")
     if field.type == "boolean":
-        return key % (2 + place) == 0, f"o_orderkey % {2 + place} = 0"
+        return key % (2 + place) == 0
     if field.type in ("bigint", "integer"):
-        return key + place, f"CAST(o_orderkey + {place} AS {'BIGINT' if field.type == 'bigint' else 'INTEGER'})"
+        return key + place
     if field.type == "double":
-        return key / 4, "o_orderkey / 4"
+        return key / 4
     if field.type == "timestamptz":
-        return _text("o_orderdate"), "o_orderdate"
-    # Every third value of a field that may be empty is null.
+        return _text("o_orderdate")
     text = F.concat(F.lit(f"{place}-"), key.cast("string"))
-    return (F.when(key % 3 != 0, text), f"CASE WHEN o_orderkey % 3 <> 0 THEN '{place}-' || o_orderkey END") if field.nullable and place > 3 else (text, f"'{place}-' || o_orderkey")
+    return F.when(key % 3 != 0, text) if _is_gappy(field, place) else text
+
+
+def _value_sql(field: Field, place: int) -> str:
+    """The same in SQL. Registering makes no columns, as it needs no session."""
+    if field.type == "boolean":
+        return f"o_orderkey % {2 + place} = 0"
+    if field.type in ("bigint", "integer"):
+        return f"CAST(o_orderkey + {place} AS {'BIGINT' if field.type == 'bigint' else 'INTEGER'})"
+    if field.type == "double":
+        return "o_orderkey / 4"
+    if field.type == "timestamptz":
+        return "o_orderdate"
+    text = f"'{place}-' || o_orderkey"
+    return f"CASE WHEN o_orderkey % 3 <> 0 THEN {text} END" if _is_gappy(field, place) else text
 
 
 def _record(values: dict[str, Column]) -> Column:
@@ -56,15 +74,14 @@ def _entity(d: Dataset) -> str:
 
 def _register(name: str) -> None:
     d = DATASETS[name]
-    made = {f.name: _value(f, i) for i, f in enumerate(d.fields) if not f.key}
-    sql = [f"{made[f.name][1] if not f.key else repr(ENTITY[d.parent_key[f.key]])} AS {f.name}" for f in d.fields]
+    sql = [f"{repr(ENTITY[d.parent_key[f.key]]) if f.key else _value_sql(f, i)} AS {f.name}" for i, f in enumerate(d.fields)]
 
     def run(t: Tables):
         w = _warehouse(t)
         if d.parent:
             columns = [*d.parent_key.values()]
             w.table(d.parent).commit(t.spark.range(1).select(*(F.lit(ENTITY[c]).alias(c) for c in columns)))
-        pages = _bodies(t.orders, _record({f.source: made[f.name][0] for f in d.fields if not f.key}), d.records or None)
+        pages = _bodies(t.orders, _record({f.source: _value(f, i) for i, f in enumerate(d.fields) if not f.key}), d.records or None)
         _land(w, name, pages.withColumn("entity_key", F.lit(_entity(d))))
         run_dataset(w, d, "full", as_of=AS_OF)
         rows = w.table(name).read()
