@@ -37,7 +37,7 @@ def _events(pages: DataFrame) -> DataFrame:
     analyses = explode_records(pages, "analyses").select(*META, F.col("pos").alias("outer"), at(F.col("record"), "key", "string").alias("analysis_key"), "record")
     events = unnest(analyses, "record", "events", [*META, "outer", "analysis_key"], "event")
     e = F.col("event")
-    absent = F.array_append(absent_names(e, [f(n) for n in ("key", "category", "name", "description")]), F.when(F.col("analysis_key").isNull(), "analysis_key"))
+    absent = F.array_append(absent_names(lambda path: at(e, path), [f(n) for n in ("key", "category", "name", "description")]), F.when(F.col("analysis_key").isNull(), "analysis_key"))
     return events.select(
         at(e, "key", "string").alias("key"), "analysis_key", at(F.try_parse_json("entity_key"), "", "string").alias("project_key"),
         *(at(e, n, "string").alias(n) for n in ("category", "name", "description")), repack(**{n: at(e, n) for n in DETAILS}).alias("details"), *_landing(), F.array_compact(absent).alias("_absent"),
@@ -61,7 +61,7 @@ def _history(pages: DataFrame) -> DataFrame:
     return values.where(F.col("metric_key").isNull() | F.col("metric_key").isin(*HISTORY_METRICS)).select(
         _branch_key("project_key").alias("project_key"), _branch_key("branch").alias("branch"), "metric_key", date_prefix(at(v, "date", "string")).alias("analysis_date"), at(v, "value", "string").alias("value"),
         F.lit(None).cast("timestamp").alias("collected_at"), at(v, "date", "string").alias("_raw"), *_landing(),
-        F.array_compact(F.array(F.when(F.col("metric_key").isNull(), "metric_key"), F.when(is_absent(v, "date"), "analysis_date"))).alias("_absent"),
+        F.array_compact(F.array(F.when(F.col("metric_key").isNull(), "metric_key"), F.when(is_absent(lambda path: at(v, path), "date"), "analysis_date"))).alias("_absent"),
         (date_prefix(at(v, "date", "string")).isNull() & (F.coalesce(at(v, "date", "string"), F.lit("")) != "")).alias("_unread"),
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.catalog import DATASETS
@@ -268,8 +268,9 @@ def run_refused(t):
     run_dataset(w, repos, tenant="acme", as_of=AS_OF)
     ref = F.struct(F.lit("r").alias("ref"))
     pull = F.struct(F.col("o_orderkey").alias("id"), F.lit(1).alias("number"), F.lit("open").alias("state"), F.lit(None).cast("string").alias("user"), *(F.lit("2024-01-02T03:04:05Z").alias(n) for n in ("created_at", "updated_at", "closed_at", "merged_at")), F.lit(False).alias("draft"), ref.alias("head"), F.struct(F.lit("b").alias("ref"), F.lit(None).cast("string").alias("repo")).alias("base"), F.lit("u").alias("html_url"))
-    pages = _bodies(t.orders.withColumns({"tenant": owner, "entity_key": F.lit('"acme/r1"')}), pull, None, "tenant", "entity_key").withColumn("seq", F.col("seq") - F.min("seq").over(Window.partitionBy("tenant")))
-    _land(w, pulls.name, pages)
+    pages = _bodies(t.orders.withColumns({"tenant": owner, "entity_key": F.lit('"acme/r1"')}), pull, None, "tenant", "entity_key")
+    first = pages.agg(F.min("seq").alias("_first"))  # one row; no page moves for it
+    _land(w, pulls.name, pages.crossJoin(F.broadcast(first)).withColumn("seq", F.col("seq") - F.col("_first")))
     try:
         run_dataset(w, pulls, "full", "acme", as_of=AS_OF)
         said = "nothing"

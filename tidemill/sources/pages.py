@@ -87,6 +87,11 @@ def parsed(pages: DataFrame) -> DataFrame:
     return pages if "v" in pages.columns else pages.withColumn("v", F.try_parse_json("body"))
 
 
+def is_object(value: Column) -> Column:
+    """Whether a variant is an object; its values aren't gone through."""
+    return at(value, "", "struct<errors: variant>").isNotNull()
+
+
 def explode_records(pages: DataFrame, path: str | None = "") -> DataFrame:
     """One row for each record: page columns, ``pos`` (place in the page) and ``record``.
 
@@ -94,7 +99,7 @@ def explode_records(pages: DataFrame, path: str | None = "") -> DataFrame:
     has no records."""
     bodies = parsed(pages)
     if path is None:
-        return bodies.where(F.expr("schema_of_variant(v) LIKE 'OBJECT%'")).select(*META, F.lit(0).alias("pos"), F.col("v").alias("record"))
+        return bodies.where(is_object(F.col("v"))).select(*META, F.lit(0).alias("pos"), F.col("v").alias("record"))
     return bodies.select(*META, F.posexplode(at(F.col("v"), path, "array<variant>")).alias("pos", "record"))
 
 
@@ -111,7 +116,7 @@ class PageWatch:
     def __init__(self, pages: DataFrame, announced: str | None = None):
         v, self.seen = F.col("v"), Observation()
         errors = at(v, "errors", "array<variant>")
-        bad = F.when(v.isNull(), "body is not JSON").when(~F.expr("schema_of_variant(v) LIKE 'OBJECT%'"), "body is not an object")
+        bad = F.when(v.isNull(), "body is not JSON").when(~is_object(v), "body is not an object")
         bad = bad.when(F.size(errors) > 0, F.coalesce(at(F.get(errors, 0), "message", "string"), F.lit("unnamed error")))
         total = at(v, announced, "bigint") if announced else F.lit(None).cast("bigint")
         self.pages = parsed(pages).observe(self.seen, F.count(F.lit(1)).alias("pages"), F.count_if(v.isNull()).alias("corrupt"), F.count_if(bad.isNotNull()).alias("bad"), F.min_by(bad, F.when(bad.isNotNull(), F.col("seq"))).alias("first"), F.max(total).alias("announced"))
