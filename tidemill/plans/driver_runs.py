@@ -22,6 +22,8 @@ from tidemill.spec import Dataset, Field
 from tidemill.streaming.ingest import stream_dataset, take_batch
 
 AS_OF = datetime(2030, 1, 1)
+#: Records in a raw file.
+RAW_RECORDS = 5_000
 
 
 def _warehouse(t: Tables, **more) -> Warehouse:
@@ -438,7 +440,8 @@ def raw_files(t):
     """Bodies as files, a folder each page, instead of a table of pages."""
     w, d = _warehouse(t), DATASETS["servicenow_incidents"]
     raw = f"{w.root}/raw"
-    _bodies(t.orders, _incident(F.col("o_orderstatus")), "result").select(F.col("seq").alias("page"), "body").repartition("page").write.partitionBy("page").text(raw)
+    # Two megabytes a file: what a file costs beside its bytes, on the driver too, stays small.
+    _bodies(t.orders, _incident(F.col("o_orderstatus")), "result", size=RAW_RECORDS).select(F.col("seq").alias("page"), "body").repartition("page").write.partitionBy("page").text(raw)
     raw_pages(read_raw(t.spark, raw), d.name, "", page_of=r"page=([0-9]+)/").write.partitionBy("dataset", "tenant", "day").parquet(w.pages)
     run_dataset(w, d, "full", as_of=AS_OF)
     return w.table(d.name).read().select("sys_id", "state", F.col("opened_at").cast(NTZ).alias("opened_at"))
