@@ -170,6 +170,13 @@ def test_mixing_of_odd_rows(spark, docs, none, unnamed, shards):
     assert mixing.mixed(none).count() == 0
 
 
+def test_targets_of_more_words_than_32_bits_count(spark):
+    sizes = {f"s{k}": 400_000_000 + 7 * k for k in range(5)} | {"s5": 30_000_000_000, "s6": 150_000_000}
+    for some in (sizes, {k: v // 3 for k, v in sizes.items() if k != "s5"}):
+        got = {r["key"]: r["target"] for r in mixing.targets(spark.createDataFrame(list(some.items()), "key string, source_size long")).collect()}
+        assert got == pytest.approx(filled(some))
+
+
 def test_mixing_of_the_tables_in_small_shards(spark):
     """Against SQL that makes every quotient and every block."""
     sf = "/root/testdata/sf0.001"

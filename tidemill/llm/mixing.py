@@ -52,7 +52,7 @@ def sized(docs: DataFrame, seed: int = SEED) -> DataFrame:
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: tuple[int, int] = SHARE, repeats: int = REPEATS) -> DataFrame:
     """``sources`` (``key``, ``source_size``) with ``target``. Each round is one aggregate over the sources: the sizes and weights of those
     whose part is above their bound; the level of the others only rises, and the rounds end when nobody new is above it."""
-    weight = F.element_at(F.array(*map(F.lit, weights)), ((F.col("_place") - 1) % len(weights) + 1).cast("int"))
+    weight = F.element_at(F.array(*map(F.lit, weights)), ((F.col("_place") - 1) % len(weights) + 1).cast("int")).cast("long")
     held = checkpointed(numbered(sources, [F.col("key")], "_place").withColumn("_weight", weight))
     total, all_weights = held.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("_weight"), F.lit(0))).first()
     size = weight_above = -1
