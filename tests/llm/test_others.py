@@ -277,6 +277,14 @@ def test_disk_of_substring_dedup_follows_the_bytes(spark, monkeypatch):
     assert sorted(tuple(r) for r in out.collect()) == cut(rows)
 
 
+def test_anchors_are_dealt_evenly(spark):
+    """Parts of equal width gave the first of 32 buckets a third of all anchors."""
+    raw = np.random.default_rng(3).integers(97, 123, 400_000, np.uint8)
+    docs = spark.createDataFrame([(k, raw[k * 4000 : (k + 1) * 4000].tobytes().decode()) for k in range(100)], "doc_id long, text string")
+    many = [r["n"] for r in substring_dedup._dealt(docs, 32, 4).where("bucket < 32").groupBy("bucket").sum("many").toDF("bucket", "n").collect()]
+    assert len(many) == 32 and max(many) < 1.3 * sum(many) / 32 and min(many) > 0.7 * sum(many) / 32
+
+
 def test_edit_embedding(docs, none, unnamed, texts):
     got = edit_embedding.fingerprints(docs).collect()
     order = sorted(texts)
